@@ -1,0 +1,25 @@
+"""Joins with a small side whose size is measured, not assumed."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SMALL_ROWS = 10_000
+
+
+def join_measured(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left",
+                  max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Join with an aggregate that is expected to be small.
+
+    The aggregate is computed once, by a job of its own. If it has at most
+    ``max_rows`` rows, these are broadcast and ``df`` is not shuffled; otherwise
+    the optimizer plans an ordinary join.
+    """
+    rows = small.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df.join(small, list(on), how)
+    known = df.sparkSession.createDataFrame(rows, small.schema)
+    return df.join(F.broadcast(known), list(on), how)
