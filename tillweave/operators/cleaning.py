@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import one_row, ratio, unpivot, zero_if_null
+from ..functions.expr import ratio, unpivot, zero_if_null
 from ..functions.quantiles import approx_quantiles, exact_quantiles
 from ..schema import DATE, DEPT, ECONOMY, MARKDOWNS, STORE, WEATHER, numeric_columns, string_columns
 from . import calendar, relational
@@ -97,19 +97,15 @@ def fill_defaults(df: DataFrame) -> DataFrame:
 
 
 def outlier_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5, approximate: bool = False,
-                   skip_zero_iqr: bool = False, fit_until: str | None = None, date: str = DATE) -> DataFrame:
-    """One row with the columns ``_lo0, _hi0, _lo1, ...`` in the order of ``cols``."""
+                   skip_zero_iqr: bool = False, fit_until: str | None = None, date: str = DATE) -> dict[str, tuple]:
+    """(lower, upper) of each column that has values: ``[Q1 - k*IQR, Q3 + k*IQR]``."""
     base = df if fit_until is None else df.where(F.col(date) <= F.lit(fit_until).cast("date"))
     quartiles = (approx_quantiles if approximate else exact_quantiles)(base, cols, (0.25, 0.75))
-
-    def bound(c: str, side: int) -> Column:
-        q = F.col(f"`{c}`")
-        spread = q[1] - q[0]
-        value = q[0] - k * spread if side == 0 else q[1] + k * spread
-        return F.when(spread != 0, value) if skip_zero_iqr else value
-
-    return quartiles.select(*[b for i, c in enumerate(cols) for b in (
-        bound(c, 0).alias(f"_lo{i}"), bound(c, 1).alias(f"_hi{i}"))])
+    bounds = {}
+    for c, (q1, q3) in quartiles.items():
+        if q1 is not None and not (skip_zero_iqr and q1 == q3):
+            bounds[c] = (q1 - k * (q3 - q1), q3 + k * (q3 - q1))
+    return bounds
 
 
 def _measures(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
@@ -117,23 +113,33 @@ def _measures(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
 
 
 def cap_outliers(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.5, **how) -> DataFrame:
-    """Clip each column to ``[Q1 - k*IQR, Q3 + k*IQR]``; by default every numeric
-    column but the keys, the target included. Capped columns become double."""
+    """Clip each column to its outlier bounds; by default every numeric column but
+    the keys, the target included. Capped columns become double."""
     cols = _measures(df, cols)
-    bounded = one_row(df, outlier_bounds(df, cols, k, **how))
-    # greatest/least skip nulls: a missing bound caps nothing, a missing value stays missing.
-    capped = {c: F.when(F.col(c).isNotNull(), F.greatest(F.least(F.col(c).cast("double"), f"_hi{i}"), f"_lo{i}"))
-              for i, c in enumerate(cols)}
-    return bounded.select(*[capped[c].alias(c) if c in capped else F.col(c) for c in df.columns])
+    bounds = outlier_bounds(df, cols, k, **how)
+
+    def capped(c: str) -> Column:
+        value = F.col(c).cast("double")
+        if c not in bounds:
+            return value
+        lo, hi = bounds[c]
+        # greatest/least skip nulls, a missing value must stay missing.
+        return F.when(value.isNotNull(), F.greatest(F.least(value, F.lit(hi)), F.lit(lo)))
+
+    return df.withColumns({c: capped(c) for c in cols})
 
 
 def outlier_counts(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.5, **how) -> DataFrame:
     """Values outside the bounds, per column."""
     cols = _measures(df, cols)
-    bounded = one_row(df.select(*cols), outlier_bounds(df, cols, k, **how))
-    totals = bounded.agg(*[
-        F.count_if((F.col(c) < F.col(f"_lo{i}")) | (F.col(c) > F.col(f"_hi{i}"))).cast("long").alias(f"c{i}")
-        for i, c in enumerate(cols)])
+    bounds = outlier_bounds(df, cols, k, **how)
+
+    def outside(c: str) -> Column:
+        if c not in bounds:
+            return F.lit(0)
+        return F.count_if((F.col(c) < bounds[c][0]) | (F.col(c) > bounds[c][1]))
+
+    totals = df.agg(F.count(F.lit(1)), *[outside(c).cast("long").alias(f"c{i}") for i, c in enumerate(cols)])
     return unpivot(totals, {c: F.col(f"c{i}") for i, c in enumerate(cols)}, "column", "outliers")
 
 

@@ -193,18 +193,26 @@ def feature_columns(df: DataFrame, exclude: Sequence[str] = NOT_FEATURES) -> lis
     return numeric_columns(df, exclude)
 
 
-def align_features(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = KEY) -> DataFrame:
-    """Exactly the fitted features, in their order; absent columns and nulls are 0."""
-    kept = [c for c in keep if c in df.columns]
-    number = {f.name: f.dataType for f in df.schema.fields}
+def feature_matrix(df: DataFrame, keep: Sequence[str] = KEY) -> DataFrame:
+    """Keys and feature columns only."""
+    return df.select(*keep, *feature_columns(df))
+
+
+def aligned(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+    """Columns of exactly the fitted features, in their order; absent ones and nulls are 0."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
 
     def feature(c: str) -> Column:
-        if c not in number:
-            return F.lit(0.0).alias(c)
-        raw = F.col(c).cast("int") if isinstance(number[c], T.BooleanType) else F.col(c)
-        return F.coalesce(raw.try_cast("double"), F.lit(0.0)).alias(c)
+        if c not in kinds:
+            return F.lit(0.0)
+        raw = F.col(c).cast("int") if isinstance(kinds[c], T.BooleanType) else F.col(c)
+        return F.coalesce(raw.try_cast("double"), F.lit(0.0))
 
-    return df.select(*kept, *[feature(c) for c in cols])
+    return [feature(c).alias(c) for c in cols]
+
+
+def align_features(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = KEY) -> DataFrame:
+    return df.select(*[c for c in keep if c in df.columns], *aligned(df, cols))
 
 
 LOOKBACK = max(max(LAGS), max(WINDOWS) - 1, 12, 3)

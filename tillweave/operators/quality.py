@@ -23,18 +23,24 @@ def _per_column(df: DataFrame, counts: Mapping[str, Column], value: str) -> Data
     return unpivot(totals, {name: F.col(f"c{i}") for i, name in enumerate(counts)}, "column", value)
 
 
+def _schema_rows(df: DataFrame, rows: Sequence[tuple], columns: str) -> DataFrame:
+    """Findings about the schema, each with the number of rows that it affects."""
+    found = df.sparkSession.createDataFrame(list(rows), columns)
+    return found.crossJoin(df.agg(F.count(F.lit(1)).alias("rows")))
+
+
 def missing_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Required columns that ``df`` lacks; looks at the schema only."""
+    """Required columns that ``df`` lacks."""
     gone = [(f.name, f.dataType.simpleString()) for f in schema.fields if f.name not in df.columns]
-    return df.sparkSession.createDataFrame(gone, "column string, expected string")
+    return _schema_rows(df, gone, "column string, expected string")
 
 
 def dtype_report(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns whose type is not the expected one; looks at the schema only."""
+    """Columns whose type is not the expected one."""
     have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     wrong = [(f.name, f.dataType.simpleString(), have[f.name]) for f in schema.fields
              if f.name in have and have[f.name] != f.dataType.simpleString()]
-    return df.sparkSession.createDataFrame(wrong, "column string, expected string, actual string")
+    return _schema_rows(df, wrong, "column string, expected string, actual string")
 
 
 def range_violations(df: DataFrame, ranges: Mapping[str, tuple[float, float]] = VALID_RANGES) -> DataFrame:

@@ -66,9 +66,9 @@ def restrict_to_series(df: DataFrame, series: DataFrame, min_points: int = 10, b
     rows, so no series is gathered in one task.
     """
     by = list(by)
-    wanted = df.join(series.select(*by), by, "left_semi")
-    enough = wanted.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_points)
-    return df.join(enough.select(*by), by, "left_semi")
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_points)
+    wanted = series.select(*by).join(sizes.select(*by), by, "left_semi")
+    return df.join(wanted, by, "left_semi")
 
 
 def union_forecasts(*forecasts: DataFrame) -> DataFrame:
