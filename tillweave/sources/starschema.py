@@ -65,13 +65,17 @@ def features(spark: SparkSession, root: str) -> DataFrame:
         _cents(F.col("l_extendedprice")).alias("line_cents"),
         F.substring("o_orderpriority", 1, 1).alias("prio"))
     rows = F.count(F.lit(1))
+
+    def hundredths(start: int, c: Column) -> Column:
+        return (start + F.floor(c)) / 100.0
+
     weekly = lines.groupBy("Store", "Date").agg(
-        (40 + F.sum("order_cents") / rows / 1000000.0).alias("Temperature"),
-        (2 + F.sum("qty") / rows / 25.0).alias("Fuel_Price"),
-        *[(F.sum(F.when(F.col("prio") == str(k), F.col("line_cents"))) / 10000.0).alias(f"MarkDown{k}")
+        hundredths(4000, F.sum("order_cents") / rows / 10000.0).alias("Temperature"),
+        hundredths(200, F.sum("qty") / rows * 4.0).alias("Fuel_Price"),
+        *[hundredths(0, F.sum(F.when(F.col("prio") == str(k), F.col("line_cents"))) / 100.0).alias(f"MarkDown{k}")
           for k in range(1, 6)],
-        (95 + F.sum("line_cents") / rows / 100000.0).alias("CPI"),
-        (4 + rows / 10.0).alias("Unemployment"),
+        hundredths(9500, F.sum("line_cents") / rows / 1000.0).alias("CPI"),
+        hundredths(400, rows * 10.0).alias("Unemployment"),
     )
     return weekly.withColumn("IsHoliday", F.weekofyear("Date").isin(*HOLIDAY_WEEKS))
 
