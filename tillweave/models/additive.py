@@ -15,8 +15,10 @@ and task. So a series may be spread over any number of tasks.
 from __future__ import annotations
 
 import math
+import operator
 from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass, field, replace
+from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
@@ -69,8 +71,8 @@ def _fourier(day: Column, period: float, order: int) -> list[Column]:
     return [fn(F.lit(2 * math.pi * k / period) * day) for k in range(1, order + 1) for fn in (F.sin, F.cos)]
 
 
-def design(p: AdditiveParams, date: str = DATE) -> Column:
-    """The regressors of a row as an array; needs first_date, span and holiday_name.
+def design(p: AdditiveParams, date: str = DATE) -> list[Column]:
+    """The regressors of a row; need first_date, span and holiday_name.
 
     The same expression serves the fit and the prediction. The week's term is
     periodic in days: for data of one weekday it is constant and the prior takes it
@@ -84,7 +86,7 @@ def design(p: AdditiveParams, date: str = DATE) -> Column:
         # A substitute day counts as its holiday.
         name = F.regexp_replace(F.coalesce("holiday_name", F.lit("")), r" \(observed\)$", "")
         terms += [(name == h).cast("double") for h in HOLIDAY_NAMES]
-    return F.array(*terms)
+    return terms
 
 
 def _with_holidays(df: DataFrame, p: AdditiveParams, dates: DataFrame) -> DataFrame:
@@ -191,7 +193,7 @@ class LocalModel:
             F.min(DATE).alias("first_date"), F.datediff(F.max(DATE), F.min(DATE)).alias("span"),
             F.greatest(F.max(F.abs(TARGET)), F.lit(1e-9)).alias("y_scale"))
         scaled = _with_holidays(rows.join(frame, list(SERIES)), p, rows).select(
-            *SERIES, design(p).alias("x"), (F.col(TARGET) / F.col("y_scale")).alias("y"))
+            *SERIES, F.array(*design(p)).alias("x"), (F.col(TARGET) / F.col("y_scale")).alias("y"))
         sums = scaled.mapInPandas(
             _partial_sums(),
             "Store bigint, Dept bigint, xx array<double>, xy array<double>, yy double, n bigint")
@@ -219,7 +221,9 @@ class LocalModel:
             *SERIES, "first_date", "span", "y_scale", "beta", "sigma")
         base = df.drop("holiday_name")
         joined = _with_holidays(base.join(known, list(SERIES), "left"), p, df)
-        fit = F.aggregate(F.zip_with("beta", design(p), lambda b, x: b * x), F.lit(0.0), lambda a, v: a + v)
+        terms = [F.get("beta", F.lit(i)) * x for i, x in enumerate(design(p))]
+        # Rows without a model skip the regressors.
+        fit = F.when(F.col("beta").isNotNull(), reduce(operator.add, terms))
         t = F.datediff(DATE, "first_date") / F.greatest(F.col("span"), F.lit(1))
         ahead = F.greatest(t - 1, F.lit(0.0))
         change = F.aggregate(F.slice("beta", 3, p.changepoints), F.lit(0.0), lambda a, v: a + F.abs(v)) / p.changepoints

@@ -148,11 +148,18 @@ def holiday_week_flag(df: DataFrame, dim: DataFrame | None = None, per_year: boo
             .withColumn("is_holiday_week", F.coalesce("_hit", F.lit(False))).drop("_hit", *parts))
 
 
-def calendar_features(df: DataFrame, column: str = DATE, dim: DataFrame | None = None) -> DataFrame:
-    """Parts, flags, cyclical values and holiday columns together."""
-    dim = holidays_of(df, column) if dim is None else dim
-    timed = cyclical(calendar_flags(calendar_parts(df, column), column))
-    return holiday_week_flag(holiday_flags(timed, dim, column), dim, column=column)
+def calendar_features(df: DataFrame, column: str = DATE, dates: DataFrame | None = None) -> DataFrame:
+    """Parts, flags, cyclical values and holiday columns together.
+
+    They depend on the date alone, so they are computed once per distinct date and
+    broadcast: one row per calendar day. ``dates`` may name a smaller frame that has
+    the same dates as ``df``.
+    """
+    days = (df if dates is None else dates).select(column).distinct()
+    dim = holidays_of(days, column)
+    known = holiday_week_flag(holiday_flags(
+        cyclical(calendar_flags(calendar_parts(days, column), column)), dim, column), dim, column=column)
+    return df.join(F.broadcast(known), column, "left")
 
 
 def _horizon_dates(last: Column, weeks: int, anchor: str) -> Column:

@@ -55,18 +55,11 @@ def zscore_by(df: DataFrame, cols: Sequence[str] = ECONOMY, by: Sequence[str] =
     return scored.drop(*[f"_{k}_{c}" for c in cols for k in ("mean", "dev")])
 
 
-def fill_over_days(df: DataFrame, both: Sequence[str] = (), forward: Sequence[str] = (),
-                   by: Sequence[str] = (STORE,), order: str = DATE) -> DataFrame:
+def fill_days(days: DataFrame, both: Sequence[str] = (), forward: Sequence[str] = (),
+              by: Sequence[str] = (STORE,), order: str = DATE) -> DataFrame:
     """Carry a group's last known value forward, and for ``both`` the next one back
-    to the leading gap.
-
-    A covariate has one value per group and day, shared by the departments' rows.
-    So the rows are first reduced to one per group and day; only these pass
-    through a window, bounded by the calendar, and the values are joined back.
-    """
-    by = list(by)
-    both, forward = [c for c in both if c in df.columns], [c for c in forward if c in df.columns]
-    days = df.groupBy(*by, order).agg(*[F.max(c).alias(c) for c in (*both, *forward)])
+    to the leading gap. ``days`` has one row per group and day, so the rows of a
+    window are bounded by the calendar."""
     past = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     # The next value is the last one in reverse order: a running frame, linear in the days.
     future = Window.partitionBy(*by).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
@@ -74,10 +67,23 @@ def fill_over_days(df: DataFrame, both: Sequence[str] = (), forward: Sequence[st
     def known(c: str, window) -> Column:
         return F.last(c, ignorenulls=True).over(window)
 
-    filled = days.select(
-        *by, order,
-        *[F.coalesce(known(c, past), known(c, future)).alias(f"_{c}") for c in both],
-        *[known(c, past).alias(f"_{c}") for c in forward])
+    return days.withColumns({
+        **{c: F.coalesce(known(c, past), known(c, future)) for c in both},
+        **{c: known(c, past) for c in forward}})
+
+
+def fill_over_days(df: DataFrame, both: Sequence[str] = (), forward: Sequence[str] = (),
+                   by: Sequence[str] = (STORE,), order: str = DATE) -> DataFrame:
+    """The same for rows of several departments a day.
+
+    A covariate has one value per group and day, shared by the departments' rows.
+    So the rows are first reduced to one per group and day, filled there, and the
+    values are joined back.
+    """
+    by = list(by)
+    both, forward = [c for c in both if c in df.columns], [c for c in forward if c in df.columns]
+    days = df.groupBy(*by, order).agg(*[F.max(c).alias(c) for c in (*both, *forward)])
+    filled = fill_days(days, both, forward, by, order).withColumnsRenamed({c: f"_{c}" for c in (*both, *forward)})
     return (df.join(filled, [*by, order], "left")
             .withColumns({c: F.coalesce(c, f"_{c}") for c in (*both, *forward)})
             .drop(*[f"_{c}" for c in (*both, *forward)]))
@@ -143,21 +149,34 @@ def outlier_counts(df: DataFrame, cols: Sequence[str] | None = None, k: float =
     return unpivot(totals, {c: F.col(f"c{i}") for i, c in enumerate(cols)}, "column", "outliers")
 
 
-def clean_merged(panel: DataFrame, dim: DataFrame | None = None,
-                 stage: Callable[[DataFrame], DataFrame] | None = None, **cap) -> DataFrame:
+def _finish(panel: DataFrame, stage: Callable[[DataFrame], DataFrame] | None, **cap) -> DataFrame:
+    ready = fill_defaults(panel)
+    return relational.cast_keys(cap_outliers(stage(ready) if stage else ready, **cap))
+
+
+def clean_merged(panel: DataFrame, stage: Callable[[DataFrame], DataFrame] | None = None, **cap) -> DataFrame:
     """Calendar, markdown total, standardised economy, fills and capping of a merged
     panel whose markdowns are already filled."""
-    timed = calendar.calendar_features(calendar.parse_dates(panel), dim=dim)
+    timed = calendar.calendar_features(calendar.parse_dates(panel))
     marked = markdown_sum(timed.na.fill(0.0, [c for c in MARKDOWNS if c in timed.columns]))
-    filled = fill_defaults(fill_over_days(zscore_by(marked), both=WEATHER, forward=("Size", "Type")))
-    ready = stage(filled) if stage else filled
-    return relational.cast_keys(cap_outliers(ready, **cap))
+    filled = fill_over_days(zscore_by(marked), both=WEATHER, forward=("Size", "Type"))
+    return _finish(filled, stage, **cap)
 
 
 def clean_panel(sales: DataFrame, features: DataFrame, stores: DataFrame,
                 stage: Callable[[DataFrame], DataFrame] | None = None, **cap) -> DataFrame:
-    """The cleaned panel. ``stage`` may write the filled panel before the quantile
-    passes (see ``session.materialise``), so that these read it and do not repeat
-    the joins."""
-    merged = relational.merge_sources(sales, fill_markdowns(features), stores)
-    return clean_merged(merged, calendar.holidays_of(sales), stage, **cap)
+    """The cleaned panel from its three tables.
+
+    Equal to ``clean_merged`` of the merged tables, but the covariates are filled
+    before they meet the departments' rows: on the days of the sales, one row per
+    store and day, so the panel is joined with them once. ``stage`` may write the
+    panel before the quantile passes (see ``session.materialise``), which then read
+    it and do not repeat the joins.
+    """
+    days = sales.select(STORE, DATE).distinct().join(fill_markdowns(features), [STORE, DATE], "left")
+    covered = fill_days(days, both=WEATHER)
+    # A store's attributes come from its one row in the dimension: nothing to carry along.
+    merged = relational.merge_sources(sales, covered, stores)
+    timed = calendar.calendar_features(calendar.parse_dates(merged), dates=sales)
+    marked = markdown_sum(timed.na.fill(0.0, [c for c in MARKDOWNS if c in timed.columns]))
+    return _finish(zscore_by(marked), stage, **cap)

@@ -7,7 +7,9 @@ shuffle and one sort. ``by`` is the window's partition; see
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,36 +55,54 @@ def rolling_std(df: DataFrame, windows: Sequence[int] = WINDOWS, shift: int = 0,
     return df.withColumns({f"sales_rolling_std_{n}": dev(n) for n in windows})
 
 
+def _fetch(value: str, first: int, last: int, by: Sequence[str]) -> dict[str, Column]:
+    """The values ``first`` to ``last`` rows back as columns ``_back0, _back1, ...``."""
+    w = series_window(by)
+    return {f"_back{i}": F.lag(value, k).over(w) if k else F.col(value) for i, k in enumerate(range(first, last + 1))}
+
+
 def rolling_median(df: DataFrame, windows: Sequence[int] = WINDOWS, shift: int = 0, by: Sequence[str] = SERIES,
                    value: str = TARGET) -> DataFrame:
     """Median of the last rows.
 
     The rows of a frame are fetched by ``lag`` and sorted as a short array: that
     stays in generated code, where a framed ``percentile`` builds a map per row.
+    Missing rows stand at the end as infinity, so the array sorts as primitives.
     """
-    w = series_window(by)
-    reach = max(windows) + shift
-    back = {f"_back{k}": F.lag(value, k).over(w) if k else F.col(value) for k in range(shift, reach)}
+    back = _fetch(value, shift, shift + max(windows) - 1, by)
+
+    def ordered(n: int) -> Column:
+        return F.sort_array(F.array(*[F.coalesce(f"_back{i}", F.lit(float("inf"))) for i in range(n)]))
 
     def median(n: int) -> Column:
-        parts = [F.col(f"_back{k}") for k in range(shift, shift + n)]
-        known = sum((p.isNotNull().cast("int") for p in parts[1:]), parts[0].isNotNull().cast("int"))
-        ordered = F.sort_array(F.array(*parts))  # nulls first
-        gap = F.lit(n) - known
-        low = F.get(ordered, gap + F.floor((known - 1) / 2).cast("int"))
-        high = F.get(ordered, gap + F.floor(known / 2).cast("int"))
+        known = reduce(operator.add, [F.col(f"_back{i}").isNotNull().cast("int") for i in range(n)])
+        low, high = (F.get(f"_sorted{n}", F.floor(half / 2).cast("int")) for half in (known - 1, known))
         return F.when(known > 0, (low + high) / 2).otherwise(0.0)
 
-    fetched = df.withColumns(back)
-    return fetched.withColumns({f"sales_rolling_median_{n}": median(n) for n in windows}).drop(*back)
+    # The arrays are a step of their own, so each is sorted once and read twice.
+    sorted_ = df.withColumns(back).withColumns({f"_sorted{n}": ordered(n) for n in windows})
+    return (sorted_.withColumns({f"sales_rolling_median_{n}": median(n) for n in windows})
+            .drop(*back, *[f"_sorted{n}" for n in windows]))
 
 
 def rolling_slope(df: DataFrame, rows: int = 13, shift: int = 0, by: Sequence[str] = SERIES, value: str = TARGET,
                   name: str = "sales_trend") -> DataFrame:
-    """Least-squares slope of the last rows against their position; 0 for one row."""
-    numbered = df.withColumn("_pos", F.row_number().over(series_window(by)).cast("double"))
-    slope = F.regr_slope(value, "_pos").over(_frame(by, rows, shift))
-    return numbered.withColumn(name, zero_if_null(slope)).drop("_pos")
+    """Least-squares slope of the last rows against their position; 0 for one row.
+
+    Over so few rows the sums of the closed form are plain arithmetic on the fetched
+    values; a framed ``regr_slope`` would go over all rows of every frame.
+    """
+    back = _fetch(value, shift, shift + rows - 1, by)
+
+    def total(term) -> Column:
+        return reduce(operator.add, [
+            F.when(F.col(f"_back{i}").isNotNull(), term(F.lit(float(-i)), F.col(f"_back{i}"))).otherwise(0.0)
+            for i in range(rows)])
+
+    n, sx, sy = total(lambda x, y: F.lit(1.0)), total(lambda x, y: x), total(lambda x, y: y)
+    sxx, sxy = total(lambda x, y: x * x), total(lambda x, y: x * y)
+    slope = zero_if_null(ratio(n * sxy - sx * sy, n * sxx - sx * sx))
+    return df.withColumns(back).withColumn(name, slope).drop(*back)
 
 
 def onehot(df: DataFrame, column: str, domain: Sequence[str], prefix: str, drop: bool = True) -> DataFrame:
