@@ -13,7 +13,7 @@ from tillweave.functions.quantiles import approx_quantiles, exact_quantiles
 from tillweave.functions.windows import split_long_series
 from tillweave.operators import backtest, calendar, cleaning, compare, exports, features, quality, relational, splits
 from tillweave.plans import stages
-from tillweave.session import scratch_path
+from tillweave.session import scratch_path, shared_dir
 from tillweave.sources import files
 
 
@@ -284,6 +284,22 @@ def test_csv_of_nulls_and_missing_path(spark):
         files.read_csv(spark, path + "-none", df.schema)
 
 
+class _Session:
+    """As much of a session as the choice of the shared folder looks at."""
+
+    def __init__(self, master, named):
+        self.conf = {"spark.checkpoint.dir": named}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": f"{master}-{named}"})
+
+
+def test_shared_folder():
+    assert shared_dir(_Session("spark://host", "hdfs://x/y")) == "hdfs://x/y"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(_Session("spark://host", None))
+    local = _Session("local[2]", None)
+    assert shared_dir(local) == shared_dir(local)
+
+
 # --- the stages from end to end
 
 def test_pipeline(spark):

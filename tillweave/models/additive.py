@@ -192,7 +192,10 @@ class LocalModel:
         frame = rows.groupBy(*SERIES).agg(
             F.min(DATE).alias("first_date"), F.datediff(F.max(DATE), F.min(DATE)).alias("span"),
             F.greatest(F.max(F.abs(TARGET)), F.lit(1e-9)).alias("y_scale"))
-        scaled = _with_holidays(rows.join(frame, list(SERIES)), p, rows).select(
+        # The wanted rows are few and come from all over the panel: bring them into
+        # partitions of full size first, so that there are few partial sums.
+        dense = rows.hint("rebalance")
+        scaled = _with_holidays(dense.join(frame, list(SERIES)), p, rows).select(
             *SERIES, F.array(*design(p)).alias("x"), (F.col(TARGET) / F.col("y_scale")).alias("y"))
         sums = scaled.mapInPandas(
             _partial_sums(),

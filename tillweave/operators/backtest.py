@@ -55,7 +55,8 @@ def _label(kind: str | int) -> str:
 
 class SeriesMean:
     """Forecast of a series: the mean of its last ``rows`` training rows, or of all
-    of them. Series without training rows, and negative means, give 0."""
+    of them. Series without training rows, and negative means, give 0. The limit on
+    the row number works within each task before the shuffle."""
 
     def __init__(self, rows: int | None = 4, by: Sequence[str] = SERIES, target: str = TARGET):
         self.rows, self.by, self.target = rows, list(by), target

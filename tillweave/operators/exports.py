@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import metrics as m
 from ..functions.expr import ratio, zero_if_null
-from ..functions.windows import series_window, trailing
 from ..schema import DATE, DEPT, MARKDOWNS, SERIES, STORE, TARGET
 from .relational import filter_panel, union_forecasts, with_defaults
 
@@ -17,7 +16,7 @@ from .relational import filter_panel, union_forecasts, with_defaults
 def forecast_export(*preds: DataFrame) -> DataFrame:
     """All forecasts in one flat table, with a band of ten percent where a model gives none."""
     df = with_defaults(union_forecasts(*preds))
-    flag = F.coalesce("IsHoliday", F.lit(False)) if "IsHoliday" in df.columns else F.lit(False)
+    flag = F.coalesce(F.col("IsHoliday").cast("boolean"), F.lit(False)) if "IsHoliday" in df.columns else F.lit(False)
     df = df.withColumn("IsHoliday", flag)
     return with_defaults(df, {"lower": F.col("y_pred") * 0.9, "upper": F.col("y_pred") * 1.1})
 
@@ -25,18 +24,21 @@ def forecast_export(*preds: DataFrame) -> DataFrame:
 def store_risk(df: DataFrame, by: Sequence[str] = SERIES, value: str = TARGET) -> DataFrame:
     """Distance of each series' last sales from its recent level, largest first.
 
-    The trailing means run along the series' window and the aggregate reuses its
-    partitioning, so the panel is shuffled once.
+    Only the last thirteen rows of a series matter beside its totals. The limit on
+    the row number is applied within each task before the shuffle, so a long series
+    is never gathered.
     """
-    w = series_window(by)
-    tracked = df.select(*by, DATE, value, F.avg(value).over(trailing(w, 4)).alias("_t4"),
-                        F.avg(value).over(trailing(w, 13)).alias("_t13"))
-    risk = tracked.groupBy(*by).agg(
+    by = list(by)
+    newest = Window.partitionBy(*by).orderBy(F.col(DATE).desc())
+    recent = df.select(*by, DATE, value).withColumn("_back", F.row_number().over(newest)).where(F.col("_back") <= 13)
+    levels = recent.groupBy(*by).agg(
+        F.max_by(value, DATE).alias("last_sales"), F.avg(F.when(F.col("_back") <= 4, F.col(value))).alias("trailing_4_avg"),
+        F.avg(value).alias("trailing_13_avg"))
+    totals = df.groupBy(*by).agg(
         F.avg(value).alias("avg_sales"), F.stddev_samp(value).alias("std_sales"),
-        F.max_by(value, DATE).alias("last_sales"), F.min(DATE).alias("first_date"), F.max(DATE).alias("last_date"),
-        F.max_by("_t4", DATE).alias("trailing_4_avg"), F.max_by("_t13", DATE).alias("trailing_13_avg"))
+        F.min(DATE).alias("first_date"), F.max(DATE).alias("last_date"))
     delta = F.col("last_sales") - F.col("trailing_4_avg")
-    measured = risk.withColumns({
+    measured = totals.join(levels, by).withColumns({
         "abs_delta": F.abs(delta), "pct_delta": ratio(delta, "trailing_4_avg") * 100,
         "next_week_pred": F.col("trailing_4_avg")})
     return measured.na.fill(0.0).orderBy(F.desc("abs_delta"), *by)
@@ -68,7 +70,7 @@ def markdown_roi(df: DataFrame, cols: Sequence[str] = MARKDOWNS, min_rows: int =
 
 
 def dashboard_summary(df: DataFrame) -> DataFrame:
-    holidays = F.count_if("IsHoliday").cast("long") if "IsHoliday" in df.columns else F.lit(0).cast("long")
+    holidays = F.count_if(F.col("IsHoliday").cast("boolean")).cast("long") if "IsHoliday" in df.columns else F.lit(0).cast("long")
     return df.agg(
         F.count_distinct(STORE).alias("total_stores"), F.count_distinct(DEPT).alias("total_departments"),
         F.count(F.lit(1)).alias("total_observations"), F.min(DATE).alias("start_date"), F.max(DATE).alias("end_date"),
@@ -131,7 +133,7 @@ def series_scores(forecasts: DataFrame, store: int, dept: int, model: str, guard
 
 
 def holiday_rows(forecasts: DataFrame) -> DataFrame:
-    return forecasts.where("IsHoliday")
+    return forecasts.where(F.col("IsHoliday").cast("boolean"))
 
 
 def sales_trend(df: DataFrame, value: str = TARGET) -> DataFrame:

@@ -35,8 +35,9 @@ def merge_sources(sales: DataFrame, features: DataFrame, stores: DataFrame) -> D
 
 def canonical_sort(df: DataFrame, by: Sequence[str] = SERIES, order: Sequence[str] = KEY) -> DataFrame:
     """Series together and rows in order within each partition; for sinks only,
-    windows sort for themselves."""
-    return df.repartition(*by).sortWithinPartitions(*order)
+    windows sort for themselves. Rebalancing evens out the partitions' sizes: small
+    ones are merged, and a hot series is spread over several."""
+    return df.hint("rebalance", *by).sortWithinPartitions(*order)
 
 
 def filter_panel(df: DataFrame, store=None, dept=None, model=None, start=None, end=None) -> DataFrame:

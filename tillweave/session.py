@@ -24,19 +24,24 @@ def local_session(cpus: int | str = 8, app: str = "tillweave", memory: str = "12
     return spark
 
 
+_FALLBACK: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a local session may fall back to a temporary folder of this machine, one
+    for the whole session.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tillweave-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _FALLBACK:
+        _FALLBACK[context.applicationId] = tempfile.mkdtemp(prefix="tillweave-")
+    return _FALLBACK[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -48,11 +48,10 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 def write_predictions(preds: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Backtest predictions, one folder per model and fold.
 
-    The rows are spread by model, fold and store before the write, so that a
-    folder gets files from several tasks and no task opens every folder.
+    The rows are gathered by folder and then rebalanced by size, so that no task
+    opens every folder and a large folder is written by several tasks.
     """
-    spread = preds.repartition("model", "fold", "Store")
-    writer = spread.write.mode("overwrite").partitionBy("model", "fold")
+    writer = preds.hint("rebalance", "model", "fold").write.mode("overwrite").partitionBy("model", "fold")
     (writer.options(**_CSV) if fmt == "csv" else writer).format(fmt).save(path)
     return path
 
