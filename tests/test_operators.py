@@ -23,7 +23,7 @@ def rows(df, *order):
 
 # --- quantiles
 
-@pytest.mark.parametrize("few", [3, 50, 20_000])
+@pytest.mark.parametrize("few", [3, 50, 100_000])
 def test_exact_quantiles_equal_numpy(spark, few):
     rng = np.random.default_rng(7)
     n = 3000
@@ -50,6 +50,14 @@ def test_approx_quantiles(spark):
 
 # --- windows in blocks
 
+def test_lookbacks_together_equal_single_ones(spark, panel):
+    df = panel.withColumn("is_holiday_week", F.col("IsHoliday"))
+    a, b = features.lookback_features(df), features.holiday_lags(_both(df, sc.SERIES))
+    assert set(a.columns) == set(b.columns)
+    a, b = (x.select(b.columns).toPandas().sort_values(list(sc.KEY), ignore_index=True) for x in (a, b))
+    pd.testing.assert_frame_equal(a, b)
+
+
 def _both(df, by):
     df = features.rolling_mean(features.lags(df, by=by), by=by)
     return features.rolling_slope(features.rolling_median(features.rolling_std(df, by=by), by=by), by=by)

@@ -22,6 +22,16 @@ from ..schema import (BAND_DOMAIN, DATE, DEPT, KEY, LAGS, SERIES, TARGET, TYPE_D
                       numeric_columns)
 
 
+def _fetch(value: str, first: int, last: int, by: Sequence[str]) -> dict[str, Column]:
+    """The values ``first`` to ``last`` rows back as columns ``_back0, _back1, ...``."""
+    w = series_window(by)
+    return {f"_back{i}": F.lag(value, k).over(w) if k else F.col(value) for i, k in enumerate(range(first, last + 1))}
+
+
+def _frame(by: Sequence[str], rows: int, shift: int):
+    return series_window(by).rowsBetween(-(rows - 1) - shift, -shift)
+
+
 def lags(df: DataFrame, ks: Sequence[int] = LAGS, fill: float | None = 0.0, by: Sequence[str] = SERIES,
          value: str = TARGET) -> DataFrame:
     """The value ``k`` rows earlier in the series; ``fill=None`` keeps the leading nulls."""
@@ -34,66 +44,67 @@ def lags(df: DataFrame, ks: Sequence[int] = LAGS, fill: float | None = 0.0, by:
     return df.withColumns({f"sales_lag_{k}": lag(k) for k in ks})
 
 
-def _frame(by: Sequence[str], rows: int, shift: int):
-    return series_window(by).rowsBetween(-(rows - 1) - shift, -shift)
+def _means(windows: Sequence[int], shift: int, by: Sequence[str], value: str) -> dict[str, Column]:
+    return {f"sales_rolling_mean_{n}": zero_if_null(F.avg(value).over(_frame(by, n, shift))) for n in windows}
+
+
+def _deviations(windows: Sequence[int], shift: int, by: Sequence[str], value: str, fill: float | None = 0.0) -> dict[str, Column]:
+    devs = {f"sales_rolling_std_{n}": F.stddev_samp(value).over(_frame(by, n, shift)) for n in windows}
+    return devs if fill is None else {n: F.coalesce(d, F.lit(fill)) for n, d in devs.items()}
 
 
 def rolling_mean(df: DataFrame, windows: Sequence[int] = WINDOWS, shift: int = 0, by: Sequence[str] = SERIES,
                  value: str = TARGET) -> DataFrame:
     """Mean of the last rows, the current one included; ``shift=1`` leaves it out."""
-    return df.withColumns({f"sales_rolling_mean_{n}": zero_if_null(F.avg(value).over(_frame(by, n, shift)))
-                           for n in windows})
+    return df.withColumns(_means(windows, shift, by, value))
 
 
 def rolling_std(df: DataFrame, windows: Sequence[int] = WINDOWS, shift: int = 0, by: Sequence[str] = SERIES,
                 value: str = TARGET, fill: float | None = 0.0) -> DataFrame:
     """Sample deviation of the last rows; a single row has none and gets ``fill``."""
-    def dev(n: int) -> Column:
-        d = F.stddev_samp(value).over(_frame(by, n, shift))
-        return d if fill is None else F.coalesce(d, F.lit(fill))
+    return df.withColumns(_deviations(windows, shift, by, value, fill))
 
-    return df.withColumns({f"sales_rolling_std_{n}": dev(n) for n in windows})
 
+def _recent(rows: int) -> dict[str, Column]:
+    """The fetched values as one array, missing rows as infinity: without nulls its
+    parts sort as primitives."""
+    return {"_recent": F.array(*[F.coalesce(f"_back{i}", F.lit(float("inf"))) for i in range(rows)])}
 
-def _fetch(value: str, first: int, last: int, by: Sequence[str]) -> dict[str, Column]:
-    """The values ``first`` to ``last`` rows back as columns ``_back0, _back1, ...``."""
-    w = series_window(by)
-    return {f"_back{i}": F.lag(value, k).over(w) if k else F.col(value) for i, k in enumerate(range(first, last + 1))}
 
+def _known(windows: Sequence[int], shift: int, by: Sequence[str], value: str) -> dict[str, Column]:
+    return {f"_known{n}": F.count(value).over(_frame(by, n, shift)).cast("int") for n in windows}
 
-def rolling_median(df: DataFrame, windows: Sequence[int] = WINDOWS, shift: int = 0, by: Sequence[str] = SERIES,
-                   value: str = TARGET) -> DataFrame:
-    """Median of the last rows.
 
-    The rows of a frame are fetched by ``lag`` and sorted as a short array: that
-    stays in generated code, where a framed ``percentile`` builds a map per row.
-    Missing rows stand at the end as infinity, so the array sorts as primitives.
-    """
-    back = _fetch(value, shift, shift + max(windows) - 1, by)
+def _sorted(windows: Sequence[int]) -> dict[str, Column]:
+    return {f"_sorted{n}": F.sort_array(F.slice("_recent", 1, n)) for n in windows}
 
-    def ordered(n: int) -> Column:
-        return F.sort_array(F.array(*[F.coalesce(f"_back{i}", F.lit(float("inf"))) for i in range(n)]))
 
+def _medians(windows: Sequence[int]) -> dict[str, Column]:
     def median(n: int) -> Column:
-        known = reduce(operator.add, [F.col(f"_back{i}").isNotNull().cast("int") for i in range(n)])
-        low, high = (F.get(f"_sorted{n}", F.floor(half / 2).cast("int")) for half in (known - 1, known))
+        known = F.col(f"_known{n}")
+        low, high = F.get(f"_sorted{n}", F.shiftright(known - 1, 1)), F.get(f"_sorted{n}", F.shiftright(known, 1))
         return F.when(known > 0, (low + high) / 2).otherwise(0.0)
 
-    # The arrays are a step of their own, so each is sorted once and read twice.
-    sorted_ = df.withColumns(back).withColumns({f"_sorted{n}": ordered(n) for n in windows})
-    return (sorted_.withColumns({f"sales_rolling_median_{n}": median(n) for n in windows})
-            .drop(*back, *[f"_sorted{n}" for n in windows]))
+    return {f"sales_rolling_median_{n}": median(n) for n in windows}
 
 
-def rolling_slope(df: DataFrame, rows: int = 13, shift: int = 0, by: Sequence[str] = SERIES, value: str = TARGET,
-                  name: str = "sales_trend") -> DataFrame:
-    """Least-squares slope of the last rows against their position; 0 for one row.
+def rolling_median(df: DataFrame, windows: Sequence[int] = WINDOWS, shift: int = 0, by: Sequence[str] = SERIES,
+                   value: str = TARGET) -> DataFrame:
+    """Median of the last rows.
 
-    Over so few rows the sums of the closed form are plain arithmetic on the fetched
-    values; a framed ``regr_slope`` would go over all rows of every frame.
+    The rows are fetched by ``lag`` and sorted as a short array: that stays in
+    generated code, where a framed ``percentile`` builds a map per row. The arrays
+    are steps of their own, so each is built once and read several times.
     """
-    back = _fetch(value, shift, shift + rows - 1, by)
+    reach = max(windows)
+    back, known = _fetch(value, shift, shift + reach - 1, by), _known(windows, shift, by, value)
+    recent, ordered = _recent(reach), _sorted(windows)
+    with_arrays = df.withColumns({**back, **known}).withColumns(recent).withColumns(ordered)
+    return with_arrays.withColumns(_medians(windows)).drop(*back, *known, *recent, *ordered)
+
 
+def _slope(rows: int) -> Column:
+    """Closed form over the fetched values; positions count backwards from 0."""
     def total(term) -> Column:
         return reduce(operator.add, [
             F.when(F.col(f"_back{i}").isNotNull(), term(F.lit(float(-i)), F.col(f"_back{i}"))).otherwise(0.0)
@@ -101,8 +112,18 @@ def rolling_slope(df: DataFrame, rows: int = 13, shift: int = 0, by: Sequence[st
 
     n, sx, sy = total(lambda x, y: F.lit(1.0)), total(lambda x, y: x), total(lambda x, y: y)
     sxx, sxy = total(lambda x, y: x * x), total(lambda x, y: x * y)
-    slope = zero_if_null(ratio(n * sxy - sx * sy, n * sxx - sx * sx))
-    return df.withColumns(back).withColumn(name, slope).drop(*back)
+    return zero_if_null(ratio(n * sxy - sx * sy, n * sxx - sx * sx))
+
+
+def rolling_slope(df: DataFrame, rows: int = 13, shift: int = 0, by: Sequence[str] = SERIES, value: str = TARGET,
+                  name: str = "sales_trend") -> DataFrame:
+    """Least-squares slope of the last rows against their position; 0 for one row.
+
+    Over so few rows the sums are plain arithmetic on the fetched values; a framed
+    ``regr_slope`` would go over all rows of every frame.
+    """
+    back = _fetch(value, shift, shift + rows - 1, by)
+    return df.withColumns(back).withColumn(name, _slope(rows)).drop(*back)
 
 
 def onehot(df: DataFrame, column: str, domain: Sequence[str], prefix: str, drop: bool = True) -> DataFrame:
@@ -138,12 +159,14 @@ def dept_encoding(df: DataFrame, **how) -> DataFrame:
     return onehot(dept_band(df, **how), "dept_category", BAND_DOMAIN, "dept_cat")
 
 
-def holiday_lags(df: DataFrame, ks: Sequence[int] = (1, 2, 3), by: Sequence[str] = SERIES) -> DataFrame:
-    if "is_holiday_week" not in df.columns:
-        return df
+def _holiday_lags(ks: Sequence[int], by: Sequence[str]) -> dict[str, Column]:
     w = series_window(by)
-    return df.withColumns({f"holiday_week_lag{k}": F.coalesce(F.lag("is_holiday_week", k).over(w), F.lit(False))
-                           for k in ks})
+    return {f"holiday_week_lag{k}": F.coalesce(F.lag("is_holiday_week", k).over(w), F.lit(False)) for k in ks}
+
+
+def holiday_lags(df: DataFrame, ks: Sequence[int] = (1, 2, 3), by: Sequence[str] = SERIES) -> DataFrame:
+    """Whether the rows before were in a holiday week."""
+    return df.withColumns(_holiday_lags(ks, by)) if "is_holiday_week" in df.columns else df
 
 
 def holiday_interaction(df: DataFrame) -> DataFrame:
@@ -235,13 +258,21 @@ def align_features(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = KEY
     return df.select(*[c for c in keep if c in df.columns], *aligned(df, cols))
 
 
-LOOKBACK = max(max(LAGS), max(WINDOWS) - 1, 12, 3)
+LOOKBACK = max(LAGS)
 
 
-def _lookback_features(df: DataFrame, by: Sequence[str] = SERIES) -> DataFrame:
-    for step in (lags, rolling_mean, rolling_std, rolling_median, rolling_slope, holiday_lags):
-        df = step(df, by=by)
-    return df
+def lookback_features(df: DataFrame, by: Sequence[str] = SERIES) -> DataFrame:
+    """Lags, rolling statistics, slope and holiday lags together. They share the
+    fetched rows, and all window functions are in one step."""
+    back, known = _fetch(TARGET, 0, LOOKBACK, by), _known(WINDOWS, 0, by, TARGET)
+    holiday = _holiday_lags((1, 2, 3), by) if "is_holiday_week" in df.columns else {}
+    recent, ordered = _recent(max(WINDOWS)), _sorted(WINDOWS)
+    fetched = df.withColumns({
+        **back, **known, **_means(WINDOWS, 0, by, TARGET), **_deviations(WINDOWS, 0, by, TARGET), **holiday})
+    derived = fetched.withColumns({
+        **{f"sales_lag_{k}": zero_if_null(f"_back{k}") for k in LAGS}, **recent, "sales_trend": _slope(13)})
+    done = derived.withColumns(ordered).withColumns(_medians(WINDOWS))
+    return done.drop(*back, *known, *recent, *ordered)
 
 
 def build_features(df: DataFrame, max_series_rows: int | None = None) -> DataFrame:
@@ -251,10 +282,10 @@ def build_features(df: DataFrame, max_series_rows: int | None = None) -> DataFra
     tasks, and the seasonal indices come from aggregates.
     """
     if max_series_rows is None:
-        df = _lookback_features(df)
+        df = lookback_features(df)
         season = seasonal_index
     else:
-        df = split_long_series(df, _lookback_features, LOOKBACK, max_series_rows)
+        df = split_long_series(df, lookback_features, LOOKBACK, max_series_rows)
         season = seasonal_index_joined
     df = season(df, "month", "monthly_seasonality")
     df = season(df, "week", "weekly_seasonality")
