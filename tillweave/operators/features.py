@@ -103,27 +103,18 @@ def rolling_median(df: DataFrame, windows: Sequence[int] = WINDOWS, shift: int =
     return with_arrays.withColumns(_medians(windows)).drop(*back, *known, *recent, *ordered)
 
 
-def _slope(rows: int) -> Column:
-    """Closed form over the fetched values; positions count backwards from 0."""
-    def total(term) -> Column:
-        return reduce(operator.add, [
-            F.when(F.col(f"_back{i}").isNotNull(), term(F.lit(float(-i)), F.col(f"_back{i}"))).otherwise(0.0)
-            for i in range(rows)])
+def _positions(by: Sequence[str]) -> dict[str, Column]:
+    return {"_pos": F.row_number().over(series_window(by)).cast("double")}
 
-    n, sx, sy = total(lambda x, y: F.lit(1.0)), total(lambda x, y: x), total(lambda x, y: y)
-    sxx, sxy = total(lambda x, y: x * x), total(lambda x, y: x * y)
-    return zero_if_null(ratio(n * sxy - sx * sy, n * sxx - sx * sx))
+
+def _slope(rows: int, shift: int, by: Sequence[str], value: str) -> Column:
+    return zero_if_null(F.regr_slope(value, "_pos").over(_frame(by, rows, shift)))
 
 
 def rolling_slope(df: DataFrame, rows: int = 13, shift: int = 0, by: Sequence[str] = SERIES, value: str = TARGET,
                   name: str = "sales_trend") -> DataFrame:
-    """Least-squares slope of the last rows against their position; 0 for one row.
-
-    Over so few rows the sums are plain arithmetic on the fetched values; a framed
-    ``regr_slope`` would go over all rows of every frame.
-    """
-    back = _fetch(value, shift, shift + rows - 1, by)
-    return df.withColumns(back).withColumn(name, _slope(rows)).drop(*back)
+    """Least-squares slope of the last rows against their position; 0 for one row."""
+    return df.withColumns(_positions(by)).withColumn(name, _slope(rows, shift, by, value)).drop("_pos")
 
 
 def onehot(df: DataFrame, column: str, domain: Sequence[str], prefix: str, drop: bool = True) -> DataFrame:
@@ -263,16 +254,16 @@ LOOKBACK = max(LAGS)
 
 def lookback_features(df: DataFrame, by: Sequence[str] = SERIES) -> DataFrame:
     """Lags, rolling statistics, slope and holiday lags together. They share the
-    fetched rows, and all window functions are in one step."""
+    fetched rows and one sorted partitioning."""
     back, known = _fetch(TARGET, 0, LOOKBACK, by), _known(WINDOWS, 0, by, TARGET)
     holiday = _holiday_lags((1, 2, 3), by) if "is_holiday_week" in df.columns else {}
     recent, ordered = _recent(max(WINDOWS)), _sorted(WINDOWS)
-    fetched = df.withColumns({
-        **back, **known, **_means(WINDOWS, 0, by, TARGET), **_deviations(WINDOWS, 0, by, TARGET), **holiday})
-    derived = fetched.withColumns({
-        **{f"sales_lag_{k}": zero_if_null(f"_back{k}") for k in LAGS}, **recent, "sales_trend": _slope(13)})
+    fetched = df.withColumns(_positions(by)).withColumns({
+        **back, **known, **_means(WINDOWS, 0, by, TARGET), **_deviations(WINDOWS, 0, by, TARGET), **holiday,
+        "sales_trend": _slope(13, 0, by, TARGET)})
+    derived = fetched.withColumns({**{f"sales_lag_{k}": zero_if_null(f"_back{k}") for k in LAGS}, **recent})
     done = derived.withColumns(ordered).withColumns(_medians(WINDOWS))
-    return done.drop(*back, *known, *recent, *ordered)
+    return done.drop("_pos", *back, *known, *recent, *ordered)
 
 
 def build_features(df: DataFrame, max_series_rows: int | None = None) -> DataFrame:
