@@ -11,10 +11,30 @@ with d as (
   select *, max(page_id) over (partition by body) as top from d
 )
 select page_id, octet_length(encode(body))::bigint as payload_bytes,
-  list_aggregate(list_transform(range(0, 32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
+  list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
     ((('0x' || substr(h, 1 + 10 * (k // 8)::bigint, 10))::bigint >> (35 - 5 * (k % 8))::bigint) & 31)::bigint, 1)), 'string_agg', '') as payload_digest,
   case when page_id = top then 'response' else 'revisit' end as record_type,
   case when page_id = top then null else top end as refers_to,
   case when page_id = top then true end as digest_ok, url as target_uri
 from m
 """
+
+ORACLE["op10_embedding_near_dedup"] = """
+with recursive v as (
+  select vec_id, label, embedding::double[] as e from embeddings where label is not null and embedding is not null
+    and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))) and list_bool_or(list_transform(embedding, lambda x: x <> 0))
+), u as (
+  select vec_id, label, e, sqrt(list_dot_product(e, e)) as n from v
+), l as (
+  select a.vec_id as a, b.vec_id as b from u a join u b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.93
+), r(node, reach) as (
+  select vec_id, vec_id from embeddings union select l.b, r.reach from r join l on l.a = r.node where r.reach < l.b
+), c as (
+  select node, min(reach) as component_id from r group by node
+), k as (
+  select a, count(*) as n from l group by a
+)
+select e.vec_id, coalesce(k.n, 0)::bigint as n_links, c.component_id, e.vec_id = c.component_id as kept
+from embeddings e join c on c.node = e.vec_id left join k on k.a = e.vec_id
+"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise, scratch_path
-from . import packing, rollup, sharding, simhash, warc
+from . import decontaminate, langid, packing, rollup, sharding, simhash, vectors, warc
 from .tokens import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +83,21 @@ def op9_token_rollup(spark: SparkSession, root: str) -> DataFrame:
     for name, events in (("load", load), ("repeats", drop), ("load", load), ("bpe", revise)):
         rollup.commit(events, store, name)
     return rollup.totals(spark, store, ["load", "repeats", "bpe"])
+
+
+@query
+def op3_language_id(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(langid.trained_on()))
+    return langid.predict(docs.drop("lang"), model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op6_benchmark_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    """One row per document and benchmark item that occurs in it, with the distance and the place of the best occurrence."""
+    return decontaminate.contaminated(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
+@query
+def op10_embedding_near_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, root, "embeddings"))
