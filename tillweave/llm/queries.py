@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise, scratch_path
-from . import decontaminate, langid, packing, rollup, sharding, simhash, vectors, warc
+from . import decontaminate, extract, langid, packing, rollup, sharding, simhash, vectors, warc
 from .tokens import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,8 @@ def op6_benchmark_decontamination(spark: SparkSession, root: str) -> DataFrame:
 @query
 def op10_embedding_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, root, "embeddings"))
+
+
+@query
+def op7_html_wrapper(spark: SparkSession, root: str) -> DataFrame:
+    return extract.main_text(table(spark, root, "pages"))
