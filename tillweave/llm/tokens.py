@@ -3,81 +3,102 @@
 from __future__ import annotations
 
 import re
+import string
 import unicodedata
 
 import numpy as np
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-#: Entries of the word memory; it is emptied when full, which only costs time.
-MEMORY = 400_000
+#: Words in each of the two generations of the memory; older ones are forgotten, which only costs time.
+MEMORY = 350_000
 #: Characters of the longest word that is remembered.
 LONGEST = 64
 _SPACE = re.compile("[ \t\r\n]")
+#: A full stop or comma at a word's end that belongs to a longer run of marks or to a marker of the vocabulary.
+_JOINED = re.compile(r"(?:[^\w\s]|_)[.,][ \n]")
 
 
 class WordTokenizer:
     """Ids of a lower-casing word-level BPE, equal to the library's on the whole text.
 
     The vocabulary drops white space before it merges, so a text's ids are those of
-    its words one after another. Words without digits or inner punctuation are looked
-    up as letters and tail; what is missing is encoded in one call per batch.
-    ``encode(texts)`` gives one ``bytes`` of little-endian unsigned 32-bit ids per text.
+    its words one after another. Words of letters are lowered and merged by the same
+    model without the text preparation they don't need, all that a text lacks in one
+    call, and their tail of punctuation is looked up; other words go through the whole
+    tokenizer. ``encode(texts)`` gives one ``bytes`` of little-endian unsigned 32-bit
+    ids per text.
     """
 
     def __init__(self, path: str):
         self.rust = Tokenizer.from_file(path)
+        self.merges = Tokenizer.from_file(path)
+        self.merges.normalizer = normalizers.Sequence([])
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.rust.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for piece, number in vocabulary.items():
             self.ends[number] = piece.endswith("</w>")
         self.words: dict[str, bytes] = {"": b""}
         self.letters: dict[str, bytes] = {}
+        self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.rust.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _fill(self, missing: list[str]) -> None:
-        split, fresh = [], {}
+    def _fill(self, missing: set[str]) -> None:
+        words, letters = self.words, self.letters
+        old_words, old_letters = self.older
+        split, fresh = [], set()
         for word in missing:
-            core = word.rstrip(".,;:!?")
+            if word in old_words:
+                words[word] = old_words[word]
+                continue
+            core = word.rstrip(string.punctuation)
             if core.isalpha() and len(word) <= LONGEST and (core.isascii() or (
                     unicodedata.is_normalized("NFC", word) and "Σ" not in core and "İ" not in core)):
                 tail, core = word[len(core):], core.lower()
                 split.append((word, core, tail))
-                if core not in self.letters:
-                    fresh[core] = None
-                if tail and tail not in self.words:
-                    self.words[tail] = self._plain(tail)
+                if core not in letters:
+                    if core in old_letters:
+                        letters[core] = old_letters[core]
+                    else:
+                        fresh.add(core)
+                if tail and tail not in words:
+                    words[tail] = self._plain(tail)
             else:
-                self.words[word] = self._plain(word)
+                words[word] = self._plain(word)
         if fresh:
             names = list(fresh)
-            ids = np.array(self.rust.encode(" ".join(names), add_special_tokens=False).ids, dtype="<u4")
+            ids = np.array(self.merges.encode_batch_fast([" ".join(names)], add_special_tokens=False)[0].ids, dtype="<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(names):
                 raw, at = ids.tobytes(), 0
                 for name, stop in zip(names, (stops * 4).tolist()):
-                    self.letters[name] = raw[at:stop]
+                    letters[name] = raw[at:stop]
                     at = stop
             else:
-                self.letters.update((name, self._plain(name)) for name in names)
-        words, letters = self.words, self.letters
+                letters.update((name, self._plain(name)) for name in names)
         for word, core, tail in split:
             words[word] = letters[core] + words[tail] if tail else letters[core]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out, known = [], self.words
+        out = []
         for text in texts:
+            if not _JOINED.search(text):  # then a sentence's marks are pieces of their own anyway
+                text = text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " . ")
             parts = _SPACE.sub(" ", text).split(" ") if "\t" in text or "\r" in text else text.replace("\n", " ").split(" ")
-            missing = [w for w in set(parts) if w not in known]
-            if missing:
-                if len(known) + len(missing) > MEMORY:
-                    known.clear()
-                    self.letters.clear()
-                    known[""] = b""
-                    missing = [w for w in set(parts) if w]
+            ids = list(map(self.words.get, parts))
+            if None in ids:
+                lacking = [k for k, v in enumerate(ids) if v is None]
+                missing = {parts[k] for k in lacking}
+                if len(self.words) + len(missing) > MEMORY:
+                    self.older = (self.words, self.letters)
+                    self.words, self.letters = {"": b""}, {}
                 self._fill(missing)
-            out.append(b"".join([known[w] for w in parts]))
+                for k in lacking:
+                    ids[k] = self.words[parts[k]]
+            out.append(b"".join(ids))
         return out
 
 
