@@ -38,3 +38,22 @@ with recursive v as (
 select e.vec_id, coalesce(k.n, 0)::bigint as n_links, c.component_id, e.vec_id = c.component_id as kept
 from embeddings e join c on c.node = e.vec_id left join k on k.a = e.vec_id
 """
+
+ORACLE["op8_repeated_passages"] = r"""
+with w as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents
+), p as (
+  select doc_id, unnest(range(0, greatest(len(ws) - 19, 0))) as i, ws from w
+), q as (
+  select doc_id, i, row_number() over (partition by array_to_string(ws[i + 1:i + 20], ' ') order by doc_id, i) > 1 as again from p
+), x as (
+  select doc_id, unnest(range(0, len(ws))) as i, unnest(ws) as word from w
+), c as (
+  select x.doc_id, x.i, word, coalesce(bool_or(again) over (partition by x.doc_id order by x.i rows between 19 preceding and current row), false) as gone
+  from x left join q on q.doc_id = x.doc_id and q.i = x.i
+), k as (
+  select doc_id, count(*) as n, count_if(gone) as g, coalesce(string_agg(word, ' ' order by i) filter (where not gone), '') as kept from c group by doc_id
+)
+select w.doc_id, coalesce(n, 0)::bigint as n_words, coalesce(g, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from w left join k using (doc_id)
+"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise, scratch_path
-from . import decontaminate, extract, langid, packing, rollup, sharding, simhash, vectors, warc
+from . import decontaminate, extract, langid, packing, rollup, sharding, simhash, substrings, vectors, warc
 from .tokens import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,9 @@ def op10_embedding_near_dedup(spark: SparkSession, root: str) -> DataFrame:
 @query
 def op7_html_wrapper(spark: SparkSession, root: str) -> DataFrame:
     return extract.main_text(table(spark, root, "pages"))
+
+
+@query
+def op8_repeated_passages(spark: SparkSession, root: str) -> DataFrame:
+    cut = substrings.without_repeats(table(spark, root, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
