@@ -35,8 +35,8 @@ MARGIN = 0.15
 
 def _units(batch: pa.RecordBatch) -> Iterator[bytes | None]:
     """Each vector divided by its length, as the bytes of doubles; None if it can link with nothing."""
-    for vector, label in zip(batch.column("vector").to_pylist(), batch.column("label").to_pylist()):
-        if vector is None or label is None or not len(vector) or any(x is None for x in vector):
+    for name, vector, label in zip(*(batch.column(c).to_pylist() for c in ("id", "vector", "label"))):
+        if name is None or vector is None or label is None or not len(vector) or any(x is None for x in vector):
             yield None
             continue
         v = np.array(vector, dtype=np.float64)
@@ -153,7 +153,7 @@ def compare(f: pd.DataFrame, least: float) -> pd.DataFrame:
             a, b = a[first], b[first]
         ones.append(a)
         others.append(b)
-    a, b = np.concatenate(ones), np.concatenate(others)
+    a, b = np.concatenate([*ones, left[:0]]), np.concatenate([*others, left[:0]])
     links = np.bincount(a, n[b], len(f)) + np.bincount(b, n[a], len(f))
     root = _forest(a, b, len(f))
     found = links > 0
@@ -166,7 +166,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
 
     Links join vectors of one label (and length) whose cosine in double precision is at
     least ``least``. Null, empty and zero vectors, vectors with a null or non-finite
-    component and rows without a label link with nothing and form their own component.
+    component and rows without a label or an id link with nothing and form their own component.
     Rows with equal directions link with each other. Other columns are ignored.
     """
     spark = vectors.sparkSession
