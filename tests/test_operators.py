@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillweave import schema as sc
-from tillweave.functions import joins
+from tillweave.functions import quantiles
 from tillweave.functions.quantiles import approx_quantiles, exact_quantiles
-from tillweave.functions.windows import split_long_series
-from tillweave.operators import backtest, calendar, cleaning, compare, exports, features, quality, relational, splits
+from tillweave.functions.windows import in_blocks
+from tillweave.operators import backtest, calendar, cleaning, compare, exports, features, quality, relational, scoring, splits
 from tillweave.plans import stages
 from tillweave.session import scratch_path, shared_dir
 from tillweave.sources import files
@@ -24,7 +24,8 @@ def rows(df, *order):
 # --- quantiles
 
 @pytest.mark.parametrize("few", [3, 50, 100_000])
-def test_exact_quantiles_equal_numpy(spark, few):
+def test_exact_quantiles_equal_numpy(spark, few, monkeypatch):
+    monkeypatch.setattr(quantiles, "FEW", few)
     rng = np.random.default_rng(7)
     n = 3000
     data = pd.DataFrame({
@@ -34,12 +35,22 @@ def test_exact_quantiles_equal_numpy(spark, few):
     df = spark.createDataFrame(data).select(
         *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in data.columns], F.lit(None).cast("double").alias("empty"))
     probs = (0.0, 0.1, 0.25, 0.75, 1.0)
-    got = exact_quantiles(df, df.columns, probs, few=few)
+    got = exact_quantiles(df, df.columns, probs)
     assert got.pop("empty") == [None] * len(probs)
     for c, values in got.items():
         assert values == pytest.approx(list(np.nanquantile(data[c], probs)), abs=1e-12), c
 
 
+@pytest.mark.parametrize("few", [3, 100_000])
+def test_weighted_quantiles_equal_repeated_rows(spark, few, monkeypatch):
+    monkeypatch.setattr(quantiles, "FEW", few)
+    rng = np.random.default_rng(9)
+    v, w = rng.integers(0, 40, 300).astype(float), rng.integers(1, 60, 300)
+    df = spark.createDataFrame(pd.DataFrame({"v": v, "w": w}))
+    got = exact_quantiles(df, ["v"], (0.0, 0.25, 0.5, 0.99), "w")["v"]
+    assert got == pytest.approx(list(np.quantile(np.repeat(v, w), (0.0, 0.25, 0.5, 0.99))))
+
+
 def test_exact_quantiles_of_nothing(spark):
     assert exact_quantiles(spark.range(0).toDF("x"), ["x"], (0.5,)) == {"x": [None]}
 
@@ -65,23 +76,42 @@ def _both(df, by):
 
 @pytest.mark.parametrize("block_days", [14, 60, 400])
 def test_blocks_equal_whole_series(spark, panel, block_days):
-    # Gaps of uneven length, so halos reach over several blocks; store 1 stays whole.
+    # Gaps of uneven length, so halos reach over several blocks.
     holes = panel.where("Store = 1 or pmod(xxhash64(Store, Date), 5) < 2")
     shorter = holes.where("Store <> 1 or Date < '2020-09-01'")
     whole = _both(shorter, sc.SERIES)
-    cut = split_long_series(shorter, _both, features.LOOKBACK, max_rows=40, block_days=block_days)
+    cut = in_blocks(shorter, _both, features.LOOKBACK, block_days=block_days)
     assert cut.columns == whole.columns
     a, b = (df.toPandas().sort_values(list(sc.KEY), ignore_index=True) for df in (whole, cut))
     pd.testing.assert_frame_equal(a, b)
 
 
-def test_build_features_in_blocks(spark, panel):
-    timed = calendar.calendar_features(panel).withColumns({
-        "Temperature": F.lit(50.0), "Fuel_Price": F.lit(3.0), "Size": F.lit(10000.0), "Type": F.lit("A"), "MarkDownSum": F.lit(0.0)})
-    a, b = (features.build_features(timed, n).toPandas().sort_values(list(sc.KEY), ignore_index=True) for n in (None, 50))
+def test_lookback_features_in_blocks(spark, panel):
+    flagged = panel.withColumn("is_holiday_week", F.col("IsHoliday"))
+    whole, cut = features.lookback_features(flagged), in_blocks(flagged, features.lookback_features, features.LOOKBACK, 200)
+    a, b = (df.toPandas().sort_values(list(sc.KEY), ignore_index=True) for df in (whole, cut))
     pd.testing.assert_frame_equal(a, b[a.columns])
 
 
+def test_rolling_metrics_keep_models_apart(spark, panel):
+    preds = backtest.baseline_forecast(panel, (4, "mean")).select("model", *sc.KEY, "fold", "y_true", "y_pred")
+    a, b = (scoring.rolling_metrics(p) for p in (preds, preds.orderBy(F.rand(5)).repartition(6)))
+    assert rows(a.select("model", *sc.KEY, "fold", F.round("rolling_mae", 6))) == rows(b.select("model", *sc.KEY, "fold", F.round("rolling_mae", 6)))
+    one = scoring.rolling_metrics(preds.where("model = 'train_mean'"))
+    assert rows(a.where("model = 'train_mean'").select(*sc.KEY, "fold", F.round("rolling_mae", 6))) == rows(one.select(*sc.KEY, "fold", F.round("rolling_mae", 6)))
+
+
+def test_baselines_need_no_nested_loop(spark, panel, tmp_path):
+    plan = backtest.baseline_forecast(files.read_parquet(spark, files.write_parquet(panel, f"{tmp_path}/p")))._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_partitioned_parquet_keeps_types_and_order(spark, panel, tmp_path):
+    path = files.write_parquet(panel, f"{tmp_path}/p", ["Dept"])
+    again = files.read_parquet(spark, path, panel.schema)
+    assert again.dtypes == panel.dtypes and rows(again) == rows(panel)
+
+
 def test_shuffled_input_gives_the_same_features(spark, panel):
     a, b = (_both(p, sc.SERIES).toPandas().sort_values(list(sc.KEY), ignore_index=True)
             for p in (panel, panel.orderBy(F.rand(3)).repartition(7)))
@@ -131,14 +161,6 @@ def test_feature_columns_leave_out_keys_and_backtest_columns(spark, panel):
     assert features.feature_columns(df) == ["x"]
 
 
-def test_measured_join_has_another_way(spark, panel):
-    small = panel.groupBy("Dept").agg(F.avg("Weekly_Sales").alias("m"))
-    a = joins.join_measured(panel, small, ["Dept"])
-    b = joins.join_measured(panel, small, ["Dept"], max_rows=1)
-    assert rows(a.select("Store", "Date", "Dept")) == rows(b.select("Store", "Date", "Dept"))
-    assert rows(a.select(F.round("m", 6)).distinct()) == rows(b.select(F.round("m", 6)).distinct())
-
-
 # --- cleaning
 
 def _weeks(spark, values, store=1):
@@ -234,7 +256,7 @@ def test_protocol_and_single_plan_agree(spark, panel):
         assert rows(a.select(b.columns)) == rows(b)
 
 
-def test_failing_fold_is_left_out(spark, panel):
+def test_failing_fold_is_a_row(spark, panel):
     class Moody(backtest.SeriesMean):
         calls = 0
 
@@ -244,9 +266,9 @@ def test_failing_fold_is_left_out(spark, panel):
                 raise ValueError("no")
             return super().fit(train)
 
-    with pytest.warns(UserWarning, match="left out"):
-        got = backtest.backtest(panel, Moody(4))
-    assert {r.fold for r in got.select("fold").distinct().collect()} == {1, 3, 4}
+    got = backtest.backtest(panel, Moody(4))
+    assert {r.fold for r in got.where("error is null").select("fold").distinct().collect()} == {1, 3, 4}
+    assert [(r.fold, r.error, r.y_pred) for r in got.where("error is not null").collect()] == [(2, "no", None)]
 
 
 def test_ranks_share_ties(spark):

@@ -350,10 +350,10 @@ STATEMENTS = {
     "time_series_checks": "select cast(0 as bigint) as null_dates, (select count(*) from sale_lines) - (select count(*) from (select distinct Store, Dept, Date from sale_lines)) as duplicates, coalesce(stddev_samp(span) > 7, false) as inconsistent from (select cast(max(Date) - min(Date) as bigint) as span from sale_lines group by Store, Dept)",
     "unmatched_counts": "select count(*) - count(Temperature) as unmatched_features, count(*) - count(Type) as unmatched_stores from merged",
     "series_counts": "select Store, Dept, count(*) as rows from sales group by Store, Dept",
-    "validate_model_input": "select 'non_empty' as \"check\", true as ok, cast(count(*) as varchar) as detail from sales union all select 'required_columns', true, '' union all select 'null_keys', true, '0' union all select 'date_type', true, 'date'",
-    "validate_predictions": """select count(*) as rows, count(case when Dept = 6 then 1 end) as unmatched, count(case when Dept = 6 then 1 end) as missing,
-  cast(0 as bigint) as infinite, count(case when y_true < 0 or (Dept <> 6 and y_pred < 30000) then 1 end) as negative,
-  count(case when Dept = 6 then 1 end) = 0 as valid from preds where model = 'trailing_4_mean' and fold = 4""",
+    "validate_model_input": "select 'non_empty' as \"check\", 'error' as severity, true as ok, cast(count(*) as varchar) as detail from sales union all select 'required_columns', 'error', true, '' union all select 'null_keys', 'warning', true, '0' union all select 'date_type', 'error', true, 'date'",
+    "validate_predictions": """select count(*) + count(case when Dept = 6 then 1 end) as rows, 2 * count(case when Dept = 6 then 1 end) as unmatched, 2 * count(case when Dept = 6 then 1 end) as missing,
+  cast(0 as bigint) as infinite, count(case when Dept <> 6 and (y_true < 0 or y_pred < 30000) then 1 end) + count(case when Dept = 6 and y_true < 0 then 1 end)
+  + count(case when Dept = 6 and y_pred < 30000 then 1 end) as negative, count(case when Dept = 6 then 1 end) = 0 as valid from preds""",
     "quality_report": _quality(),
     "join_features": f"select {SALES_COLS}, {COVARIATES} from merged",
     "join_stores": f"select {SALES_COLS}, Type, Size from merged",
@@ -363,7 +363,7 @@ STATEMENTS = {
     "filter_panel": f"select {SALES_COLS} from sales where Store = 3 and Date between date '1997-01-01' and date '1999-12-31'",
     "top_series": f"select Store, Dept, {r('total_revenue', digits=2)} from top50",
     "restrict_to_series": f"select {SALES_COLS} from sales where (Store, Dept) in (select (s.Store, s.Dept) from sales s join top50 t on s.Store = t.Store and s.Dept = t.Dept group by s.Store, s.Dept having count(*) >= 100)",
-    "union_forecasts": f"select {PRED_COLS} from preds where fold = 1 union all select model, fold, Store, Dept, Date, null, null, {r('y_true')}, {r('y_pred')} from preds where fold = 2",
+    "union_forecasts": f"select {PRED_COLS} from preds where fold <= 2 union all select model, fold, Store, Dept, Date, null, null, {r('y_true')}, {r('y_pred')} from preds where fold > 2",
     "with_defaults": f"select {SALES_COLS}, {r('Weekly_Sales', 'y_true')}, 0.0::double as y_pred, cast(1 as bigint) as fold, 0.0::double as MarkDownSum from sales",
     "filter_options": """select distinct 'model' as "option", model as value from preds union all select distinct 'store', cast(Store as varchar) from preds
   union all select distinct 'dept', cast(Dept as varchar) from preds where Store = 3
@@ -416,18 +416,18 @@ STATEMENTS = {
     "build_features": _build_features(),
     "all_metrics": f"select {ALL_METRICS} from preds",
     "metrics_by": f"select model, Store, {ALL_METRICS} from preds group by model, Store",
-    "rolling_metrics": "select Store, Dept, Date, fold, " + rs(("y_true", "y_pred")) + ", " + ", ".join(
+    "rolling_metrics": "select model, Store, Dept, Date, fold, " + rs(("y_true", "y_pred")) + ", " + ", ".join(
         r(f"case when count(*) over w = 13 then {e} end", f"rolling_{n}") for n, e in (
             ("mae", "avg(abs(y_true - y_pred)) over w"), ("rmse", "sqrt(avg((y_true - y_pred) * (y_true - y_pred)) over w)"),
             ("mape", "100 * avg(case when y_true <> 0 then abs((y_true - y_pred) / y_true) end) over w"))) +
-        f" from preds where model = 'train_mean' window w as ({W} rows between 12 preceding and current row)",
+        " from preds window w as (partition by model, Store, Dept order by Date, fold rows between 12 preceding and current row)",
     "mape_unguarded": f"""select Dept, case when max(case when y = 0 then 1 else 0 end) = 1 then 'Infinity'::double else {r(METRIC_SQL['mape'].replace('y_true', 'y'), 'x').removesuffix(' as x')} end as mape,
   {r(METRIC_SQL['mape'].replace('y_true', 'y'), 'guarded')} from (select *, case when Dept = 1 and IsHoliday then 0 else y_true end as y from preds) group by Dept""",
     "time_split": f"select {SALES_COLS}, case when Date <= {_SPLIT} then 'train' else 'test' end as split from sales",
     "split_dates": "select max(case when i = cast(floor(n * 0.8) as bigint) - 1 then Date end) as train_end, max(case when i = cast(floor(n * 0.8) as bigint) then Date end) as test_start from dates",
     "fold_bounds": "select fold, train_start, train_end, test_start, test_end from folds",
     "assign_folds": f"select fold, role, {SALES_COLS} from assigned",
-    "backtest_series_mean": f"select {PRED_COLS} from preds where model = 'trailing_4_mean'",
+    "backtest_series_mean": f"select {PRED_COLS}, cast(null as varchar) as error from preds where model = 'trailing_4_mean'",
     "evaluate_fold": f"select model, fold, {ALL_METRICS} from preds where fold = 2 group by model, fold",
     "fold_metrics": f"select model, fold, {ALL_METRICS} from preds group by model, fold",
     "fold_summary": f"select model, {_STAT_COLS} from scores group by model",

@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 
 from .. import schema as sc
 from ..functions import metrics as m
-from ..functions.windows import split_long_series
+from ..functions.expr import is_infinite
+from ..functions.windows import in_blocks
 from ..models.additive import LocalModel, series_info, training_summary
 from ..models.boosted import BoostedParams, GlobalModel
 from ..operators import (backtest, calendar, cleaning, compare, exports, features, quality, relational, scoring,
@@ -34,7 +35,9 @@ def published(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DoubleType):
             scale = F.lit(10.0 ** special.get(f.name, digits))
-            return F.when(F.abs(c) < 1e12, F.floor(c * scale + 0.53) / scale).otherwise(c).alias(f.name)
+            raised = c * scale + 0.53
+            # a floor that stays a double, at any magnitude; infinite values are their own form
+            return F.when(is_infinite(c), c).otherwise((raised - F.pmod(raised, F.lit(1.0))) / scale).alias(f.name)
         if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             return c.cast("long").alias(f.name)
         return c
@@ -87,7 +90,7 @@ def csv_roundtrip(spark, root):
 @query()
 def parquet_roundtrip(spark, root):
     path = files.write_parquet(tables(spark, root).sales, scratch_path(spark, "parquet"), ["Dept"])
-    return files.read_parquet(spark, path).select(*sc.SALES.names)
+    return files.read_parquet(spark, path, sc.SALES)
 
 
 @query(total_revenue=2)
@@ -195,9 +198,10 @@ def validate_model_input(spark, root):
 
 @query()
 def validate_predictions(spark, root):
-    preds = forecasts(spark, root).where("model = 'trailing_4_mean' and fold = 4")
-    guess = preds.where("Dept <> 6").withColumn("y_pred", F.col("y_pred") - 30000)
-    return quality.validate_predictions(preds, guess)
+    preds = forecasts(spark, root)
+    # another number for one department: its rows find no partner on either side
+    guess = preds.withColumns({"y_pred": F.col("y_pred") - 30000, "Dept": F.when(F.col("Dept") == 6, 1006).otherwise(F.col("Dept"))})
+    return quality.validate_predictions(preds, guess, ("model", "fold", *sc.KEY))
 
 
 @query()
@@ -255,7 +259,7 @@ def restrict_to_series(spark, root):
 @query()
 def union_forecasts(spark, root):
     preds = forecasts(spark, root)
-    return relational.union_forecasts(preds.where("fold = 1"), preds.where("fold = 2").drop("IsHoliday", "Weekly_Sales"))
+    return relational.union_forecasts(preds.where("fold <= 2"), preds.where("fold > 2").drop("IsHoliday", "Weekly_Sales"))
 
 
 @query()
@@ -414,7 +418,7 @@ def lookback_in_blocks(spark, root):
     def lookback(df, by):
         return features.rolling_mean(features.lags(df, by=by), by=by)
 
-    return split_long_series(tables(spark, root).sales, lookback, features.LOOKBACK, max_rows=60, block_days=180)
+    return in_blocks(tables(spark, root).sales, lookback, features.LOOKBACK, block_days=180)
 
 
 @query()
@@ -508,8 +512,7 @@ def metrics_by(spark, root):
 
 @query()
 def rolling_metrics(spark, root):
-    preds = forecasts(spark, root).where("model = 'train_mean'").select(*sc.KEY, "fold", "y_true", "y_pred")
-    return scoring.rolling_metrics(preds, by=("Store", "Dept"))
+    return scoring.rolling_metrics(forecasts(spark, root).select("model", *sc.KEY, "fold", "y_true", "y_pred"))
 
 
 @query()

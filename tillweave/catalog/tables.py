@@ -7,7 +7,6 @@ every query, so a query measures its own operator and not the derivation.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,7 +40,7 @@ _FEATURED: dict[tuple[str, str], DataFrame] = {}
 
 def clean(spark: SparkSession, root: str) -> DataFrame:
     t = tables(spark, root)
-    return cleaning.clean_panel(t.sales, t.features, t.stores, stage=partial(materialise, name="filled"))
+    return cleaning.clean_panel(t.sales, t.features, t.stores)
 
 
 def featured(spark: SparkSession, root: str) -> DataFrame:

@@ -32,5 +32,6 @@ def unpivot(df: DataFrame, values: Mapping[str, Column], name: str, value: str,
 
 
 def one_row(df: DataFrame, small: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row."""
-    return df.crossJoin(F.broadcast(small))
+    """Attach the columns of a one-row aggregate to every row, as a scalar subquery: no join."""
+    row = small.select(F.struct(*[F.col(c) for c in small.columns]).alias("row")).scalar()
+    return df.withColumn("_row", row).select(*df.columns, *[F.col(f"_row.{c}").alias(c) for c in small.columns])

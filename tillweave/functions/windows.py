@@ -1,4 +1,4 @@
-"""Window specifications over series, and a way to split very long series."""
+"""Window specifications over series, and a way to cut them into blocks."""
 
 from __future__ import annotations
 
@@ -27,29 +27,20 @@ def trailing(window: WindowSpec, rows: int) -> WindowSpec:
     return window.rowsBetween(-(rows - 1), 0)
 
 
-def split_long_series(df: DataFrame, apply: Callable[[DataFrame, Sequence[str]], DataFrame], lookback: int,
-                      max_rows: int, block_days: int = 3650, by: Sequence[str] = SERIES,
-                      order: str = DATE) -> DataFrame:
-    """Run a look-back operator with over-long series cut into calendar blocks.
+def in_blocks(df: DataFrame, apply: Callable[[DataFrame, Sequence[str]], DataFrame], lookback: int,
+              block_days: int = 3650, by: Sequence[str] = SERIES, order: str = DATE) -> DataFrame:
+    """Run a look-back operator with all series cut into calendar blocks.
 
-    ``apply(df, by)`` may look at no more than ``lookback`` earlier rows. Series of
-    more than ``max_rows`` rows are cut every ``block_days`` days; each block is
-    preceded by a halo, the ``lookback`` rows before it, which is dropped again
-    afterwards. The blocks of a hot series thus run in different tasks, and all
-    other series pass through as one block. The result equals ``apply(df, by)``.
+    ``apply(df, by)`` may look at no more than ``lookback`` earlier rows. Series are
+    cut every ``block_days`` days; each block is preceded by a halo, the ``lookback``
+    rows before it, which is dropped again afterwards. The blocks of a series thus run
+    in different tasks. The result equals ``apply(df, by)``.
     """
     by = list(by)
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    # At most |df| / max_rows series; their keys still go through a normal join,
-    # where the optimizer broadcasts them only when they are measured to be small.
-    long_series = sizes.where(F.col("_rows") > max_rows).select(*by, F.lit(True).alias("_long"))
-    block = F.floor(F.datediff(order, F.lit("1970-01-01").cast("date")) / block_days)
-    marked = df.join(long_series, by, "left").withColumn(
-        BLOCK, F.when(F.col("_long"), block).otherwise(F.lit(0))).drop("_long")
+    cut = df.withColumn(BLOCK, F.floor(F.datediff(order, F.lit("1970-01-01").cast("date")) / block_days))
 
-    # Rows of each block of the long series, and how many rows of the block before
-    # it, the one before that, ... are still wanted in its halo.
-    cut = df.join(long_series.drop("_long"), by, "left_semi").withColumn(BLOCK, block)
+    # Rows of each block, and how many rows of the block before it, the one before
+    # that, ... are still wanted in its halo.
     counts = cut.groupBy(*by, BLOCK).agg(F.count(F.lit(1)).alias("_n"))
     later = Window.partitionBy(*by).orderBy(BLOCK).rowsBetween(1, lookback)
     between = Window.partitionBy(*by, BLOCK).orderBy("_target").rowsBetween(Window.unboundedPreceding, -1)
@@ -64,5 +55,5 @@ def split_long_series(df: DataFrame, apply: Callable[[DataFrame, Sequence[str]],
     halo = (tails.join(targets, [*by, BLOCK]).where(F.col("_rd") <= F.col("_want"))
             .withColumn(BLOCK, F.col("_target")).select(*df.columns, BLOCK, F.lit(True).alias(HALO)))
 
-    both = marked.select(*df.columns, BLOCK, F.lit(False).alias(HALO)).unionByName(halo)
+    both = cut.select(*df.columns, BLOCK, F.lit(False).alias(HALO)).unionByName(halo)
     return apply(both, [*by, BLOCK]).where(~F.col(HALO)).drop(BLOCK, HALO)

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Sequence
 from functools import reduce
 from typing import Protocol
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.expr import one_row
 from ..functions.windows import series_window, trailing
 from ..schema import DATE, METRICS, SERIES, TARGET
 from .scoring import metrics_by
-from .splits import assign_folds, fold_bounds
+from .splits import as_array, fold_bounds
 
 
 class Forecaster(Protocol):
@@ -29,24 +29,27 @@ def backtest(df: DataFrame, model: Forecaster, folds: int = 4, horizon: int = 13
              target: str = TARGET) -> DataFrame:
     """Fit and predict fold by fold; the driver loops over the few folds only.
 
-    A fold whose fit raises is left out with a warning. The bounds are collected,
-    one row per fold, so that each fold is a plain date filter on the panel.
+    A fold whose fit raises gives one row instead, with the fold's number and the
+    ``error``, which is null in all others. The bounds are collected, one row per fold,
+    so that each fold is a plain date filter on the panel.
     """
-    done = []
+    done, failed = [], []
     for b in fold_bounds(df, folds, horizon, date).orderBy("fold").collect():
         train = df.where(F.col(date).between(F.lit(b.train_start), F.lit(b.train_end)))
         test = df.where(F.col(date).between(F.lit(b.test_start), F.lit(b.test_end)))
         try:
             preds = model.fit(train).predict(test)
         except Exception as error:  # any model may fail; the other folds still count
-            warnings.warn(f"fold {b.fold} of {model.name} left out: {error}")
+            failed.append((model.name, b.fold, str(error)))
             continue
         done.append(preds.select(
             F.lit(model.name).alias("model"), F.lit(b.fold).alias("fold"), *[F.col(c) for c in df.columns],
-            F.col(target).alias("y_true"), "y_pred"))
+            F.col(target).alias("y_true"), "y_pred", F.lit(None).cast("string").alias("error")))
     if not done:
-        raise ValueError(f"no fold of {model.name} could be fitted")
-    return reduce(DataFrame.unionByName, done)
+        raise ValueError(f"no fold of {model.name} could be fitted: {[e for _, _, e in failed]}")
+    if failed:
+        done.append(df.sparkSession.createDataFrame(failed, "model string, fold int, error string"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), done)
 
 
 def _label(kind: str | int) -> str:
@@ -91,15 +94,24 @@ def baseline_forecast(df: DataFrame, kinds: Sequence[int | str] = (4, 13, "mean"
     bounds = fold_bounds(df, folds, horizon)
     w = series_window(by)
     means = {_label(k): F.avg(target).over(trailing(w, k)) for k in kinds if k != "mean"}
-    tracked = df.withColumns({f"_{n}": c for n, c in means.items()})
-    rows = assign_folds(tracked, bounds)
-    levels = rows.where(F.col("role") == "train").groupBy(*by, "fold").agg(*[
-        (F.avg(target) if k == "mean" else F.max_by(f"_{_label(k)}", DATE)).alias(f"_level_{_label(k)}") for k in kinds])
-    test = rows.where(F.col("role") == "test").select("fold", *df.columns)
+    tracked = one_row(df.withColumns({f"_{n}": c for n, c in means.items()}), as_array(bounds))
+
+    def level(k: int | str, f: int) -> Column:
+        b = F.get("_bounds", F.lit(f))
+        learnt = F.col(DATE).between(b["train_start"], b["train_end"])
+        if k == "mean":
+            return F.avg(F.when(learnt, F.col(target)))
+        return F.max_by(f"_{_label(k)}", F.when(learnt, F.col(DATE)))
+
+    # one row per series with the levels of all folds: no row is copied
+    levels = tracked.groupBy(*by).agg(*[
+        F.array(*[level(k, f) for f in range(folds)]).alias(f"_level_{_label(k)}") for k in kinds])
+    tested = F.filter("_bounds", lambda b: F.col(DATE).between(b["test_start"], b["test_end"]))
+    test = one_row(df, as_array(bounds)).select(F.explode(F.transform(tested, lambda b: b["fold"])).alias("fold"), *df.columns)
     named = F.array(*[F.struct(
         F.lit(_label(k)).alias("model"),
-        F.greatest(F.coalesce(f"_level_{_label(k)}", F.lit(0.0)), F.lit(0.0)).alias("y_pred")) for k in kinds])
-    return (test.join(levels, [*by, "fold"], "left")
+        F.greatest(F.coalesce(F.get(f"_level_{_label(k)}", F.col("fold") - 1), F.lit(0.0)), F.lit(0.0)).alias("y_pred")) for k in kinds])
+    return (test.join(levels, by, "left")
             .select(F.explode(named).alias("_f"), "fold", *df.columns)
             .select("_f.model", "fold", *df.columns, F.col(target).alias("y_true"), "_f.y_pred"))
 

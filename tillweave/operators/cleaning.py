@@ -103,10 +103,15 @@ def fill_defaults(df: DataFrame) -> DataFrame:
 
 
 def outlier_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5, approximate: bool = False,
-                   skip_zero_iqr: bool = False, fit_until: str | None = None, date: str = DATE) -> dict[str, tuple]:
-    """(lower, upper) of each column that has values: ``[Q1 - k*IQR, Q3 + k*IQR]``."""
+                   skip_zero_iqr: bool = False, fit_until: str | None = None, date: str = DATE,
+                   weight: str | None = None) -> dict[str, tuple]:
+    """(lower, upper) of each column that has values: ``[Q1 - k*IQR, Q3 + k*IQR]``. A row
+    counts ``weight`` times, if given; the sketch of ``approximate`` can't weigh rows."""
     base = df if fit_until is None else df.where(F.col(date) <= F.lit(fit_until).cast("date"))
-    quartiles = (approx_quantiles if approximate else exact_quantiles)(base, cols, (0.25, 0.75))
+    if approximate and weight is None:
+        quartiles = approx_quantiles(base, cols, (0.25, 0.75))
+    else:
+        quartiles = exact_quantiles(base, cols, (0.25, 0.75), weight)
     bounds = {}
     for c, (q1, q3) in quartiles.items():
         if q1 is not None and not (skip_zero_iqr and q1 == q3):
@@ -118,12 +123,7 @@ def _measures(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
     return list(cols) if cols is not None else numeric_columns(df, exclude=(STORE, DEPT))
 
 
-def cap_outliers(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.5, **how) -> DataFrame:
-    """Clip each column to its outlier bounds; by default every numeric column but
-    the keys, the target included. Capped columns become double."""
-    cols = _measures(df, cols)
-    bounds = outlier_bounds(df, cols, k, **how)
-
+def _capped(df: DataFrame, cols: Sequence[str], bounds: dict[str, tuple]) -> DataFrame:
     def capped(c: str) -> Column:
         value = F.col(c).cast("double")
         if c not in bounds:
@@ -135,6 +135,13 @@ def cap_outliers(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.
     return df.withColumns({c: capped(c) for c in cols})
 
 
+def cap_outliers(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.5, **how) -> DataFrame:
+    """Clip each column to its outlier bounds; by default every numeric column but
+    the keys, the target included. Capped columns become double."""
+    cols = _measures(df, cols)
+    return _capped(df, cols, outlier_bounds(df, cols, k, **how))
+
+
 def outlier_counts(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.5, **how) -> DataFrame:
     """Values outside the bounds, per column."""
     cols = _measures(df, cols)
@@ -149,34 +156,60 @@ def outlier_counts(df: DataFrame, cols: Sequence[str] | None = None, k: float =
     return unpivot(totals, {c: F.col(f"c{i}") for i, c in enumerate(cols)}, "column", "outliers")
 
 
-def _finish(panel: DataFrame, stage: Callable[[DataFrame], DataFrame] | None, **cap) -> DataFrame:
-    ready = fill_defaults(panel)
-    return relational.cast_keys(cap_outliers(stage(ready) if stage else ready, **cap))
-
-
 def clean_merged(panel: DataFrame, stage: Callable[[DataFrame], DataFrame] | None = None, **cap) -> DataFrame:
     """Calendar, markdown total, standardised economy, fills and capping of a merged
-    panel whose markdowns are already filled."""
+    panel whose markdowns are already filled. ``stage`` may write the panel before the
+    quantile passes (see ``session.materialise``)."""
     timed = calendar.calendar_features(calendar.parse_dates(panel))
     marked = markdown_sum(timed.na.fill(0.0, [c for c in MARKDOWNS if c in timed.columns]))
-    filled = fill_over_days(zscore_by(marked), both=WEATHER, forward=("Size", "Type"))
-    return _finish(filled, stage, **cap)
+    ready = fill_defaults(fill_over_days(zscore_by(marked), both=WEATHER, forward=("Size", "Type")))
+    return relational.cast_keys(cap_outliers(stage(ready) if stage else ready, **cap))
+
+
+def _zscore_days(days: DataFrame, cols: Sequence[str], weight: str, by: str = STORE) -> DataFrame:
+    """``zscore_by`` of the rows that the days stand for, each ``weight`` times."""
+    def total(x: Column, c: str) -> Column:
+        return F.sum(F.when(F.col(c).isNotNull(), x))
+
+    n = F.col(weight)
+    means = days.groupBy(by).agg(*[a for c in cols for a in (
+        ratio(total(n * F.col(c), c), total(n, c)).alias(f"_mean_{c}"), total(n, c).alias(f"_n_{c}"),
+        (F.min(c) < F.max(c)).alias(f"_varies_{c}"))])
+    near = days.join(means, by, "left")
+    squares = near.groupBy(by).agg(*[F.sum(n * F.pow(F.col(c) - F.col(f"_mean_{c}"), F.lit(2))).alias(f"_squares_{c}") for c in cols])
+
+    def score(c: str) -> Column:
+        deviation = F.when(F.col(f"_varies_{c}"), F.sqrt(ratio(f"_squares_{c}", F.col(f"_n_{c}") - 1)))
+        return zero_if_null(ratio(F.col(c) - F.col(f"_mean_{c}"), deviation))
+
+    return near.join(squares, by, "left").withColumns({f"{c}_std": score(c) for c in cols}).select(
+        *days.columns, *[f"{c}_std" for c in cols])
 
 
-def clean_panel(sales: DataFrame, features: DataFrame, stores: DataFrame,
-                stage: Callable[[DataFrame], DataFrame] | None = None, **cap) -> DataFrame:
+def clean_panel(sales: DataFrame, features: DataFrame, stores: DataFrame, k: float = 1.5, approximate: bool = False, **cap) -> DataFrame:
     """The cleaned panel from its three tables.
 
-    Equal to ``clean_merged`` of the merged tables, but the covariates are filled
-    before they meet the departments' rows: on the days of the sales, one row per
-    store and day, so the panel is joined with them once. ``stage`` may write the
-    panel before the quantile passes (see ``session.materialise``), which then read
-    it and do not repeat the joins.
+    Equal to ``clean_merged`` of the merged tables, but everything that a row has by its
+    store and day is worked out on one row per store and day of the sales, with the
+    number of rows that it stands for: fills, calendar, standardisation, quartiles.
+    The panel itself is read for the quartiles of the sales, and joined with the days
+    once; nothing is written. (The sketch of ``approximate`` can't weigh rows and so
+    reads the joined panel, once.)
     """
-    days = sales.select(STORE, DATE).distinct().join(fill_markdowns(features), [STORE, DATE], "left")
-    covered = fill_days(days, both=WEATHER)
+    weight = "_rows"
+    days = calendar.parse_dates(sales).groupBy(STORE, DATE).agg(F.count(F.lit(1)).alias(weight))
+    covered = fill_days(days.join(fill_markdowns(features).drop("IsHoliday"), [STORE, DATE], "left"), both=WEATHER)
     # A store's attributes come from its one row in the dimension: nothing to carry along.
-    merged = relational.merge_sources(sales, covered, stores)
-    timed = calendar.calendar_features(calendar.parse_dates(merged), dates=sales)
+    timed = calendar.calendar_features(relational.join_stores(covered, stores), dates=days)
     marked = markdown_sum(timed.na.fill(0.0, [c for c in MARKDOWNS if c in timed.columns]))
-    return _finish(zscore_by(marked), stage, **cap)
+    economy = [c for c in ECONOMY if c in marked.columns]
+    ready = fill_defaults(_zscore_days(marked, economy, weight))
+    own = fill_defaults(calendar.parse_dates(sales))
+    of_days = [c for c in _measures(ready, None) if c != weight]
+    of_sales = [c for c in _measures(own, None) if c not in of_days]
+    panel = own.join(ready.drop(weight), [STORE, DATE], "left")
+    if approximate:
+        bounds = outlier_bounds(panel, [*of_days, *of_sales], k, approximate=True, **cap)
+    else:
+        bounds = outlier_bounds(own, of_sales, k, **cap) | outlier_bounds(ready, of_days, k, weight=weight, **cap)
+    return relational.cast_keys(_capped(panel, [*of_days, *of_sales], bounds))

@@ -2,7 +2,7 @@
 
 All series features use one window specification, so a chain of them costs one
 shuffle and one sort. ``by`` is the window's partition; see
-``functions.windows.split_long_series`` for series too long for one task.
+``functions.windows.in_blocks`` for series too long for one task.
 """
 
 from __future__ import annotations
@@ -15,9 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expr import ratio, zero_if_null
-from ..functions.joins import join_measured
-from ..functions.windows import series_window, split_long_series
+from ..functions.expr import one_row, ratio, zero_if_null
+from ..functions.windows import series_window
 from ..schema import (BAND_DOMAIN, DATE, DEPT, KEY, LAGS, SERIES, TARGET, TYPE_DOMAIN, WINDOWS,
                       numeric_columns)
 
@@ -137,13 +136,13 @@ def dept_bands(df: DataFrame, labels: Sequence[str] = BAND_DOMAIN, value: str =
     band = F.when(F.col("_hi") == F.col("_lo"), labels[len(labels) // 2])
     for i, label in enumerate(labels[:-1], start=1):
         band = band.when(F.col("_mean") <= F.col("_lo") + i * step, label)
-    return means.crossJoin(F.broadcast(ends)).select(
+    return one_row(means, ends).select(
         DEPT, F.when(F.col("_mean").isNotNull(), band.otherwise(labels[-1])).alias("dept_category"))
 
 
 def dept_band(df: DataFrame, **how) -> DataFrame:
     """Adds the department's band to each row."""
-    return join_measured(df, dept_bands(df, **how), [DEPT])
+    return df.join(dept_bands(df, **how), DEPT, "left")
 
 
 def dept_encoding(df: DataFrame, **how) -> DataFrame:
@@ -266,19 +265,14 @@ def lookback_features(df: DataFrame, by: Sequence[str] = SERIES) -> DataFrame:
     return done.drop("_pos", *back, *known, *recent, *ordered)
 
 
-def build_features(df: DataFrame, max_series_rows: int | None = None) -> DataFrame:
+def build_features(df: DataFrame) -> DataFrame:
     """All features of a cleaned panel, numeric and without nulls.
 
-    With ``max_series_rows`` longer series are cut into blocks that run in separate
-    tasks, and the seasonal indices come from aggregates.
+    What needs its own order of the rows, the department's band and the seasonal
+    indices, comes first, while the rows are narrow.
     """
-    if max_series_rows is None:
-        df = lookback_features(df)
-        season = seasonal_index
-    else:
-        df = split_long_series(df, lookback_features, LOOKBACK, max_series_rows)
-        season = seasonal_index_joined
-    df = season(df, "month", "monthly_seasonality")
-    df = season(df, "week", "weekly_seasonality")
-    df = holiday_interaction(dept_encoding(store_encoding(df)))
+    df = dept_encoding(df)
+    df = seasonal_index(df, "month", "monthly_seasonality")
+    df = seasonal_index(df, "week", "weekly_seasonality")
+    df = holiday_interaction(store_encoding(lookback_features(df)))
     return numeric_features(interactions(df))

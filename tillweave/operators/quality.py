@@ -125,8 +125,8 @@ def series_counts(df: DataFrame, groups: Sequence[str] = SERIES) -> DataFrame:
 
 
 def validate_model_input(df: DataFrame, require_target: bool = True) -> DataFrame:
-    """Contract of a model's input as (check, ok, detail) rows. Null keys only warn,
-    so their row stays ok."""
+    """Contract of a model's input as (check, severity, ok, detail) rows. Null keys
+    are a warning, everything else an error."""
     needed = [*MODEL_KEYS, *([TARGET] if require_target else [])]
     gone = [c for c in needed if c not in df.columns]
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -138,11 +138,12 @@ def validate_model_input(df: DataFrame, require_target: bool = True) -> DataFram
         nulls = nulls + F.count_if(F.col(c).isNull())
     seen = df.agg(F.count(F.lit(1)).alias("rows"), nulls.alias("nulls"))
     checks = F.array(*[
-        F.struct(F.lit(name).alias("check"), ok.alias("ok"), detail.cast("string").alias("detail"))
+        F.struct(F.lit(name).alias("check"), F.lit("warning" if name == "null_keys" else "error").alias("severity"),
+                 ok.alias("ok"), detail.cast("string").alias("detail"))
         for name, ok, detail in (
             ("non_empty", F.col("rows") > 0, F.col("rows")),
             ("required_columns", F.lit(not gone), F.lit(",".join(gone))),
-            ("null_keys", F.lit(True), F.col("nulls")),
+            ("null_keys", F.col("nulls") == 0, F.col("nulls")),
             ("date_type", F.lit(dated), F.lit(kinds[DATE].simpleString() if DATE in kinds else "")))])
     return seen.select(F.inline(checks))
 

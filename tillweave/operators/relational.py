@@ -87,13 +87,18 @@ def with_defaults(df: DataFrame, defaults: Mapping[str, Column] | None = None) -
 def filter_options(df: DataFrame, store: int | None = None) -> DataFrame:
     """Choices of the dashboard's filters as (option, value) rows of text: models,
     stores, departments (of one store if given), first and last date."""
-    parts = []
-    for option, column in (("model", "model"), ("store", STORE), ("dept", DEPT)):
-        if column not in df.columns:
-            continue
-        rows = df.where(F.col(STORE) == store) if option == "dept" and store is not None else df
-        parts.append(rows.select(F.lit(option).alias("option"), F.col(column).cast("string").alias("value")).distinct())
-    ends = df.agg(F.min(DATE).alias("lo"), F.max(DATE).alias("hi"))
-    for option, column in (("min_date", "lo"), ("max_date", "hi")):
-        parts.append(ends.select(F.lit(option).alias("option"), F.col(column).cast("string").alias("value")))
-    return reduce(DataFrame.unionByName, parts).orderBy("option", "value")
+    keys = {option: c for option, c in (("model", "model"), ("store", STORE), ("dept", DEPT)) if c in df.columns}
+    # one pass over the rows; the options come from the distinct combinations
+    known = df.groupBy(*keys.values()).agg(F.min(DATE).alias("_lo"), F.max(DATE).alias("_hi"))
+
+    def row(option: str, value: Column) -> Column:
+        return F.struct(F.lit(option).alias("option"), value.cast("string").alias("value"), F.col("_lo").alias("lo"), F.col("_hi").alias("hi"))
+
+    wanted = {option: row(option, F.col(c)) for option, c in keys.items()}
+    if store is not None and STORE in df.columns and "dept" in wanted:
+        wanted["dept"] = F.when(F.col(STORE) == store, wanted["dept"])
+    wanted |= {end: row(end, F.lit(None)) for end in ("min_date", "max_date")}
+    rows = known.select(F.explode(F.array(*wanted.values())).alias("_row")).where("_row is not null").select("_row.*")
+    ends = F.when(F.col("option") == "min_date", F.min("lo").cast("string")).when(
+        F.col("option") == "max_date", F.max("hi").cast("string")).otherwise(F.col("value"))
+    return rows.groupBy("option", "value").agg(ends.alias("_value")).select("option", F.col("_value").alias("value")).orderBy("option", "value")

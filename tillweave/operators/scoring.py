@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import metrics as m
-from ..functions.windows import series_window, trailing
-from ..schema import SERIES
+from ..schema import DATE, SERIES
 
 
 def metrics(df: DataFrame, y: str = "y_true", p: str = "y_pred") -> DataFrame:
@@ -21,10 +20,17 @@ def metrics_by(df: DataFrame, groups: Sequence[str], y: str = "y_true", p: str =
     return df.groupBy(*groups).agg(*m.all_metrics(y, p))
 
 
-def rolling_metrics(df: DataFrame, rows: int = 13, by: Sequence[str] = SERIES, y: str = "y_true",
+def rolling_metrics(df: DataFrame, rows: int = 13, by: Sequence[str] | None = None, y: str = "y_true",
                     p: str = "y_pred") -> DataFrame:
-    """MAE, RMSE and MAPE of the last ``rows`` rows; null until the window is full."""
-    frame = trailing(series_window(by), rows)
+    """MAE, RMSE and MAPE of the last ``rows`` rows; null until the window is full.
+
+    By default each model's forecasts of a series are a series of their own; a date
+    that several folds test counts once per fold, in their order.
+    """
+    if by is None:
+        by = [*(["model"] if "model" in df.columns else []), *SERIES]
+    order = [DATE, *(["fold"] if "fold" in df.columns else [])]
+    frame = Window.partitionBy(*by).orderBy(*order).rowsBetween(-(rows - 1), 0)
 
     def over(agg: Column) -> Column:
         return agg.over(frame)

@@ -62,14 +62,22 @@ def expanding_bounds(df: DataFrame, n_splits: int = 5, column: str = DATE) -> Da
         _at(start).alias("test_start"), _at(start + F.col("size") - 1).alias("test_end"))
 
 
+def as_array(bounds: DataFrame) -> DataFrame:
+    """All folds' bounds in one row, by fold."""
+    return bounds.agg(F.sort_array(F.collect_list(F.struct("fold", "train_start", "train_end", "test_start", "test_end"))).alias("_bounds"))
+
+
 def assign_folds(df: DataFrame, bounds: DataFrame, column: str = DATE) -> DataFrame:
-    """Each row once per fold that it belongs to, with its ``role``. The bounds are
-    one row per fold, so the range join broadcasts them."""
+    """Each row once per fold that it belongs to, with its ``role``. The bounds reach
+    the rows as one array, so there is no join."""
     d = F.col(column)
-    train = d.between(F.col("train_start"), F.col("train_end"))
-    test = d.between(F.col("test_start"), F.col("test_end"))
-    return df.join(F.broadcast(bounds), train | test).select(
-        "fold", F.when(train, "train").otherwise("test").alias("role"), *[F.col(c) for c in df.columns])
+
+    def role(b: Column) -> Column:
+        return F.when(d.between(b["train_start"], b["train_end"]), "train").when(d.between(b["test_start"], b["test_end"]), "test")
+
+    held = F.filter(F.transform("_bounds", lambda b: F.struct(b["fold"].alias("fold"), role(b).alias("role"))), lambda x: x["role"].isNotNull())
+    return one_row(df, as_array(bounds)).select(F.explode(held).alias("_held"), *[F.col(c) for c in df.columns]).select(
+        "_held.fold", "_held.role", *[F.col(c) for c in df.columns])
 
 
 def expanding_cv(df: DataFrame, n_splits: int = 5, column: str = DATE) -> DataFrame:

@@ -7,7 +7,6 @@ earlier one nor depends on the executors that ran it.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -15,7 +14,6 @@ from pyspark.sql import types as T
 from ..operators import backtest as bt
 from ..operators import cleaning, compare, exports, features, quality, relational
 from ..operators.relational import canonical_sort
-from ..session import materialise
 from ..sources import files
 
 
@@ -26,7 +24,7 @@ def prepare(sales: DataFrame, covariates: DataFrame, stores: DataFrame, out: str
     files.write_json(quality.quality_report(sales, covariates, stores), f"{out}/quality")
     merged = relational.merge_sources(sales, cleaning.fill_markdowns(covariates), stores)
     files.write_parquet(exports.store_dept_mapping(merged), f"{out}/mapping")
-    cleaned = cleaning.clean_panel(sales, covariates, stores, stage=partial(materialise, name="filled"))
+    cleaned = cleaning.clean_panel(sales, covariates, stores)
     files.write_parquet(cleaned, f"{out}/cleaned")
     table = features.build_features(files.read_parquet(spark, f"{out}/cleaned"))
     files.write_parquet(canonical_sort(table), f"{out}/features")
@@ -42,7 +40,7 @@ def run_backtests(panel: DataFrame, models: Sequence[bt.Forecaster], out: str, f
     slim = [c for c in ("Store", "Dept", "Date", "Weekly_Sales", "IsHoliday", "MarkDownSum") if c in panel.columns]
     parts = [bt.baseline_forecast(panel.select(*slim), baselines, folds, horizon)]
     for model in models:
-        found = bt.backtest(panel, model, folds, horizon)
+        found = bt.backtest(panel, model, folds, horizon).where("error is null")
         parts.append(found.select("model", "fold", *slim, "y_true", "y_pred"))
     preds = relational.union_forecasts(*parts)
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in preds.schema.fields])

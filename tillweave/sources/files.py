@@ -26,11 +26,19 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Parquet scan. With a schema the columns come in its order and types, those
+    that are folder names included (Spark would guess their types)."""
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    """Rows are gathered by folder and rebalanced by size first, so that no task opens
+    every folder."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 
