@@ -24,12 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
 from .anchors import bounds, line_of, segments
 from .fmindex import FMIndex
+from .steps import Steps
 
 WINDOW = 20
 #: Words of an anchor.
@@ -76,11 +76,11 @@ def _anchors(rows: DataFrame, window: int, width: int, whole: bool) -> DataFrame
     return rows.mapInArrow(run, "anchor long, doc long, tell long, at long, n long" if whole else "anchor long")
 
 
-def candidates(rows: DataFrame, window: int, width: int) -> DataFrame:
-    """Segments whose anchor occurs at least twice, with a digest and their words."""
-    repeated = materialise(_anchors(rows, window, width, False).groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
+def candidates(rows: DataFrame, window: int, width: int, steps: Steps) -> DataFrame:
+    """Segments whose anchor occurs at least twice, with a digest and their words; written."""
+    repeated = steps.write(_anchors(rows, window, width, False).groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     kept = _anchors(rows, window, width, True).join(repeated, "anchor", "left_semi")
-    lists = materialise(kept.groupBy("doc", "tell").agg(F.collect_list(F.struct("anchor", "at", "n")).alias("found")), "segments")
+    lists = steps.write(kept.groupBy("doc", "tell").agg(F.collect_list(F.struct("anchor", "at", "n")).alias("found")), "segments", (repeated,))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,8 +103,9 @@ def candidates(rows: DataFrame, window: int, width: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)],
                                           names=["anchor", "h1", "h2", "doc", "tell", "at", "n", "words"])
 
-    return _told(rows).join(lists, ["doc", "tell"]).select("doc", "tell", "text", "found").mapInArrow(
+    found = _told(rows).join(lists, ["doc", "tell"]).select("doc", "tell", "text", "found").mapInArrow(
         run, "anchor long, h1 long, h2 long, doc long, tell long, at long, n long, words binary")
+    return steps.write(found, "candidates", (lists,))
 
 
 def _told(rows: DataFrame) -> DataFrame:
@@ -193,30 +194,22 @@ def _shards(classes: DataFrame, window: int, shard: int) -> DataFrame:
     return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "doc long, tell long, at long, n long")
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps whose results are written: its cleaner waits for a collection."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def repeats(docs: DataFrame, window: int = WINDOW, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text",
             shard: int = SHARD, classes_most: int = CLASSES) -> DataFrame:
     """(doc, tell, at, n): runs of windows that also start earlier, by (doc, tell) of their document."""
-    spark = docs.sparkSession
-    found = materialise(candidates(_rows(docs, id_col, text_col), window, width), "candidates")
-    release(spark)
+    steps = Steps(docs.sparkSession)
+    found = candidates(_rows(docs, id_col, text_col), window, width, steps)
     keys = ["anchor", "h1", "h2"]
-    classes = materialise(found.groupBy(*keys).agg(F.min(F.struct("doc", "tell", "at", "n", "words")).alias("first")), "classes")
-    release(spark)
-    crowd = materialise(classes.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1"), "crowds")
+    classes = steps.write(found.groupBy(*keys).agg(F.min(F.struct("doc", "tell", "at", "n", "words")).alias("first")), "classes")
+    crowd = steps.write(classes.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1"), "crowds")
     light = classes.join(crowd.where(F.col("size") <= classes_most), "anchor", "left_semi")
     heavy = classes.join(crowd.where(F.col("size") > classes_most), "anchor", "left_semi")
-    single = materialise(_in_windows(heavy, window), "windows")
-    ones = materialise(single.groupBy("h1", "h2").agg(F.min(F.struct("doc", "tell", "at")).alias("first")), "ones")
+    single = steps.write(_in_windows(heavy, window), "windows")
+    ones = steps.write(single.groupBy("h1", "h2").agg(F.min(F.struct("doc", "tell", "at")).alias("first")), "ones")
     parts = [_later(found, keys, classes), _later(single, ["h1", "h2"], ones), _shards(light, window, shard)]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    out = materialise(out.groupBy("doc", "tell").agg(F.collect_list(F.struct("at", "n")).alias("runs")), "repeats")
-    release(spark)
-    return out
+    return steps.write(out.groupBy("doc", "tell").agg(F.collect_list(F.struct("at", "n")).alias("runs")), "repeats",
+                       (found, classes, crowd, single, ones))
 
 
 def kept_words(line: bytes, runs: list[dict], window: int) -> tuple[int, bytes]:
