@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillweave.models.additive import AdditiveParams, LocalModel, solve_mode
-from tillweave.models.boosted import BoostedParams, GlobalModel
+from tillweave.models.additive import AdditiveParams, LocalModel, partial_sums, solve_mode
+from tillweave.models.boosted import BoostedParams, GlobalModel, stopped
 from tillweave.session import scratch_path
 
 
@@ -92,11 +92,46 @@ def test_boosted(spark, table):
     assert again.fit_metrics(table).first() == pytest.approx(scores)
 
 
-def test_boosted_early_stop_and_cv(spark, table):
+def test_stopping_rule():
+    assert stopped([5, 4, 3, 4, 4, 4], 2) == [5, 4, 3, 4, 4]
+    assert stopped([5, 4, 3, 2], 2) == [5, 4, 3, 2] and stopped([1, 1, 1, 1], 3) == [1, 1, 1, 1]
+
+
+def test_boosted_stops_early(spark, table):
+    """Nothing to learn beyond the shop: later rounds only fit the noise, so training stops and the tail is cut."""
+    noisy = table.withColumn("Weekly_Sales", 20000 * F.col("Store") + F.pmod(F.xxhash64("Store", "Dept", "Date"), F.lit(30000)))
+    model = GlobalModel(BoostedParams(trees=40, depth=5, rate=0.5)).fit(noisy, val=0.2, patience=5)
+    info = model.info(spark).first()
+    assert info.rounds < 40 and info.best_round == info.rounds - 5 == info.trees_kept == model.model.getNumTrees
+    assert info.val_rmse ** 2 == pytest.approx(min(model.history))
+    scores = {r.split: r for r in model.split_metrics(noisy).collect()}
+    assert scores["test"].rmse == pytest.approx(info.val_rmse, rel=1e-6) and scores["train"].rmse > 0
+    assert sum(r.importance for r in model.feature_importance(spark).collect()) == pytest.approx(1)
+    again = GlobalModel.load(spark, model.save(spark, scratch_path(spark, "stopped")))
+    assert again.info(spark).first() == info
+    with pytest.raises(ValueError, match="val"):
+        GlobalModel(BoostedParams(trees=1)).fit(table).split_metrics(table)
+
+
+def test_boosted_cv(spark, table):
     params = BoostedParams(trees=5, depth=3)
-    model = GlobalModel(params).fit(table, val=0.2)
-    assert model.model.getNumTrees <= 5
     cv = GlobalModel(params).cross_validate(table, 2).orderBy("fold").collect()
-    assert [r.fold for r in cv] == [1, 2] and all(r.rmse >= r.mae > 0 for r in cv)
+    assert [r.fold for r in cv] == [None, 1, 2] and all(r.rmse >= r.mae > 0 for r in cv)
+    assert cv[0].mae == pytest.approx((cv[1].mae + cv[2].mae) / 2) and cv[0].rows == cv[1].rows + cv[2].rows
     with pytest.raises(ValueError, match="fit"):
         GlobalModel().predict(table)
+
+
+def test_partial_sums_are_as_many_as_parts(spark, seasonal):
+    scaled = seasonal.select("Store", "Dept", F.floor(F.datediff("Date", F.lit("1970-01-01").cast("date")) / 365).alias("part"),
+                             F.array(F.lit(1.0), F.col("Weekly_Sales")).alias("x"), F.col("Weekly_Sales").alias("y"))
+    for df in (scaled.coalesce(1), scaled.repartition(9)):
+        sums = partial_sums(df).collect()
+        assert len(sums) == scaled.select("Store", "Dept", "part").distinct().count()
+        assert sum(r.n for r in sums) == seasonal.count() and all(len(r.xx) == 3 for r in sums)
+
+
+def test_all_series_get_a_model(spark, seasonal):
+    model = LocalModel(top_n=None).fit(seasonal)
+    assert model.table.where("error is null").count() == 6
+    assert model.predict(seasonal).where("y_pred = 0").count() == 0

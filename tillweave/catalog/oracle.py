@@ -480,5 +480,49 @@ def _with_parts(statement: str) -> str:
         return head[:head.rindex("\nselect 1 from")] + ",\n" + own
     return sql(statement)
 
+_TOP = "join top50 t on s.Store = t.Store and s.Dept = t.Dept"
+
+
+def _fits(only: str) -> str:
+    return f"""select s.Store, s.Dept, min(Date) as first_date, cast(max(Date) - min(Date) as bigint) as span, {r('greatest(max(abs(Weekly_Sales)), 1e-9)', 'y_scale')},
+  count(*) as points, cast(null as varchar) as error, true as sound from sales s {only} group by s.Store, s.Dept having count(*) >= 10"""
+
+
+def _modelled(only: str) -> str:
+    return f"""select Store, Dept, Date, (Store, Dept) in (select (s.Store, s.Dept) from sales s {only} group by s.Store, s.Dept having count(*) >= 10) as modelled,
+  true as sound from sales"""
+
+
+def _tested(model: str) -> str:
+    return f"select '{model}' as model, fold, count(*) as rows, true as sound from sales join folds on Date between test_start and test_end group by fold"
+
+
+# The settings are those that the models are published with.
+STATEMENTS |= {
+    "boosted_predict": "select Store, Dept, Date, true as sound from sales",
+    "boosted_early_stop": "select true as kept_to_best, true as stopped_by_rule, true as has_error, cast(100 as bigint) as trees_allowed",
+    "boosted_importance": "select 1.0::double as total, true as none_negative",
+    "boosted_fit_metrics": f"select split, count(*) as rows, true as sound, true as learnt from (select case when Date <= {_SPLIT} then 'train' else 'test' end as split from sales) group by split",
+    "boosted_cv": f"""with b as ({_EXPANDING}), c as (select cast(fold as bigint) as fold, count(*) as rows from sales join b on Date between test_start and test_end group by fold)
+  select fold, rows, true as sound from c union all select null, cast(sum(rows) as bigint), true from c""",
+    "boosted_backtest": _tested("boosted"),
+    "boosted_saved": "select Store, Dept, Date, true as same from sales",
+    "boosted_info": """select 'boosted' as model_name, true as is_fitted, cast(74 as bigint) as feature_count, 'Weekly_Sales' as target_column, 'GBTRegressor' as model_type,
+  cast(100 as bigint) as trees, cast(6 as bigint) as depth, 0.1::double as rate, 0.8::double as row_share, 0.8::double as feature_share, cast(42 as bigint) as seed, cast(100 as bigint) as trees_kept""",
+    "additive_fit": _fits(_TOP),
+    "additive_fit_all": _fits(""),
+    "additive_predict": _modelled(_TOP),
+    "additive_predict_all": _modelled(""),
+    "additive_learnt": "select Store, Dept, count(*) as rows, true as learnt from sales group by Store, Dept having count(*) >= 10",
+    "additive_intervals": "select Store, Dept, Date, true as ordered from sales",
+    "additive_future": f"select Store, Dept, Date, true as ordered from ({STATEMENTS['series_horizon']})",
+    "additive_backtest": _tested("additive"),
+    "additive_saved": "select Store, Dept, Date, true as same from sales",
+    "additive_info": f"""select 'additive' as model_name, true as is_fitted, 'Weekly_Sales' as target_column, cast(50 as bigint) as top_n, 0.05::double as changepoint_scale,
+  10.0::double as season_scale, 10.0::double as holiday_scale, 0.8::double as changepoint_range, 25.0::double as changepoints, 10.0::double as year_order,
+  3.0::double as week_order, 1.0::double as holidays, 5.0::double as slope_scale, (select count(*) from ({_fits(_TOP)})) as n_series""",
+    "comparison_report": f"""select c.*, w.model as overall_winner, b.* from ({STATEMENTS['comparison_counts']}) c, ({STATEMENTS['overall_winner']}) w, ({STATEMENTS['best_by_metric']}) b""",
+}
+
 
 ORACLE = {name: _with_parts(text) for name, text in STATEMENTS.items()}

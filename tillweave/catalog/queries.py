@@ -19,7 +19,7 @@ from ..functions import metrics as m
 from ..functions.expr import is_infinite
 from ..functions.windows import in_blocks
 from ..models.additive import LocalModel, series_info, training_summary
-from ..models.boosted import BoostedParams, GlobalModel
+from ..models.boosted import GlobalModel
 from ..operators import (backtest, calendar, cleaning, compare, exports, features, quality, relational, scoring,
                          splits)
 from ..session import scratch_path
@@ -574,97 +574,175 @@ def baseline_forecast(spark, root):
     return forecasts(spark, root)
 
 
-# --- models. Few, shallow trees: the operator is the same, the fit is shorter.
+# --- models, at their full settings. Predictions have no SQL; the queries publish what must
+# hold for them, worked out from the values, for each key or fold that SQL can name.
 
-TREES = BoostedParams(trees=5, depth=4)
+_FITTED: dict[tuple, object] = {}
 
 
-def boosted(spark, root, **how):
-    return GlobalModel(TREES).fit(featured(spark, root), **how)
+def fitted(spark, root, name: str, fit: Callable):
+    """A model that several queries look at, fitted once per session."""
+    key = (spark.sparkContext.applicationId, root, name)
+    if key not in _FITTED:
+        _FITTED[key] = fit()
+    return _FITTED[key]
+
+
+def boosted(spark, root) -> GlobalModel:
+    return fitted(spark, root, "boosted", lambda: GlobalModel().fit(featured(spark, root)))
+
+
+def boosted_stopped(spark, root) -> GlobalModel:
+    return fitted(spark, root, "stopped", lambda: GlobalModel().fit(featured(spark, root), val=0.2))
+
+
+def additive(spark, root, top_n: int | None = 50) -> LocalModel:
+    return fitted(spark, root, f"additive {top_n}", lambda: LocalModel(top_n=top_n).fit(tables(spark, root).sales))
+
+
+def sound(c: str = "y_pred"):
+    """A number, finite and not negative."""
+    return F.coalesce(F.col(c).isNotNull() & ~F.isnan(c) & ~is_infinite(c) & (F.col(c) >= 0), F.lit(False))
+
+
+def sound_scores(df: DataFrame):
+    """Finite errors in their order: the mean absolute one is at most the root of the mean squared one."""
+    return df.withColumn("sound", sound("mae") & sound("rmse") & (F.col("mae") <= F.col("rmse") * (1 + 1e-9)))
 
 
 @query()
 def boosted_predict(spark, root):
-    return boosted(spark, root).predict(featured(spark, root)).select(*sc.KEY, sc.TARGET, "y_pred")
+    return boosted(spark, root).predict(featured(spark, root)).select(*sc.KEY, sound().alias("sound"))
 
 
 @query()
 def boosted_early_stop(spark, root):
-    return boosted(spark, root, val=0.2).info(spark)
+    """The 10-round rule, on the last fifth of the dates."""
+    return boosted_stopped(spark, root).info(spark).select(
+        (F.col("trees_kept") == F.col("best_round")).alias("kept_to_best"),
+        (F.col("rounds") == F.least(F.col("trees"), F.col("best_round") + 10)).alias("stopped_by_rule"),
+        sound("val_rmse").alias("has_error"), F.col("trees").alias("trees_allowed"))
 
 
 @query()
 def boosted_importance(spark, root):
-    return boosted(spark, root).feature_importance(spark)
+    return boosted(spark, root).feature_importance(spark).agg(
+        F.sum("importance").alias("total"), (F.min("importance") >= 0).alias("none_negative"))
 
 
 @query()
 def boosted_fit_metrics(spark, root):
-    return boosted(spark, root).fit_metrics(featured(spark, root))
+    """Errors on the dates that the trees were grown on and on those that stopped them; on the former below the target's deviation."""
+    table, model = featured(spark, root), boosted_stopped(spark, root)
+    spread = splits.time_split(table).groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.stddev_samp(sc.TARGET).alias("dev"))
+    scores = sound_scores(model.split_metrics(table)).join(spread, "split")
+    return scores.select("split", "rows", "sound", ((F.col("rmse") < F.col("dev")) | (F.col("split") == "test")).alias("learnt"))
 
 
 @query()
 def boosted_cv(spark, root):
-    return GlobalModel(TREES).cross_validate(featured(spark, root), 3)
+    return sound_scores(GlobalModel().cross_validate(featured(spark, root))).select("fold", "rows", "sound")
 
 
 @query()
 def boosted_backtest(spark, root):
-    preds = backtest.backtest(featured(spark, root), GlobalModel(TREES), folds=2)
-    return scoring.metrics_by(preds, ["model", "fold"])
+    preds = backtest.backtest(featured(spark, root), GlobalModel(), parallel=4)
+    return preds.groupBy("model", "fold").agg(F.count(F.lit(1)).alias("rows"), F.min(sound()).alias("sound"))
 
 
 @query()
 def boosted_saved(spark, root):
-    path = boosted(spark, root).save(spark, scratch_path(spark, "boosted"))
-    return GlobalModel.load(spark, path).fit_metrics(featured(spark, root))
+    """A reloaded model predicts the same, row by row."""
+    model, table = boosted(spark, root), featured(spark, root)
+    again = GlobalModel.load(spark, model.save(spark, scratch_path(spark, "boosted")))
+    both = again.predict(model.predict(table).withColumnRenamed("y_pred", "first"))
+    return both.select(*sc.KEY, (F.col("first") == F.col("y_pred")).alias("same"))
 
 
 @query()
 def boosted_info(spark, root):
-    return boosted(spark, root).info(spark)
+    return boosted(spark, root).info(spark).drop("rounds", "best_round", "val_rmse")
+
+
+def _series_fits(model: LocalModel) -> DataFrame:
+    return model.table.select("Store", "Dept", "first_date", "span", "y_scale", "points", "error", sound("sigma").alias("sound"))
 
 
 @query()
 def additive_fit(spark, root):
-    fitted = LocalModel().fit(tables(spark, root).sales).table
-    return fitted.select("Store", "Dept", "first_date", "span", "y_scale", "points", "error")
+    return _series_fits(additive(spark, root))
+
+
+@query()
+def additive_fit_all(spark, root):
+    return _series_fits(additive(spark, root, None))
+
+
+def _by_model(model: LocalModel, df: DataFrame) -> DataFrame:
+    """Predictions with ``modelled``: whether the series has a model; without one they are 0."""
+    have = model.table.where("error is null").select(*sc.SERIES, F.lit(True).alias("_m"))
+    return df.join(have, list(sc.SERIES), "left").withColumn("modelled", F.coalesce("_m", F.lit(False))).drop("_m")
+
+
+def _predicted(spark, root, top_n) -> DataFrame:
+    model = additive(spark, root, top_n)
+    rows = _by_model(model, model.predict(tables(spark, root).sales))
+    return rows.select(*sc.KEY, "modelled", (sound() & (F.col("modelled") | (F.col("y_pred") == 0))).alias("sound"))
 
 
 @query()
 def additive_predict(spark, root):
-    sales = tables(spark, root).sales
-    return LocalModel().fit(sales).predict(sales)
+    return _predicted(spark, root, 50)
+
+
+@query()
+def additive_predict_all(spark, root):
+    return _predicted(spark, root, None)
+
+
+@query()
+def additive_learnt(spark, root):
+    """Each series' error stays below the deviation of its sales."""
+    sales, model = tables(spark, root).sales, additive(spark, root, None)
+    error = F.sqrt(F.avg(F.pow(F.col(sc.TARGET) - F.col("y_pred"), F.lit(2))))
+    per = _by_model(model, model.predict(sales)).where("modelled").groupBy(*sc.SERIES).agg(
+        F.count(F.lit(1)).alias("rows"), (error <= F.stddev_samp(sc.TARGET) * 1.05 + 1e-6).alias("learnt"))
+    return per
+
+
+def _ordered(df: DataFrame) -> DataFrame:
+    inside = (F.col("lower") <= F.col("y_pred")) & (F.col("y_pred") <= F.col("upper"))
+    return df.select(*sc.KEY, (sound("lower") & sound() & sound("upper") & inside).alias("ordered"))
 
 
 @query()
 def additive_intervals(spark, root):
-    sales = tables(spark, root).sales
-    return LocalModel().fit(sales).predict_intervals(sales)
+    return _ordered(additive(spark, root).predict_intervals(tables(spark, root).sales))
 
 
 @query()
 def additive_future(spark, root):
-    sales = tables(spark, root).sales
-    return LocalModel().fit(sales).predict_intervals(calendar.series_horizon(sales))
+    return _ordered(additive(spark, root, None).predict_intervals(calendar.series_horizon(tables(spark, root).sales)))
 
 
 @query()
 def additive_backtest(spark, root):
-    preds = backtest.backtest(tables(spark, root).sales, LocalModel(), folds=2)
-    return scoring.metrics_by(preds, ["model", "fold"])
+    preds = backtest.backtest(tables(spark, root).sales, LocalModel(), parallel=4)
+    return preds.groupBy("model", "fold").agg(F.count(F.lit(1)).alias("rows"), F.min(sound()).alias("sound"))
 
 
 @query()
 def additive_saved(spark, root):
-    sales = tables(spark, root).sales
-    path = LocalModel().fit(sales).save(scratch_path(spark, "additive"))
-    return LocalModel.load(spark, path).predict(sales)
+    """A reloaded model predicts the same, row by row."""
+    sales, model = tables(spark, root).sales, additive(spark, root)
+    again = LocalModel.load(spark, model.save(scratch_path(spark, "additive")))
+    both = again.predict(model.predict(sales).withColumnRenamed("y_pred", "first"))
+    return both.select(*sc.KEY, (F.col("first") == F.col("y_pred")).alias("same"))
 
 
 @query()
 def additive_info(spark, root):
-    return LocalModel().fit(tables(spark, root).sales).info(spark)
+    return additive(spark, root).info(spark)
 
 
 @query(total_revenue=2)
@@ -714,6 +792,12 @@ def overall_winner(spark, root):
     return compare.overall_winner(compare.model_ranks(scores(spark, root)))
 
 
+@query()
+def comparison_report(spark, root):
+    report = compare.comparison_report(scores(spark, root))
+    return report.select("models_evaluated", "total_folds", "overall_winner", F.inline("best_model_by_metric"))
+
+
 @query()
 def comparison_counts(spark, root):
     return compare.comparison_counts(scores(spark, root))

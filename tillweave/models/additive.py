@@ -7,9 +7,9 @@ slope, seasons and holidays, a Laplace prior on the slope changes, all found as
 posterior mode. Time runs from 0 to 1 over the training span, and y is divided by
 its largest absolute value.
 
-The mode depends on the rows only through the products X'X, X'y and y'y. Each task
-adds these up for its rows, and only the sums travel: one small matrix per series
-and task. So a series may be spread over any number of tasks.
+The mode depends on the rows only through the products X'X, X'y and y'y. They are added
+up for each part of a series, a stretch of the calendar, and only the sums meet: a few
+small matrices per series. So a series may be spread over any number of tasks.
 """
 
 from __future__ import annotations
@@ -97,29 +97,42 @@ def _with_holidays(df: DataFrame, p: AdditiveParams, dates: DataFrame) -> DataFr
     return base.join(F.broadcast(named), DATE, "left")
 
 
-def _partial_sums(flush: int = 256):
-    """Per task: X'X, X'y, y'y and the row count of each series met. The sums are
-    handed on early when many series have been met, so memory stays bounded."""
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple, list] = {}
+#: Days of a part of a series: the rows that one partial sum stands for are bounded by it.
+PART_DAYS = 3650
 
-        def rows() -> pd.DataFrame:
-            return pd.DataFrame([(s, d, xx.ravel(), xy, yy, n) for (s, d), (xx, xy, yy, n) in held.items()],
-                                columns=["Store", "Dept", "xx", "xy", "yy", "n"])
 
-        for batch in batches:
-            for key, rows_of in batch.groupby(["Store", "Dept"], sort=False):
-                x, y = np.stack(rows_of["x"].to_numpy()), rows_of["y"].to_numpy()
-                new = [x.T @ x, x.T @ y, float(y @ y), len(y)]
-                old = held.get(key)
-                held[key] = new if old is None else [a + b for a, b in zip(old, new)]
-                if len(held) >= flush:
-                    yield rows()
-                    held.clear()
-        if held:
-            yield rows()
+def _sums(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, int]:
+    """Upper triangle of X'X, X'y, y'y and the row count."""
+    return (x.T @ x)[np.triu_indices(x.shape[1])], x.T @ y, float(y @ y), len(y)
 
-    return sums
+
+def _partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row of sums for each part of a series. The rows come sorted by part, so a
+    task holds the sums of one part at a time."""
+    key, held = None, None
+
+    def row() -> tuple:
+        return (*key[:2], *held)
+
+    for batch in batches:
+        done = []
+        for new, rows in batch.groupby(["Store", "Dept", "part"], sort=False):
+            sums = _sums(np.stack(rows["x"].to_numpy()), rows["y"].to_numpy())
+            if new == key:
+                held = tuple(a + b for a, b in zip(held, sums))
+                continue
+            if key is not None:
+                done.append(row())
+            key, held = new, sums
+        yield pd.DataFrame(done, columns=["Store", "Dept", "xx", "xy", "yy", "n"])
+    if key is not None:
+        yield pd.DataFrame([row()], columns=["Store", "Dept", "xx", "xy", "yy", "n"])
+
+
+def partial_sums(scaled: DataFrame) -> DataFrame:
+    keys = [*SERIES, "part"]
+    return scaled.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(
+        _partial_sums, "Store bigint, Dept bigint, xx array<double>, xy array<double>, yy double, n bigint")
 
 
 def solve_mode(xx: np.ndarray, xy: np.ndarray, yy: float, n: int, scale: np.ndarray, laplace: np.ndarray,
@@ -155,7 +168,9 @@ def _fit_series(p: AdditiveParams):
         beta, sigma, error = None, None, None
         n = int(parts["n"].sum())
         try:
-            xx = np.sum(np.stack(parts["xx"].to_numpy()), axis=0).reshape(width, width)
+            xx = np.zeros((width, width))
+            xx[np.triu_indices(width)] = np.sum(np.stack(parts["xx"].to_numpy()), axis=0)
+            xx += np.triu(xx, 1).T
             xy = np.sum(np.stack(parts["xy"].to_numpy()), axis=0)
             beta, sigma = solve_mode(xx, xy, float(parts["yy"].sum()), n, scale, laplace)
             if not np.all(np.isfinite(beta)):
@@ -192,14 +207,12 @@ class LocalModel:
         frame = rows.groupBy(*SERIES).agg(
             F.min(DATE).alias("first_date"), F.datediff(F.max(DATE), F.min(DATE)).alias("span"),
             F.greatest(F.max(F.abs(TARGET)), F.lit(1e-9)).alias("y_scale"))
-        # The wanted rows are few and come from all over the panel: bring them into
-        # partitions of full size first, so that there are few partial sums.
-        dense = rows.hint("rebalance")
-        scaled = _with_holidays(dense.join(frame, list(SERIES)), p, rows).select(
-            *SERIES, F.array(*design(p)).alias("x"), (F.col(TARGET) / F.col("y_scale")).alias("y"))
-        sums = scaled.mapInPandas(
-            _partial_sums(),
-            "Store bigint, Dept bigint, xx array<double>, xy array<double>, yy double, n bigint")
+        # The rows of a part of a series meet in one task, one after another: there are as
+        # many partial sums as parts, whatever the number of tasks and series.
+        scaled = _with_holidays(rows.join(frame, list(SERIES)), p, rows).select(
+            *SERIES, F.floor(F.datediff(DATE, F.lit("1970-01-01").cast("date")) / PART_DAYS).alias("part"),
+            F.array(*design(p)).alias("x"), (F.col(TARGET) / F.col("y_scale")).alias("y"))
+        sums = partial_sums(scaled)
         fitted = sums.groupBy(*SERIES).applyInPandas(
             _fit_series(p), "Store bigint, Dept bigint, beta array<double>, sigma double, n bigint, error string")
         table = frame.join(fitted, list(SERIES)).select(

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field, replace
 
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +16,13 @@ from pyspark.sql import functions as F
 from ..functions import metrics as m
 from ..operators.features import aligned, feature_columns
 from ..operators.quality import require_model_input
-from ..operators.scoring import metrics
+from ..operators.scoring import metrics, metrics_by
 from ..operators.splits import expanding_bounds, time_split
 from ..schema import DATE, TARGET
 from ..session import use_checkpoints
 from ..sources.files import read_json, write_json
 
-_META = "name string, features array<string>, params map<string,double>"
+_META = "name string, features array<string>, params map<string,double>, history array<double>, val double"
 
 
 @dataclass(frozen=True)
@@ -38,6 +41,29 @@ class BoostedParams:
             seed=self.seed, checkpointInterval=10)
 
 
+def stopped(errors: Sequence[float], patience: int) -> list[float]:
+    """The errors up to the round at which ``patience`` rounds have brought no lower one."""
+    best = 0
+    for k, e in enumerate(errors):
+        if e < errors[best]:
+            best = k
+        elif k - best >= patience:
+            return list(errors[:k + 1])
+    return list(errors)
+
+
+def _first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The model that the first ``n`` rounds make."""
+    context = SparkContext._active_spark_context
+    java, trees = model._java_obj, model._java_obj.trees()
+    kept = context._gateway.new_array(context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = context._gateway.new_array(context._jvm.double, n)
+    for k in range(n):
+        kept[k], weights[k] = trees[k], model.treeWeights[k]
+    cut = context._jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), kept, weights, java.numFeatures())
+    return GBTRegressionModel(cut).setFeaturesCol("_features").setPredictionCol("_pred")
+
+
 @dataclass
 class GlobalModel:
     """Estimator: ``fit`` returns a fitted copy and leaves this one as it is."""
@@ -46,26 +72,37 @@ class GlobalModel:
     columns: Sequence[str] = ()
     model: GBTRegressionModel | None = None
     name: str = "boosted"
+    history: Sequence[float] = ()  # mean squared validation error of the rounds until training stopped
+    val: float | None = None
+
+    @property
+    def best_round(self) -> int | None:
+        return 1 + self.history.index(min(self.history)) if self.history else None
 
     def _vectors(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
         """Adds the feature vector; absent features and nulls count as 0."""
         return df.withColumn("_features", array_to_vector(F.array(*aligned(df, columns))))
 
-    def fit(self, train: DataFrame, val: float | None = None) -> GlobalModel:
-        """Train on all rows, or with ``val`` stop early on the last share of dates.
+    def fit(self, train: DataFrame, val: float | None = None, patience: int = 10) -> GlobalModel:
+        """Train on all rows, or with ``val`` on the first dates only, and stop early.
 
-        The trees grow on partial histograms, so rows stay where they are. Boosting
-        makes a long lineage, which is cut by checkpoints in the shared folder.
+        Then the last share of the dates judges each round; training counts as stopped
+        after ``patience`` rounds without a lower error, and the trees up to the best
+        round are kept. The trees grow on partial histograms, so rows stay where they
+        are. Boosting makes a long lineage, which is cut by checkpoints in the shared
+        folder.
         """
         use_checkpoints(train.sparkSession)
         columns = feature_columns(require_model_input(train))
-        estimator = self.params.estimator()
-        if val is not None:
-            train = time_split(train, val).withColumn("_val", F.col("split") == "test").drop("split")
-            estimator = estimator.setValidationIndicatorCol("_val")
-        data = self._vectors(train, columns).select(
-            TARGET, "_features", *(["_val"] if val is not None else []))
-        return replace(self, columns=columns, model=estimator.fit(data))
+        if val is None:
+            return replace(self, columns=columns, model=self.params.estimator().fit(
+                self._vectors(train, columns).select(TARGET, "_features")), history=())
+        split = self._vectors(time_split(train, val), columns).select(TARGET, "_features", "split")
+        model = self.params.estimator().fit(split.where("split = 'train'"))
+        errors = model.evaluateEachIteration(split.where("split = 'test'"), "squared")
+        history = stopped(errors, patience)
+        best = 1 + history.index(min(history))
+        return replace(self, columns=columns, model=_first_trees(model, best), history=tuple(history), val=val)
 
     def _fitted(self) -> GBTRegressionModel:
         if self.model is None:
@@ -88,33 +125,44 @@ class GlobalModel:
         """All metrics of the predictions for ``df``."""
         return metrics(self.predict(df).withColumn("y_true", F.col(TARGET)))
 
-    def cross_validate(self, df: DataFrame, n_splits: int = 5) -> DataFrame:
-        """MAE, RMSE and MAPE of each expanding-window split; one fit per split."""
-        parts = []
-        for b in expanding_bounds(df, n_splits).orderBy("fold").collect():
+    def split_metrics(self, df: DataFrame) -> DataFrame:
+        """All metrics on the dates that the trees were grown on and on those that stopped them."""
+        if self.val is None:
+            raise ValueError("fit with val first")
+        return metrics_by(time_split(self.predict(df), self.val).withColumn("y_true", F.col(TARGET)), ["split"])
+
+    def cross_validate(self, df: DataFrame, n_splits: int = 5, parallel: int = 4) -> DataFrame:
+        """Rows, MAE, RMSE and MAPE of each expanding-window split, and their means in a
+        row without a fold; one fit per split, ``parallel`` at a time."""
+        schema = "fold int, rows long, mae double, rmse double, mape double"
+
+        def score(b) -> tuple:
             train = df.where(F.col(DATE) <= F.lit(b.train_end))
             test = df.where(F.col(DATE).between(F.lit(b.test_start), F.lit(b.test_end)))
-            scored = self.fit(train).predict(test)
-            parts.append(scored.agg(
-                F.lit(b.fold).alias("fold"), m.mae(TARGET, "y_pred").alias("mae"), m.rmse(TARGET, "y_pred").alias("rmse"),
-                m.mape(TARGET, "y_pred", guard=False).alias("mape")))
-        if not parts:
-            return df.sparkSession.createDataFrame([], "fold int, mae double, rmse double, mape double")
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out
+            return (b.fold, *self.fit(train).predict(test).agg(
+                F.count(F.lit(1)), m.mae(TARGET, "y_pred"), m.rmse(TARGET, "y_pred"), m.mape(TARGET, "y_pred", guard=False)).first())
+
+        with ThreadPoolExecutor(parallel) as pool:
+            rows = list(pool.map(inheritable_thread_target(df.sparkSession)(score), expanding_bounds(df, n_splits).orderBy("fold").collect()))
+        scores = df.sparkSession.createDataFrame(rows, schema)
+        mean = scores.where("rows > 0").agg(F.lit(None).cast("int").alias("fold"), F.sum("rows").alias("rows"), *[F.avg(c).alias(c) for c in ("mae", "rmse", "mape")])
+        return scores.unionByName(mean) if rows else scores
 
     def info(self, spark: SparkSession) -> DataFrame:
-        row = (self.name, self.model is not None, len(self.columns), TARGET, type(self.params.estimator()).__name__,
-               *asdict(self.params).values())
+        """Settings, and what a fitted model knows: trees kept, rounds tried, the best
+        round and its validation error (RMSE)."""
+        fitted = self.model is not None
+        row = (self.name, fitted, len(self.columns), TARGET, type(self.params.estimator()).__name__, *asdict(self.params).values(),
+               self.model.getNumTrees if fitted else None, len(self.history) or None, self.best_round,
+               math.sqrt(min(self.history)) if self.history else None)
         return spark.createDataFrame([row], (
             "model_name string, is_fitted boolean, feature_count int, target_column string, model_type string, "
-            "trees int, depth int, rate double, row_share double, feature_share double, seed int"))
+            "trees int, depth int, rate double, row_share double, feature_share double, seed int, "
+            "trees_kept int, rounds int, best_round int, val_rmse double"))
 
     def save(self, spark: SparkSession, path: str) -> str:
         self._fitted().write().overwrite().save(f"{path}/trees")
-        meta = [(self.name, list(self.columns), {k: float(v) for k, v in asdict(self.params).items()})]
+        meta = [(self.name, list(self.columns), {k: float(v) for k, v in asdict(self.params).items()}, list(self.history), self.val)]
         write_json(spark.createDataFrame(meta, _META), f"{path}/meta")
         return path
 
@@ -123,4 +171,4 @@ class GlobalModel:
         meta = read_json(spark, f"{path}/meta", spark.createDataFrame([], _META).schema).first()
         kinds = {k: type(v) for k, v in asdict(BoostedParams()).items()}
         params = BoostedParams(**{k: kinds[k](v) for k, v in meta.params.items()})
-        return cls(params, list(meta.features), GBTRegressionModel.load(f"{path}/trees"), meta.name)
+        return cls(params, list(meta.features), GBTRegressionModel.load(f"{path}/trees"), meta.name, tuple(meta.history), meta.val)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Protocol
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,25 +28,28 @@ class Forecaster(Protocol):
 
 
 def backtest(df: DataFrame, model: Forecaster, folds: int = 4, horizon: int = 13, date: str = DATE,
-             target: str = TARGET) -> DataFrame:
-    """Fit and predict fold by fold; the driver loops over the few folds only.
+             target: str = TARGET, parallel: int = 1) -> DataFrame:
+    """Fit and predict fold by fold; the driver loops over the few folds only, of which
+    ``parallel`` are fitted at a time.
 
     A fold whose fit raises gives one row instead, with the fold's number and the
     ``error``, which is null in all others. The bounds are collected, one row per fold,
     so that each fold is a plain date filter on the panel.
     """
-    done, failed = [], []
-    for b in fold_bounds(df, folds, horizon, date).orderBy("fold").collect():
+    def run(b) -> DataFrame | tuple:
         train = df.where(F.col(date).between(F.lit(b.train_start), F.lit(b.train_end)))
         test = df.where(F.col(date).between(F.lit(b.test_start), F.lit(b.test_end)))
         try:
             preds = model.fit(train).predict(test)
         except Exception as error:  # any model may fail; the other folds still count
-            failed.append((model.name, b.fold, str(error)))
-            continue
-        done.append(preds.select(
+            return model.name, b.fold, str(error)
+        return preds.select(
             F.lit(model.name).alias("model"), F.lit(b.fold).alias("fold"), *[F.col(c) for c in df.columns],
-            F.col(target).alias("y_true"), "y_pred", F.lit(None).cast("string").alias("error")))
+            F.col(target).alias("y_true"), "y_pred", F.lit(None).cast("string").alias("error"))
+
+    with ThreadPoolExecutor(parallel) as pool:
+        results = list(pool.map(inheritable_thread_target(df.sparkSession)(run), fold_bounds(df, folds, horizon, date).orderBy("fold").collect()))
+    done, failed = [x for x in results if isinstance(x, DataFrame)], [x for x in results if isinstance(x, tuple)]
     if not done:
         raise ValueError(f"no fold of {model.name} could be fitted: {[e for _, _, e in failed]}")
     if failed:
