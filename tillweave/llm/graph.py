@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from .steps import Steps
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -17,7 +17,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Hubs are safe: minima are pre-aggregated and the joins may be split by Spark.
     Loops and rows with a null end are no links; an empty table gives no rows.
     """
-    stars = materialise(
+    steps = Steps(links.sparkSession)
+    stars = steps.write(
         links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "links")
     before = None
     while True:
@@ -30,4 +31,4 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = both.where("v > u").join(least, "u").selectExpr("v as hi", "m as lo").distinct()
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(least, "hi").where("lo > m").selectExpr("lo as hi", "m as lo")
-        stars = materialise(small.union(least.selectExpr("hi", "m as lo")).distinct(), "stars")
+        stars = steps.write(small.union(least.selectExpr("hi", "m as lo")).distinct(), "stars", (stars,))
