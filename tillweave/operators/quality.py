@@ -183,27 +183,30 @@ def validate_predictions(actuals: DataFrame, preds: DataFrame, keys: Sequence[st
 
 def quality_report(sales: DataFrame, features: DataFrame, stores: DataFrame) -> DataFrame:
     """Nulls, duplicates, date ranges, coverage and missing stores of the three
-    tables as (check, table, column, value) rows; dates as text."""
-    tables = {"sales": sales, "features": features, "stores": stores}
-
-    def tidy(df: DataFrame, check: str, table: str, column: Column, value: Column) -> DataFrame:
-        return df.select(F.lit(check).alias("check"), F.lit(table).alias("table"),
-                         column.alias("column"), value.cast("string").alias("value"))
+    tables as (check, table, column, value) rows; dates as text.
 
+    One pass over each table: its rows are counted by value, and the columns' counts and
+    ends are taken from the distinct rows with their numbers. Stores are compared as sets.
+    """
+    tables = {"sales": sales, "features": features, "stores": stores}
     parts = []
     for name, df in tables.items():
-        parts.append(tidy(null_counts(df), "nulls", name, F.col("column"), F.col("nulls")))
-        parts.append(tidy(duplicate_rows(df), "duplicates", name, F.lit("*"), F.col("duplicates")))
-        cover = coverage(df)
-        parts.append(tidy(unpivot(cover, {c: F.col(c) for c in cover.columns}, "column", "n"),
-                          "coverage", name, F.col("column"), F.col("n")))
+        rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+        n = F.col("_n")
+        found = {("nulls", c): F.sum(F.when(F.col(c).isNull(), n).otherwise(0)) for c in df.columns}
+        found["duplicates", "*"] = F.sum(n - 1)
+        found |= {("coverage", out): F.count_distinct(c) for out, c in (("stores", STORE), ("depts", DEPT)) if c in df.columns}
         if DATE in df.columns:
-            span = unpivot(date_range(df).select(*[F.col(c).cast("string") for c in ("min_date", "max_date")]),
-                           {"min_date": F.col("min_date"), "max_date": F.col("max_date")}, "column", "d")
-            parts.append(tidy(span, "date_range", name, F.col("column"), F.col("d")))
+            found |= {("date_range", out): fn(DATE) for out, fn in (("min_date", F.min), ("max_date", F.max))}
+        # counts of an empty table are 0, its ends are null
+        counted = rows.agg(*[(c if check == "date_range" else F.coalesce(c, F.lit(0))).cast("string").alias(f"c{k}")
+                             for k, ((check, _), c) in enumerate(found.items())])
+        parts.append(counted.select(F.inline(F.array(*[
+            F.struct(F.lit(check).alias("check"), F.lit(name).alias("table"), F.lit(column).alias("column"), F.col(f"c{k}").alias("value"))
+            for k, (check, column) in enumerate(found)]))))
     for name in ("features", "stores"):
         gone = missing_keys(sales, tables[name]).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(tidy(gone, "missing_stores", name, F.lit(STORE), F.col("n")))
+        parts.append(gone.select(F.lit("missing_stores").alias("check"), F.lit(name).alias("table"), F.lit(STORE).alias("column"), F.col("n").cast("string").alias("value")))
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)
