@@ -4,6 +4,7 @@ import base64
 import hashlib
 import html
 import itertools
+import json
 import re
 import zlib
 
@@ -15,7 +16,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tillweave.llm import anchors, decontaminate, fmindex, graph, packing, queries, sharding, simhash, substrings, vectors
+from tillweave.llm import anchors, decontaminate, extract, fmindex, graph, packing, queries, sharding, simhash, substrings, vectors
 from tillweave.llm.tokens import WordTokenizer
 
 ROOT = "/root/testdata/sf0.001"
@@ -218,6 +219,30 @@ def test_extraction(spark):
     assert r.text.to_dict() == pages.html.map(plain).to_dict() and (r.n_chars == r.text.str.len()).all()
 
 
+def text_of(pages):
+    template = None
+    for p in pages:
+        new = extract.shape(extract.tree(p))
+        template = extract._merge(template, new) if template else new
+    reader = extract.Reader(json.dumps(extract.wrapper(template)))
+    return [reader.text(p) for p in pages]
+
+
+def test_wrappers_of_other_layouts():
+    """Pages without an article element: the wrapper finds where the varying text sits and what is always the same."""
+    plain = """<body><div id="top"><a>Home</a></div><div class="cookie-notice">We use cookies {0}</div><div id="wrap"><div class="post"><h2>Title {0}</h2>
+      <p>First paragraph {0} that is long enough.</p><p>Second &ndash; {0}<br>with a break.</p><p>Always the same line.</p><ul><li>item {0}</li></ul></div>
+      <div class="sidebar"><p>Related {0} stuff</p></div><div class="comments"><p>reader {0} says hi</p></div></div><div>Copyright</div></body>"""
+    want = "Title {0}\nFirst paragraph {0} that is long enough.\nSecond – {0} with a break.\nAlways the same line.\nitem {0}"
+    assert text_of([plain.format(k) for k in range(12)]) == [want.format(k) for k in range(12)]
+    table = "<BODY><DIV CLASS=menu>m</DIV><TABLE><TR><TD>nav links</TD><TD><P>Story {0} is here<P>and more {0}</TD></TR></TABLE>"
+    assert text_of([table.format(k) for k in range(5)])[2] == "Story 2 is here\nand more 2"
+    marked = """<header><h1>Site</h1></header><main><article class="post comments-open"><header><h1>T{0}</h1></header><p>Body {0}</p><aside>pull {0}</aside>
+      <form>ask {0}</form><pre>a  b\n c</pre><p hidden>no</p></article><article class="comment"><p>c {0}</p></article></main><footer>f{0}</footer>"""
+    assert text_of([marked.format(k) for k in range(3)])[1] == "T1\nBody 1\na b c"
+    assert text_of(["<p>same copy</p>"] * 9) == ["same copy"] * 9
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_anchors(seed):
     """Segments cover every window once, and equal windows have equal anchors."""

@@ -44,6 +44,7 @@ APART = frozenset("nav footer aside form script style noscript template iframe b
 MARKS = frozenset(("ad ads advert adverts advertisement advertising sponsor sponsored promo promoted banner cookie cookies consent notice notices gdpr "
                    "newsletter subscribe subscription signup popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination "
                    "footer comment comments disqus reply replies share sharing social related recommended widget skip login search toolbar").split())
+REMARK = frozenset("comment reply".split())
 TOP_MARKS = frozenset("header masthead topbar".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
@@ -70,6 +71,8 @@ class Node:
                     words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", m[2] or m[3] or m[4] or "").lower())
                     self.label += f"{'.' if name == 'class' else '#'}{' '.join(words)}"
                     if tag in ("html", "body") or self.main:
+                        if REMARK.intersection(words):
+                            self.apart, self.main = True, False
                         continue
                     if MARKS.intersection(words):
                         self.apart = True
@@ -235,6 +238,8 @@ def _apart(label: str, inside: bool) -> bool:
     tag = tag.partition("#")[0]
     node = Node(tag, "")
     words = set(re.findall(r"[a-z]+", label[len(tag):]))
+    if REMARK & words:
+        return True
     if tag not in ("html", "body", "article", "main"):
         if MARKS & words:
             return True
