@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tillweave.catalog.queries import QUERIES  # noqa: E402
 from tillweave.catalog.tables import tables  # noqa: E402
-from tillweave.session import local_session  # noqa: E402
+from tillweave.session import clear_scratch, local_session  # noqa: E402
 
 HEADLINE = [
     "quality_report", "merge_sources", "clean_panel", "lags", "rolling_mean", "rolling_std", "rolling_median",
@@ -41,6 +41,7 @@ def main() -> None:
         print(name, times[name], file=sys.stderr, flush=True)
     print(json.dumps({"metric": "total wall-clock of the headline queries", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": os.path.basename(root.rstrip("/")).removeprefix("sf")}))
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -9,10 +9,11 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
 @pytest.fixture(scope="session")
 def spark():
-    from tillweave.session import local_session
+    from tillweave.session import clear_scratch, local_session
 
     session = local_session(4, "tests", "4g")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillweave import schema as sc
+from tillweave import session
 from tillweave.functions import quantiles
 from tillweave.functions.quantiles import approx_quantiles, exact_quantiles
 from tillweave.functions.windows import in_blocks
@@ -106,6 +107,34 @@ def test_baselines_need_no_nested_loop(spark, panel, tmp_path):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_canonical_sort_reaches_the_files(spark, panel, tmp_path):
+    """Within a file the rows are sorted, and a series lies in one file."""
+    files.write_parquet(relational.canonical_sort(panel), f"{tmp_path}/s")
+    seen = set()
+    for part in sorted(tmp_path.glob("s/part-*")):
+        keys = list(map(tuple, pd.read_parquet(part)[list(sc.KEY)].to_numpy().tolist()))
+        assert keys == sorted(keys)
+        series = {k[:2] for k in keys}
+        assert not series & seen
+        seen |= series
+    assert len(seen) == 6
+
+
+def test_repeated_keys_are_refused(spark, panel):
+    assert quality.require_unique_keys(panel) is panel
+    with pytest.raises(ValueError, match="repeat"):
+        quality.require_unique_keys(panel.union(panel.limit(2)))
+
+
+def test_scratch_is_cleared(spark, panel):
+    from pathlib import Path
+
+    path = scratch_path(spark, "gone")
+    panel.limit(1).write.parquet(path)
+    session.remove(spark, path)
+    assert not Path(path.removeprefix("file:")).exists()
+
+
 def test_partitioned_parquet_keeps_types_and_order(spark, panel, tmp_path):
     path = files.write_parquet(panel, f"{tmp_path}/p", ["Dept"])
     again = files.read_parquet(spark, path, panel.schema)

@@ -140,7 +140,7 @@ def holiday_week_flag(df: DataFrame, dim: DataFrame | None = None, per_year: boo
     """
     dim = holidays_of(df, column) if dim is None else dim
     d = F.col(column)
-    dates = df.select(column).distinct()
+    dates = df.select(F.to_date(column).alias(column)).distinct()  # one row a day, whatever the column's grain
     hit = dates.join(F.broadcast(dim.select(F.col("Date").alias(column))), column, "left_semi")
     parts = {"_week": F.weekofyear(d), **({"_year": _iso_year(d)} if per_year else {})}
     weeks = hit.select(*[c.alias(n) for n, c in parts.items()]).distinct().withColumn("_hit", F.lit(True))

@@ -7,9 +7,7 @@ shuffle and one sort. ``by`` is the window's partition; see
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F

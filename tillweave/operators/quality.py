@@ -159,6 +159,14 @@ def require_model_input(df: DataFrame, require_target: bool = True) -> DataFrame
     return df
 
 
+def require_unique_keys(df: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
+    """Raise if a key occurs twice: windows over a series rely on one row per date. Runs one job."""
+    copies = duplicate_keys(df, keys).first().duplicates
+    if copies:
+        raise ValueError(f"{copies} rows repeat their key {list(keys)}")
+    return df
+
+
 def validate_predictions(actuals: DataFrame, preds: DataFrame, keys: Sequence[str] = KEY,
                          y: str = "y_true", p: str = "y_pred") -> DataFrame:
     """Compare actuals and predictions by key: unmatched rows make it invalid,

@@ -21,6 +21,8 @@ def prepare(sales: DataFrame, covariates: DataFrame, stores: DataFrame, out: str
     """Quality report, merge, clean, features; writes ``quality``, ``cleaned``,
     ``features``, ``mapping`` and ``summary`` below ``out`` and returns the features."""
     spark = sales.sparkSession
+    quality.require_unique_keys(sales)
+    quality.require_unique_keys(covariates, ("Store", "Date"))
     files.write_json(quality.quality_report(sales, covariates, stores), f"{out}/quality")
     merged = relational.merge_sources(sales, cleaning.fill_markdowns(covariates), stores)
     files.write_parquet(exports.store_dept_mapping(merged), f"{out}/mapping")

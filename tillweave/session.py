@@ -25,6 +25,7 @@ def local_session(cpus: int | str = 8, app: str = "tillweave", memory: str = "12
 
 
 _FALLBACK: dict[str, str] = {}
+_MADE: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,8 +46,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder; ``clear_scratch`` removes it."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any store that Spark reaches."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove what this session has staged; returns the number of folders. Frames that
+    read them must be done with."""
+    made = _MADE.pop(spark.sparkContext.applicationId, [])
+    for path in made:
+        remove(spark, path)
+    return len(made)
 
 
 def use_checkpoints(spark: SparkSession) -> None:
