@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import scratch_path
+from ..session import remove, scratch_path
 
 
 class Steps:
@@ -25,7 +25,6 @@ class Steps:
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         for frame in done:
-            at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(frame)))
-            at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            remove(self.spark, self.paths.pop(id(frame)))
         self.spark.sparkContext._jvm.System.gc()
         return out
