@@ -68,7 +68,7 @@ def op9_token_rollup(spark: SparkSession, root: str) -> DataFrame:
     """
     docs = table(spark, root, "documents")
     counted = materialise(token_counts(docs, TOKENIZER, keep=("source", "lang")), "counts")
-    first = counted.groupBy("text_key").agg(F.min("doc_id").alias("first"))
+    first = materialise(counted.groupBy("text_key").agg(F.min("doc_id").alias("first")), "firsts")
     marked = counted.join(first, "text_key").withColumn("kept", F.col("doc_id") == F.col("first"))
     words = [F.col("source"), F.col("lang"), F.lit("words-v1").alias("tokenizer"), F.col("n_words").alias("n_tokens"), F.col("n_bytes")]
     no_old = [F.lit(None).cast(t).alias(c) for c, t in (("old_source", "string"), ("old_lang", "string"), (

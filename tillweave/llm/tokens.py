@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import string
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 #: Words in each of the two generations of the memory; older ones are forgotten, which only costs time.
@@ -102,17 +107,12 @@ class WordTokenizer:
         return out
 
 
-def token_counts(docs, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()):
+def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """id, the kept columns, n_words (ASCII white space), n_ids, n_bytes and text_key (SHA-256 of the text).
 
     A null text counts nothing and has a null key, as if no other text were like it.
     """
-    import hashlib
-
-    import pyarrow as pa
-    from pyspark.sql import functions as F
-
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokenizer(tokenizer)
         for batch in batches:
             texts = batch.column(0).to_pylist()

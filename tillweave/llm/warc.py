@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 #: Captures in a file at most.
 PER_FILE = 4000
 END = "\r\n\r\n"
@@ -59,6 +61,8 @@ def captures(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", ht
                         F.translate(F.col(url_col).cast("string"), "\r\n", "").alias("uri"), html.alias("payload"))
     slim = rows.select("id", base32_sha1(F.col("payload")).alias("digest"), F.octet_length("payload").cast("long").alias("bytes"))
     largest = slim.where(F.col("bytes") >= least).groupBy("digest", "bytes").agg(F.max("id").alias("top"), F.count("*").alias("n")).where("n > 1")
+    # on file, so that the join's sides are both dealt for it and a payload with very many copies can be split
+    largest = materialise(largest, "payloads")
     decided = slim.join(largest, ["digest", "bytes"]).where(F.col("top").isNotNull() & ~F.col("id").eqNullSafe(F.col("top"))).select(
         "id", "digest", F.col("top").alias("refers_to")).distinct()
     rows = rows.withColumn("digest", base32_sha1(F.col("payload"))).withColumn("bytes", F.octet_length("payload").cast("long"))
