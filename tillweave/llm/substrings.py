@@ -6,10 +6,10 @@ so shards are cut by content: each window has an anchor (the run of words in it
 least hash), equal windows have equal anchors, and a document is a row of segments, runs of
 windows with one anchor. Only segments whose anchor occurs twice can hold repeats.
 
-1. Count the anchors of all documents; keep the segments with repeated ones, with words.
+1. Count the anchors of all documents; keep the segments with repeated ones, with a digest.
 2. Equal segments become one class, its first occurrence stands for it; in all others every
    window is repeated.
-3. Classes that share an anchor go to one shard. A shard is concatenated, indexed, and its
+3. Classes that share an anchor get their words and go to one shard. A shard is concatenated, indexed, and its
    segments are streamed through by backward search over the wavelet matrix; the rows that
    match over the whole window tell where it starts first, and later ones are reported.
    An anchor with very many classes would overfill a shard: its classes are cut into
@@ -20,7 +20,7 @@ windows with one anchor. Only segments whose anchor occurs twice can hold repeat
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -77,35 +77,34 @@ def _anchors(rows: DataFrame, window: int, width: int, whole: bool) -> DataFrame
 
 
 def candidates(rows: DataFrame, window: int, width: int, steps: Steps) -> DataFrame:
-    """Segments whose anchor occurs at least twice, with a digest and their words; written."""
+    """Segments whose anchor occurs at least twice, with a digest of their words; written."""
     repeated = steps.write(_anchors(rows, window, width, False).groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     kept = _anchors(rows, window, width, True).join(repeated, "anchor", "left_semi")
     lists = steps.write(kept.groupBy("doc", "tell").agg(F.collect_list(F.struct("anchor", "at", "n")).alias("found")), "segments", (repeated,))
 
+    found = _pieces(rows, lists, window, "anchor long, at long, n long, h1 long, h2 long, doc long, tell long", lambda piece: _digest(piece))
+    return steps.write(found, "candidates", (lists,))
+
+
+def _pieces(rows: DataFrame, lists: DataFrame, window: int, schema: str, make: Callable[[bytes], tuple]) -> DataFrame:
+    """What ``make`` gives for the words of each listed segment, between the list's fields and (doc, tell)."""
+    names = [x.split()[0] for x in schema.split(", ")]
+    kinds = [pa.binary() if x.endswith("binary") else pa.int64() for x in schema.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held: list[tuple] = []
             for doc, tell, text, found in zip(*(c.to_pylist() for c in batch.columns)):
                 line = line_of(text)
                 starts, ends = (x.tolist() for x in bounds(line))
-                for f in found:
-                    at, n = f["at"], f["n"]
-                    piece = line[starts[at]:ends[at + n + window - 2]]
-                    held.append((f["anchor"], *_digest(piece), doc, tell, at, n, piece))
+                held += [(*f.values(), *make(line[starts[f["at"]]:ends[f["at"] + f["n"] + window - 2]]), doc, tell) for f in found]
                 if len(held) > 20_000:
-                    yield out(held)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
                     held = []
             if held:
-                yield out(held)
-
-    def out(held: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64()] * 7 + [pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)],
-                                          names=["anchor", "h1", "h2", "doc", "tell", "at", "n", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
 
-    found = _told(rows).join(lists, ["doc", "tell"]).select("doc", "tell", "text", "found").mapInArrow(
-        run, "anchor long, h1 long, h2 long, doc long, tell long, at long, n long, words binary")
-    return steps.write(found, "candidates", (lists,))
+    return _told(rows).join(lists, ["doc", "tell"]).select("doc", "tell", "text", "found").mapInArrow(run, schema)
 
 
 def _told(rows: DataFrame) -> DataFrame:
@@ -124,8 +123,8 @@ def _later(found: DataFrame, keys: list[str], classes: DataFrame) -> DataFrame:
     return found.join(first, keys).where("doc <> d or tell <> t or at <> a").select("doc", "tell", "at", "n")
 
 
-def _in_windows(classes: DataFrame, window: int) -> DataFrame:
-    """The windows of the classes' first occurrences, each with its digest."""
+def _in_windows(pieces: DataFrame, window: int) -> DataFrame:
+    """The windows of segments with their words, each with its digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = []
@@ -135,7 +134,7 @@ def _in_windows(classes: DataFrame, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*held) if held else [[]] * 6)],
                                              names=["h1", "h2", "doc", "tell", "at", "n"])
 
-    return classes.select("first.doc", "first.tell", "first.at", "first.n", "first.words").mapInArrow(
+    return pieces.select("doc", "tell", "at", "n", "words").mapInArrow(
         run, "h1 long, h2 long, doc long, tell long, at long, n long")
 
 
@@ -168,8 +167,8 @@ def search(pieces: list[bytes], doc: np.ndarray, tell: np.ndarray, at: np.ndarra
     return piece[later], inner[later]
 
 
-def _shards(classes: DataFrame, window: int, shard: int) -> DataFrame:
-    """(doc, tell, at, n): repeated windows among classes that share an anchor."""
+def _shards(pieces: DataFrame, window: int, shard: int) -> DataFrame:
+    """(doc, tell, at, n): repeated windows among segments that share an anchor."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size, last = 0, None
@@ -190,26 +189,31 @@ def _shards(classes: DataFrame, window: int, shard: int) -> DataFrame:
         cols = (doc[piece], tell[piece], at[piece] + inner, np.ones(len(piece), dtype=np.int64))
         return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["doc", "tell", "at", "n"])
 
-    rows = classes.select("anchor", "first.doc", "first.tell", "first.at", "first.n", "first.words")
+    rows = pieces.select("anchor", "doc", "tell", "at", "n", "words")
     return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "doc long, tell long, at long, n long")
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text",
             shard: int = SHARD, classes_most: int = CLASSES) -> DataFrame:
     """(doc, tell, at, n): runs of windows that also start earlier, by (doc, tell) of their document."""
-    steps = Steps(docs.sparkSession)
-    found = candidates(_rows(docs, id_col, text_col), window, width, steps)
+    steps, rows = Steps(docs.sparkSession), _rows(docs, id_col, text_col)
+    found = candidates(rows, window, width, steps)
     keys = ["anchor", "h1", "h2"]
-    classes = steps.write(found.groupBy(*keys).agg(F.min(F.struct("doc", "tell", "at", "n", "words")).alias("first")), "classes")
+    classes = steps.write(found.groupBy(*keys).agg(F.min(F.struct("doc", "tell", "at", "n")).alias("first")), "classes")
     crowd = steps.write(classes.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1"), "crowds")
-    light = classes.join(crowd.where(F.col("size") <= classes_most), "anchor", "left_semi")
-    heavy = classes.join(crowd.where(F.col("size") > classes_most), "anchor", "left_semi")
-    single = steps.write(_in_windows(heavy, window), "windows")
+    # words are only needed where an anchor has several classes
+    mixed = classes.join(crowd, "anchor").groupBy("first.doc", "first.tell").agg(
+        F.collect_list(F.struct("anchor", "size", "first.at", "first.n")).alias("found"))
+    mixed = steps.write(mixed, "mixed", (crowd,))
+    pieces = steps.write(_pieces(rows, mixed, window, "anchor long, size long, at long, n long, words binary, doc long, tell long",
+                                 lambda piece: (piece,)), "pieces", (mixed,))
+    single = steps.write(_in_windows(pieces.where(F.col("size") > classes_most), window), "windows")
     ones = steps.write(single.groupBy("h1", "h2").agg(F.min(F.struct("doc", "tell", "at")).alias("first")), "ones")
-    parts = [_later(found, keys, classes), _later(single, ["h1", "h2"], ones), _shards(light, window, shard)]
+    parts = [_later(found, keys, classes), _later(single, ["h1", "h2"], ones),
+             _shards(pieces.where(F.col("size") <= classes_most), window, shard)]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return steps.write(out.groupBy("doc", "tell").agg(F.collect_list(F.struct("at", "n")).alias("runs")), "repeats",
-                       (found, classes, crowd, single, ones))
+                       (found, classes, pieces, single, ones))
 
 
 def kept_words(line: bytes, runs: list[dict], window: int) -> tuple[int, bytes]:
