@@ -43,9 +43,10 @@ ORACLE["op8_repeated_passages"] = r"""
 with w as (
   select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents
 ), p as (
-  select doc_id, unnest(range(0, greatest(len(ws) - 19, 0))) as i, ws from w
+  select doc_id, unnest(range(0, greatest(len(ws) - 19, 0))) as i,
+    unnest(list_transform(range(0, greatest(len(ws) - 19, 0)), lambda i: array_to_string(ws[i + 1:i + 20], ' '))) as words from w
 ), q as (
-  select doc_id, i, row_number() over (partition by array_to_string(ws[i + 1:i + 20], ' ') order by doc_id, i) > 1 as again from p
+  select doc_id, i, row_number() over (partition by words order by doc_id, i) > 1 as again from p
 ), x as (
   select doc_id, unnest(range(0, len(ws))) as i, unnest(ws) as word from w
 ), c as (
