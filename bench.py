@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import signal
 import sys
 import time
 
@@ -21,7 +22,7 @@ HEADLINE = [
     "quality_report", "merge_sources", "clean_panel", "lags", "rolling_mean", "rolling_std", "rolling_median",
     "rolling_slope", "monthly_index", "dept_encoding", "build_features", "baseline_forecast", "metrics_by",
     "rolling_metrics", "model_ranks", "store_risk", "markdown_roi", "store_dept_mapping", "dashboard_summary",
-    "additive_predict",
+    "additive_predict", "additive_predict_all", "additive_backtest", "boosted_predict", "boosted_backtest",
 ]
 
 
@@ -31,6 +32,15 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     times = {}
 
+    def report(*_) -> None:
+        print(json.dumps({"metric": "total wall-clock of the headline queries", "value": round(sum(times.values()), 3), "unit": "sec",
+                          "queries": times, "sf": os.path.basename(root.rstrip("/")).removeprefix("sf")}), flush=True)
+
+    def ended(*_) -> None:  # what is done counts, if the run is ended from outside
+        report()
+        os._exit(1)
+
+    signal.signal(signal.SIGTERM, ended)
     start = time.time()
     tables(spark, root)
     times["derive_tables"] = round(time.time() - start, 3)
@@ -39,8 +49,7 @@ def main() -> None:
         QUERIES[name](spark, root).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - start, 3)
         print(name, times[name], file=sys.stderr, flush=True)
-    print(json.dumps({"metric": "total wall-clock of the headline queries", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": os.path.basename(root.rstrip("/")).removeprefix("sf")}))
+    report()
     clear_scratch(spark)
     spark.stop()
 
