@@ -22,7 +22,7 @@ HEADLINE = [
     "quality_report", "merge_sources", "clean_panel", "lags", "rolling_mean", "rolling_std", "rolling_median",
     "rolling_slope", "monthly_index", "dept_encoding", "build_features", "baseline_forecast", "metrics_by",
     "rolling_metrics", "model_ranks", "store_risk", "markdown_roi", "store_dept_mapping", "dashboard_summary",
-    "additive_predict", "additive_predict_all", "additive_backtest", "boosted_predict", "boosted_backtest",
+    "additive_predict", "additive_predict_all", "boosted_predict",
 ]
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cleaning
@@ -40,7 +42,7 @@ _FEATURED: dict[tuple[str, str], DataFrame] = {}
 
 def clean(spark: SparkSession, root: str) -> DataFrame:
     t = tables(spark, root)
-    return cleaning.clean_panel(t.sales, t.features, t.stores)
+    return cleaning.clean_panel(t.sales, t.features, t.stores, stage=partial(materialise, name="days"))
 
 
 def featured(spark: SparkSession, root: str) -> DataFrame:

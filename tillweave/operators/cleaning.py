@@ -186,14 +186,16 @@ def _zscore_days(days: DataFrame, cols: Sequence[str], weight: str, by: str = ST
         *days.columns, *[f"{c}_std" for c in cols])
 
 
-def clean_panel(sales: DataFrame, features: DataFrame, stores: DataFrame, k: float = 1.5, approximate: bool = False, **cap) -> DataFrame:
+def clean_panel(sales: DataFrame, features: DataFrame, stores: DataFrame, k: float = 1.5, approximate: bool = False,
+                stage: Callable[[DataFrame], DataFrame] | None = None, **cap) -> DataFrame:
     """The cleaned panel from its three tables.
 
     Equal to ``clean_merged`` of the merged tables, but everything that a row has by its
     store and day is worked out on one row per store and day of the sales, with the
     number of rows that it stands for: fills, calendar, standardisation, quartiles.
     The panel itself is read for the quartiles of the sales, and joined with the days
-    once; nothing is written. (The sketch of ``approximate`` can't weigh rows and so
+    once. ``stage`` may write the days before the quantile passes read them (see
+    ``session.materialise``); the panel is never written. (The sketch of ``approximate`` can't weigh rows and so
     reads the joined panel, once.)
     """
     weight = "_rows"
@@ -204,6 +206,7 @@ def clean_panel(sales: DataFrame, features: DataFrame, stores: DataFrame, k: flo
     marked = markdown_sum(timed.na.fill(0.0, [c for c in MARKDOWNS if c in timed.columns]))
     economy = [c for c in ECONOMY if c in marked.columns]
     ready = fill_defaults(_zscore_days(marked, economy, weight))
+    ready = stage(ready) if stage else ready
     own = fill_defaults(calendar.parse_dates(sales))
     of_days = [c for c in _measures(ready, None) if c != weight]
     of_sales = [c for c in _measures(own, None) if c not in of_days]

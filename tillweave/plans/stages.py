@@ -8,12 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators import backtest as bt
 from ..operators import cleaning, compare, exports, features, quality, relational
 from ..operators.relational import canonical_sort
+from ..session import materialise
 from ..sources import files
 
 
@@ -26,7 +29,7 @@ def prepare(sales: DataFrame, covariates: DataFrame, stores: DataFrame, out: str
     files.write_json(quality.quality_report(sales, covariates, stores), f"{out}/quality")
     merged = relational.merge_sources(sales, cleaning.fill_markdowns(covariates), stores)
     files.write_parquet(exports.store_dept_mapping(merged), f"{out}/mapping")
-    cleaned = cleaning.clean_panel(sales, covariates, stores)
+    cleaned = cleaning.clean_panel(sales, covariates, stores, stage=partial(materialise, name="days"))
     files.write_parquet(cleaned, f"{out}/cleaned")
     table = features.build_features(files.read_parquet(spark, f"{out}/cleaned"))
     files.write_parquet(canonical_sort(table), f"{out}/features")
