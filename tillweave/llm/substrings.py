@@ -37,31 +37,37 @@ WIDTH = 6
 #: Words of a shard at which it is closed, and classes of an anchor beyond which they are cut into windows.
 SHARD, CLASSES = 120_000, 1000
 _LOW = -(1 << 63)
-
-
-def _checked(texts: list[str | None]) -> list[int]:
-    """32 bits that tell rows with equal ids apart."""
-    return [int.from_bytes(hashlib.blake2b((t or "").encode("utf-8", "surrogatepass"), digest_size=4).digest(), "little") for t in texts]
+#: What names a row.
+ROW = ["doc", "tell", "tell2"]
 
 
 def _digest(piece: bytes) -> tuple[int, int]:
     return tuple(np.frombuffer(hashlib.blake2b(piece, digest_size=16).digest(), dtype="<i8").tolist())
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LOW)).alias("doc"), F.col(text_col).cast("string").alias("text"))
+def _told(rows: DataFrame, text_col: str) -> DataFrame:
+    """The rows with the 128 bits (tell, tell2) that tell rows with equal ids apart: MD5 of the text, a null one like an empty one."""
+    digest = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
+    return rows.withColumns({name: F.conv(F.substring(digest, at, 16), 16, -10).cast("long") for name, at in (("tell", 1), ("tell2", 17))})
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str, steps: Steps) -> DataFrame:
+    """(doc, tell, tell2, text): rows equal in id and text once."""
+    told = _told(docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LOW)).alias("doc"), F.col(text_col).cast("string").alias("text")), "text")
+    # mostly a small table, so that the texts of all other rows need not move
+    often = steps.write(told.groupBy(*ROW).count().where("count > 1").select(*ROW), "often")
+    repeated = told.join(often, ROW, "left_semi").groupBy(*ROW).agg(F.first("text").alias("text"))
+    return told.join(often, ROW, "left_anti").unionByName(repeated)
 
 
 def _anchors(rows: DataFrame, window: int, width: int, whole: bool) -> DataFrame:
-    """(anchor) or (anchor, doc, tell, at, n) of all segments of all documents."""
+    """(anchor) or (anchor, doc, tell, tell2, at, n) of all segments of all documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            tells = _checked(texts) if whole else texts
             held, size = [], 0
-            for doc, text, tell in zip(batch.column(0).to_pylist(), texts, tells):
+            for text, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 anchor, at, n = segments(line_of(text), window, width)
-                held.append((anchor, np.full(len(at), doc), np.full(len(at), tell), at, n) if whole else (anchor,))
+                held.append((anchor, *(np.full(len(at), x) for x in row), at, n) if whole else (anchor,))
                 size += len(at)
                 if size > 100_000:
                     yield out(held)
@@ -71,56 +77,47 @@ def _anchors(rows: DataFrame, window: int, width: int, whole: bool) -> DataFrame
 
     def out(held: list[tuple]) -> pa.RecordBatch:
         cols = [np.concatenate(x) for x in zip(*held)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["anchor", "doc", "tell", "at", "n"][:len(cols)])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["anchor", *ROW, "at", "n"] if whole else ["anchor"])
 
-    return rows.mapInArrow(run, "anchor long, doc long, tell long, at long, n long" if whole else "anchor long")
+    return rows.select("text", *(ROW if whole else [])).mapInArrow(
+        run, "anchor long, doc long, tell long, tell2 long, at long, n long" if whole else "anchor long")
 
 
 def candidates(rows: DataFrame, window: int, width: int, steps: Steps) -> DataFrame:
     """Segments whose anchor occurs at least twice, with a digest of their words; written."""
     repeated = steps.write(_anchors(rows, window, width, False).groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     kept = _anchors(rows, window, width, True).join(repeated, "anchor", "left_semi")
-    lists = steps.write(kept.groupBy("doc", "tell").agg(F.collect_list(F.struct("anchor", "at", "n")).alias("found")), "segments", (repeated,))
+    lists = steps.write(kept.groupBy(*ROW).agg(F.collect_list(F.struct("anchor", "at", "n")).alias("found")), "segments", (repeated,))
 
-    found = _pieces(rows, lists, window, "anchor long, at long, n long, h1 long, h2 long, doc long, tell long", lambda piece: _digest(piece))
+    found = _pieces(rows, lists, window, "anchor long, at long, n long, h1 long, h2 long, doc long, tell long, tell2 long", lambda piece: _digest(piece))
     return steps.write(found, "candidates", (lists,))
 
 
 def _pieces(rows: DataFrame, lists: DataFrame, window: int, schema: str, make: Callable[[bytes], tuple]) -> DataFrame:
-    """What ``make`` gives for the words of each listed segment, between the list's fields and (doc, tell)."""
+    """What ``make`` gives for the words of each listed segment, between the list's fields and the row's name."""
     names = [x.split()[0] for x in schema.split(", ")]
     kinds = [pa.binary() if x.endswith("binary") else pa.int64() for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held: list[tuple] = []
-            for doc, tell, text, found in zip(*(c.to_pylist() for c in batch.columns)):
+            for text, found, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 line = line_of(text)
                 starts, ends = (x.tolist() for x in bounds(line))
-                held += [(*f.values(), *make(line[starts[f["at"]]:ends[f["at"] + f["n"] + window - 2]]), doc, tell) for f in found]
+                held += [(*f.values(), *make(line[starts[f["at"]]:ends[f["at"] + f["n"] + window - 2]]), *row) for f in found]
                 if len(held) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
                     held = []
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
 
-    return _told(rows).join(lists, ["doc", "tell"]).select("doc", "tell", "text", "found").mapInArrow(run, schema)
-
-
-def _told(rows: DataFrame) -> DataFrame:
-    """The rows with the number that tells equal ids apart."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            yield batch.append_column("tell", pa.array(_checked(batch.column(at).to_pylist()), pa.int64()))
-
-    return rows.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", tell long")
+    return rows.join(lists, ROW).select("text", "found", *ROW).mapInArrow(run, schema)
 
 
 def _later(found: DataFrame, keys: list[str], classes: DataFrame) -> DataFrame:
     """Occurrences that are not their class's first: every window of theirs is repeated."""
-    first = classes.select(*keys, F.col("first.doc").alias("d"), F.col("first.tell").alias("t"), F.col("first.at").alias("a"))
-    return found.join(first, keys).where("doc <> d or tell <> t or at <> a").select("doc", "tell", "at", "n")
+    first = classes.select(*keys, F.col("first.doc").alias("d"), F.col("first.tell").alias("t"), F.col("first.tell2").alias("t2"), F.col("first.at").alias("a"))
+    return found.join(first, keys).where("doc <> d or tell <> t or tell2 <> t2 or at <> a").select(*ROW, "at", "n")
 
 
 def _in_windows(pieces: DataFrame, window: int) -> DataFrame:
@@ -128,14 +125,14 @@ def _in_windows(pieces: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = []
-            for doc, tell, at, n, line in zip(*(c.to_pylist() for c in batch.columns)):
+            for at, n, line, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 starts, ends = (x.tolist() for x in bounds(line))
-                held += [(*_digest(line[starts[k]:ends[k + window - 1]]), doc, tell, at + k, 1) for k in range(n)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*held) if held else [[]] * 6)],
-                                             names=["h1", "h2", "doc", "tell", "at", "n"])
+                held += [(*_digest(line[starts[k]:ends[k + window - 1]]), *row, at + k, 1) for k in range(n)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*held) if held else [[]] * 7)],
+                                             names=["h1", "h2", *ROW, "at", "n"])
 
-    return pieces.select("doc", "tell", "at", "n", "words").mapInArrow(
-        run, "h1 long, h2 long, doc long, tell long, at long, n long")
+    return pieces.select("at", "n", "words", *ROW).mapInArrow(
+        run, "h1 long, h2 long, doc long, tell long, tell2 long, at long, n long")
 
 
 def search(pieces: list[bytes], doc: np.ndarray, tell: np.ndarray, at: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,7 +165,7 @@ def search(pieces: list[bytes], doc: np.ndarray, tell: np.ndarray, at: np.ndarra
 
 
 def _shards(pieces: DataFrame, window: int, shard: int) -> DataFrame:
-    """(doc, tell, at, n): repeated windows among segments that share an anchor."""
+    """(doc, tell, tell2, at, n): repeated windows among segments that share an anchor."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size, last = 0, None
@@ -178,41 +175,44 @@ def _shards(pieces: DataFrame, window: int, shard: int) -> DataFrame:
                     yield out(held)
                     held, size = [], 0
                 held.append(row)
-                size, last = size + row[4] + window, row[0]
+                size, last = size + row[5] + window, row[0]
         if held:
             yield out(held)
 
     def out(held: list[tuple]) -> pa.RecordBatch:
-        _, doc, tell, at, n, words = zip(*held)
-        doc, tell, at, n = (np.array(x, dtype=np.int64) for x in (doc, tell, at, n))
-        piece, inner = search(list(words), doc, tell, at, n, window)
-        cols = (doc[piece], tell[piece], at[piece] + inner, np.ones(len(piece), dtype=np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["doc", "tell", "at", "n"])
+        _, doc, tell, tell2, at, n, words = zip(*held)
+        doc, tell, tell2, at, n = (np.array(x, dtype=np.int64) for x in (doc, tell, tell2, at, n))
+        both = np.empty(len(tell), dtype=[("a", np.int64), ("b", np.int64)])
+        both["a"], both["b"] = tell, tell2
+        piece, inner = search(list(words), doc, np.unique(both, return_inverse=True)[1], at, n, window)
+        cols = (doc[piece], tell[piece], tell2[piece], at[piece] + inner, np.ones(len(piece), dtype=np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=[*ROW, "at", "n"])
 
-    rows = pieces.select("anchor", "doc", "tell", "at", "n", "words")
-    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "doc long, tell long, at long, n long")
+    rows = pieces.select("anchor", *ROW, "at", "n", "words")
+    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "doc long, tell long, tell2 long, at long, n long")
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text",
             shard: int = SHARD, classes_most: int = CLASSES) -> DataFrame:
-    """(doc, tell, at, n): runs of windows that also start earlier, by (doc, tell) of their document."""
-    steps, rows = Steps(docs.sparkSession), _rows(docs, id_col, text_col)
+    """(doc, tell, tell2, runs): runs of windows that also start earlier, by what names their document."""
+    steps = Steps(docs.sparkSession)
+    rows = _rows(docs, id_col, text_col, steps)
     found = candidates(rows, window, width, steps)
     keys = ["anchor", "h1", "h2"]
-    classes = steps.write(found.groupBy(*keys).agg(F.min(F.struct("doc", "tell", "at", "n")).alias("first")), "classes")
+    classes = steps.write(found.groupBy(*keys).agg(F.min(F.struct(*ROW, "at", "n")).alias("first")), "classes")
     crowd = steps.write(classes.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1"), "crowds")
     # words are only needed where an anchor has several classes
-    mixed = classes.join(crowd, "anchor").groupBy("first.doc", "first.tell").agg(
+    mixed = classes.join(crowd, "anchor").groupBy("first.doc", "first.tell", "first.tell2").agg(
         F.collect_list(F.struct("anchor", "size", "first.at", "first.n")).alias("found"))
     mixed = steps.write(mixed, "mixed", (crowd,))
-    pieces = steps.write(_pieces(rows, mixed, window, "anchor long, size long, at long, n long, words binary, doc long, tell long",
+    pieces = steps.write(_pieces(rows, mixed, window, "anchor long, size long, at long, n long, words binary, doc long, tell long, tell2 long",
                                  lambda piece: (piece,)), "pieces", (mixed,))
     single = steps.write(_in_windows(pieces.where(F.col("size") > classes_most), window), "windows")
-    ones = steps.write(single.groupBy("h1", "h2").agg(F.min(F.struct("doc", "tell", "at")).alias("first")), "ones")
+    ones = steps.write(single.groupBy("h1", "h2").agg(F.min(F.struct(*ROW, "at")).alias("first")), "ones")
     parts = [_later(found, keys, classes), _later(single, ["h1", "h2"], ones),
              _shards(pieces.where(F.col("size") <= classes_most), window, shard)]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return steps.write(out.groupBy("doc", "tell").agg(F.collect_list(F.struct("at", "n")).alias("runs")), "repeats",
+    return steps.write(out.groupBy(*ROW).agg(F.collect_list(F.struct("at", "n")).alias("runs")), "repeats",
                        (found, classes, pieces, single, ones))
 
 
@@ -234,11 +234,11 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, width: int = WIDTH, i
     """All rows and columns, with n_words, n_removed and kept (the words that no repeated window covers).
 
     Words end at ASCII white space. Null texts and texts of fewer words than a window keep
-    what they have. Earlier means a smaller id (null first), then the smaller checksum of
+    what they have. Earlier means a smaller id (null first), then the smaller digest of
     the text where rows share an id, then the earlier word; rows equal in id and text are
     one document and share its result.
     """
-    clash = {"n_words", "n_removed", "kept", "doc", "tell", "runs"} & set(docs.columns)
+    clash = {"n_words", "n_removed", "kept", "doc", "tell", "tell2", "runs"} & set(docs.columns)
     if clash:
         raise ValueError(f"columns exist already: {sorted(clash)}")
     runs = repeats(docs, window, width, id_col, text_col, shard, classes_most)
@@ -258,8 +258,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, width: int = WIDTH, i
                 batch = batch.append_column(name, pa.array(col, kind))
             yield batch
 
-    told = _told(rows.withColumnRenamed(text_col, "text")) if text_col != "text" else _told(rows)
+    told = _told(rows, text_col)
     names = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    joined = told.join(runs, ["doc", "tell"], "left").select(*[F.col("text") if c == text_col else F.col(c) for c in docs.columns], "runs")
-    joined = joined.withColumnRenamed("text", text_col) if text_col != "text" else joined
+    joined = told.join(runs, ROW, "left").select(*docs.columns, "runs")
     return joined.mapInArrow(run, ", ".join(names) + ", n_words long, n_removed long, kept string")
