@@ -15,8 +15,10 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+import sys
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -29,8 +31,6 @@ from ..session import materialise
 HOSTS, SALTS = 2000, 64
 #: Pages that must agree on a text inside the article before it counts as template.
 SUPPORT = 8
-#: Open elements at most; deeper ones stay childless and their text goes to the innermost open one.
-DEPTH = 200
 #: Children up to which order counts in the alignment; longer lists are repetitions, told by label.
 ORDERED = 32
 
@@ -85,16 +85,29 @@ class Node:
                     self.apart = True
 
 
+def _room(depth: int) -> None:
+    """Trees are walked by plain Python calls, at most three a level, which take heap and no C stack."""
+    if sys.getrecursionlimit() < 3 * depth + 2000:
+        sys.setrecursionlimit(6 * depth + 2000)
+
+
 def tree(page: str) -> Node:
-    """The element tree of a page, as broken as it may be: end tags close what they can, the rest closes by itself."""
+    """The element tree of a page, as broken and deep as it may be: end tags close what they can, the rest closes by itself."""
     root = Node("#page")
-    stack, at = [root], 0
+    stack, at, deepest = [root], 0, 1
+    opened: Counter[str] = Counter()
+
+    def close(k: int) -> None:
+        opened.subtract(n.tag for n in stack[k:])
+        del stack[k:]
+
     while True:
         m = _TOKEN.search(page, at)
         text = page[at:m.start()] if m else page[at:]
         if text:
             stack[-1].parts.append(entities.unescape(text) if "&" in text else text)
         if not m:
+            _room(deepest)
             return root
         at = m.end()
         tag = (m[2] or m[5] or "").lower()
@@ -103,22 +116,22 @@ def tree(page: str) -> Node:
                 stack[-1].parts.append(m[0][9:-3])
             continue
         if m[1] or m[4]:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[k].tag == tag:
-                    del stack[k:]
+                    close(k)
                     break
             continue
         if tag in _SAME:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if any(opened[x] for x in _SAME[tag]) else ():
                 if stack[k].tag in _SAME[tag]:
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k].tag in _ENDS[tag]:
                     break
-        elif tag in CLOSES_P:
+        elif tag in CLOSES_P and opened["p"]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k].tag in BLOCK:
                     break
@@ -127,13 +140,47 @@ def tree(page: str) -> Node:
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
-        elif tag not in VOID and len(stack) < DEPTH:
+        elif tag not in VOID:
             stack.append(node)
+            opened[tag] += 1
+            deepest = max(deepest, len(stack))
 
 
 # --- templates: [label, pages, own text's checksum or None, whole text's checksum or None, characters, children]
 
 
+def _flat(top: list | dict, fields: tuple, children: int | str) -> str:
+    """A template or wrapper as JSON of one row a node, parents first; nested JSON would be bounded in depth."""
+    out, left = [], [top]
+    while left:
+        t = left.pop()
+        out.append([*(t[f] for f in fields), len(t[children])])
+        left.extend(reversed(t[children]))
+    return json.dumps(out, separators=(",", ":"))
+
+
+def _grown(rows: list[list], make: Callable[[list], list | dict], children: int | str) -> list | dict:
+    """The tree of such rows."""
+    top, path, deepest = None, [], 1
+    for *values, n in rows:
+        node = make(values)
+        if top is None:
+            top = node
+        else:
+            path[-1][0][children].append(node)
+            path[-1][1] -= 1
+        path.append([node, n])
+        deepest = max(deepest, len(path))
+        while path and not path[-1][1]:
+            path.pop()
+    _room(deepest)
+    return top
+
+
+def _template(part: str) -> list:
+    return _grown(json.loads(part), lambda v: [*v, []], 5)
+
+
 def _collapsed(children: list[list]) -> list[list]:
     """Siblings that repeat a label one after another become one node; long mixed lists repeat as a whole."""
     out: list[list] = []
@@ -257,14 +304,28 @@ def wrapper(template: list) -> dict:
     varies = template[3] is None
 
     def has_main(t: list) -> bool:
-        return not _apart(t[0], False) and (_is_main(t[0]) or any(map(has_main, t[5])))
+        left = [t]
+        while left:
+            t = left.pop()
+            if not _apart(t[0], False):
+                if _is_main(t[0]):
+                    return True
+                left += t[5]
+        return False
+
+    masses: dict[int, int] = {}
 
     def mass(t: list) -> int:
         """Characters of varying text outside regions that are no article (of all text if nothing varies)."""
-        if _apart(t[0], False):
-            return 0
-        own = t[4] - sum(c[4] for c in t[5])
-        return (own if t[2] is None or not varies else 0) + sum(map(mass, t[5]))
+        if id(t) not in masses:
+            own, below = t[4], 0
+            if not _apart(t[0], False):
+                for c in t[5]:
+                    own -= c[4]
+                    below += mass(c)
+                below += own if t[2] is None or not varies else 0
+            masses[id(t)] = below
+        return masses[id(t)]
 
     landmark = has_main(template)
     chosen = None
@@ -293,7 +354,8 @@ class Reader:
     """Applies one host's wrapper to its pages."""
 
     def __init__(self, rules: str):
-        self.rules = json.loads(rules)
+        read = json.loads(rules)
+        self.rules = _grown(read, lambda v: {**dict(zip("lrt", v)), "k": []}, "k") if isinstance(read, list) else read
 
     def text(self, page: str | None) -> str:
         blocks: list[str] = []
@@ -372,7 +434,7 @@ def induce(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Da
         held: dict[str, list] = {}
 
         def out() -> pa.RecordBatch:
-            rows = [(h, zlib.crc32(s.encode()) % SALTS, s) for h, s in ((h, json.dumps(t)) for h, t in held.items())]
+            rows = [(h, zlib.crc32(s.encode()) % SALTS, s) for h, s in ((h, _flat(t, range(5), 5)) for h, t in held.items())]
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.string(), pa.int32(), pa.string()))],
                                               names=["host", "salt", "part"])
@@ -389,14 +451,14 @@ def induce(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Da
     def merged(f: pd.DataFrame) -> list:
         template = None
         for part in sorted(f["part"]):
-            template = json.loads(part) if template is None else _merge(template, json.loads(part))
+            template = _template(part) if template is None else _merge(template, _template(part))
         return template
 
     def some(f: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": [f["host"].iloc[0]], "part": [json.dumps(merged(f))]})
+        return pd.DataFrame({"host": [f["host"].iloc[0]], "part": [_flat(merged(f), range(5), 5)]})
 
     def rules(f: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": [f["host"].iloc[0]], "rules": [json.dumps(wrapper(merged(f)), separators=(",", ":"))]})
+        return pd.DataFrame({"host": [f["host"].iloc[0]], "rules": [_flat(wrapper(merged(f)), ("l", "r", "t"), "k")]})
 
     rows = pages.select(_host(url_col).alias("host"), F.col(html_col).cast("string"))
     parts = rows.mapInArrow(fold, "host string, salt int, part string")
