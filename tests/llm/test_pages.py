@@ -1,4 +1,4 @@
-"""Deep pages."""
+"""Deep pages, and hosts with several layouts."""
 
 from tillweave.llm import extract
 
@@ -16,3 +16,31 @@ def test_text_after_deep_elements(spark):
     assert set(got.values()) == {"start\ncore\nrest"} and len(got) == 6
     # unclosed and unmatched tags in great number
     assert texts(spark, [(1, "http://a.example/", "<article>" + "<b>" * 20_000 + "</i>" * 20_000 + "x</article>")]) == {1: "x"}
+
+
+MARKED = "<body><div class=top>Site name</div><article><h1>Title {0}</h1><p>Marked text {0} of the story.</p></article><div class=foot>All rights</div></body>"
+POST = "<body><div class=top>Site name</div><div class=post><h2>Post {0}</h2><p>Plain text {0} that is the story here.</p></div><div class=foot>All rights</div></body>"
+ENTRY = "<body><div class=top>Site name</div><div class=entry><h2>Entry {0}</h2><p>Other text {0} that is a story too.</p></div><div class=foot>All rights</div></body>"
+WANT = {MARKED: "Title {0}\nMarked text {0} of the story.", POST: "Post {0}\nPlain text {0} that is the story here.",
+        ENTRY: "Entry {0}\nOther text {0} that is a story too."}
+
+
+def test_layouts_of_a_host(spark):
+    """Each layout gives its own article, whether it is common or rare, marked or not."""
+    hosts = {"marked": [(MARKED, 12), (POST, 5)], "one": [(MARKED, 12), (POST, 1)], "rare": [(POST, 20), (ENTRY, 2)], "even": [(POST, 6), (ENTRY, 6)],
+             "three": [(MARKED, 9), (POST, 9), (ENTRY, 3)]}
+    data, want = [], {}
+    for host, kinds in hosts.items():
+        for kind, n in kinds:
+            for _ in range(n):
+                k = len(data)
+                data.append((k, f"http://{host}.example/{k}", kind.format(k)))
+                want[k] = WANT[kind].format(k)
+    assert texts(spark, data) == want
+
+
+def test_layouts_without_a_host(spark):
+    """Null and odd urls share a host; none of their pages comes out empty for the layout of others."""
+    kinds = [MARKED] * 9 + [POST] * 9 + [ENTRY] * 3
+    got = texts(spark, [(k, ["nonsense", None, ""][k % 3], kind.format(k)) for k, kind in enumerate(kinds)])
+    assert got == {k: WANT[kind].format(k) for k, kind in enumerate(kinds)}

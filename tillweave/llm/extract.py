@@ -8,6 +8,11 @@ no group of pages is ever gathered. From the template comes the wrapper: the nod
 holds the article (a landmark, or where the varying text sits), constant nodes (template),
 varying slots (content), and regions that are no article whatever they say. A page is then
 aligned with its host's wrapper and gives the text of its content slots.
+
+A host may have several layouts. Pages with a landmark and pages without have a template
+each. Without a landmark, containers of which every page has one are places of an article
+each; a page that has none of them gives the place that holds most of its own text which
+the template does not know as constant.
 """
 
 from __future__ import annotations
@@ -146,6 +151,19 @@ def tree(page: str) -> Node:
             deepest = max(deepest, len(stack))
 
 
+def _without(node: Node) -> bool:
+    """Whether a page has no article or main element outside regions that are no article."""
+    left = [node]
+    while left:
+        node = left.pop()
+        if node.tag in RAW or node.tag == "head" or node.apart or node.apart is None:
+            continue
+        if node.main and node.tag in ("article", "main"):
+            return False
+        left += [p for p in node.parts if isinstance(p, Node)]
+    return True
+
+
 # --- templates: [label, pages, own text's checksum or None, whole text's checksum or None, characters, children]
 
 
@@ -277,7 +295,7 @@ def _merge(a: list, b: list) -> list:
     return [a[0], a[1] + b[1], *same, a[4] + b[4], children]
 
 
-# --- wrappers: {"l": label, "r": holds the article, "t": own text is template, "k": children}
+# --- wrappers: {"l": label, "r": holds the article, "t": own text is template, "c": it is constant on the host, "k": children}
 
 
 def _apart(label: str, inside: bool) -> bool:
@@ -299,8 +317,8 @@ def _is_main(label: str) -> bool:
     return bool(re.match(r"(article|main)(?=[.#]|$)", label))
 
 
-def wrapper(template: list) -> dict:
-    """Which nodes of a host's template hold the article, and which texts are template."""
+def wrapper(template: list, places: bool = True) -> dict:
+    """Which nodes of a layout's template hold the article, and which texts are template; without ``places`` each page finds its own."""
     varies = template[3] is None
 
     def has_main(t: list) -> bool:
@@ -328,36 +346,56 @@ def wrapper(template: list) -> dict:
         return masses[id(t)]
 
     landmark = has_main(template)
-    chosen = None
-    if not landmark:
-        chosen = template
-        while True:
-            total = mass(chosen)
-            inner = [c for c in chosen[5] if c[0].split(".")[0].split("#")[0] in BLOCK - {"p", "li", "td"} and mass(c) >= 0.7 * total > 0]
-            if not inner:
-                break
-            chosen = inner[0]
+    chosen: list[list] = []
+    left = [] if landmark or not places else [template]
+    while left:
+        t = left.pop()
+        total = mass(t)
+        inner = sorted((c for c in t[5] if c[0].split(".")[0].split("#")[0] in BLOCK - {"p", "li", "td"} and mass(c) > 0), key=lambda c: -mass(c))
+        large = [c for c in t[5] if any(c is x for x in inner) and mass(c) >= 0.7 * total]
+        if large:
+            left.append(large[0])
+            continue
+        ways: list[list] = []  # containers of which each page has one
+        for c in inner:
+            if c[1] < t[1] and sum(x[1] for x in ways) + c[1] <= t[1]:
+                ways.append(c)
+        if len(ways) > 1 and sum(x[1] for x in ways) == t[1] and sum(map(mass, ways)) >= 0.7 * total:
+            left += ways
+        else:
+            chosen.append(t)
+    starting = {id(t) for t in chosen}
 
     def rule(t: list, inside: bool, vary: bool, pages: int) -> dict:
-        starts = not inside and (_is_main(t[0]) if landmark else t is chosen)
+        starts = not inside and (places and (_is_main(t[0]) if landmark else id(t) in starting))
         if starts:
             vary, pages = t[3] is None, t[1]
         inside = inside or starts
         constant = t[2] is not None and t[1] == pages
         fixed = inside and vary and constant and (pages >= SUPPORT or not landmark and pages > 1)
-        return {"l": t[0], "r": int(starts), "t": int(fixed), "k": [rule(c, inside, vary, pages) for c in t[5]]}
+        common = varies and t[2] is not None and 1 < t[1] and (t[1] >= SUPPORT or t[1] == template[1])
+        return {"l": t[0], "r": int(starts), "t": int(fixed), "c": int(common), "k": [rule(c, inside, vary, pages) for c in t[5]]}
 
     return rule(template, False, False, 0)
 
 
 class Reader:
-    """Applies one host's wrapper to its pages."""
+    """Applies one host's wrappers to its pages: a single one, or those of pages with and without a landmark, null if there are none."""
 
     def __init__(self, rules: str):
         read = json.loads(rules)
-        self.rules = _grown(read, lambda v: {**dict(zip("lrt", v)), "k": []}, "k") if isinstance(read, list) else read
+        self.rules = [r and _grown(r, lambda v: {**dict(zip("lrtc", v)), "k": []}, "k") for r in read] if isinstance(read, list) else [read] * 2
 
     def text(self, page: str | None) -> str:
+        root = tree(page or "")
+        without = _without(root)
+        rules = self.rules[without]
+        text, started = self._read(root, rules, None)
+        return self._read(root, rules, _place(root, rules))[0] if without and not started else text
+
+    def _read(self, root: Node, rules: dict | None, place: Node | None) -> tuple[str, bool]:
+        """The text, and whether an article starts anywhere; with a place it does there only, and constant text is template."""
+        started = False
         blocks: list[str] = []
         held: list[str] = []
 
@@ -370,11 +408,13 @@ class Reader:
         def walk(node: Node, rule: dict | None, inside: bool) -> None:
             if node.tag in RAW or node.tag == "head" or node.apart or node.apart is None and not inside:
                 return
-            inside = inside or node.main or bool(rule and rule["r"])
+            inside = inside or (node is place if place else node.main or bool(rule and rule["r"]))
+            nonlocal started
+            started |= inside
             block = node.tag in BLOCK
             if block:
                 flush()
-            fixed = bool(rule and rule["t"])
+            fixed = bool(rule and rule["c" if place else "t"])
             kids = rule["k"] if rule else ()
             match = _places([p for p in node.parts if isinstance(p, Node)], kids)
             k = 0
@@ -390,9 +430,31 @@ class Reader:
             if block:
                 flush()
 
-        walk(tree(page or ""), self.rules, False)
+        walk(root, rules, False)
         flush()
-        return "\n".join(blocks)
+        return "\n".join(blocks), started
+
+
+def _place(root: Node, rules: dict | None) -> Node:
+    """Where most of a page's own text is, the one that the wrapper does not know as constant."""
+    order: list[tuple[Node, int, int]] = []  # element, its parent's place, characters
+    left: list[tuple[Node, dict | None, int]] = [(root, rules, -1)]
+    while left:
+        node, rule, up = left.pop()
+        if node.tag in RAW or node.tag == "head" or node.apart or node.apart is None:
+            continue
+        own = 0 if rule and rule.get("c") else sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
+        inner = [p for p in node.parts if isinstance(p, Node)]
+        left += [(p, r, len(order)) for p, r in zip(inner, _places(inner, rule["k"] if rule else ()))]
+        order.append((node, up, own))
+    mass = [own for _, _, own in order]
+    for k in range(len(order) - 1, 0, -1):
+        mass[order[k][1]] += mass[k]
+    at = 0
+    for k in range(1, len(order)):  # parents come first
+        if order[k][1] == at and order[k][0].tag in BLOCK - {"p", "li", "td"} and mass[k] >= 0.7 * mass[at] > 0:
+            at = k
+    return order[at][0] if order else root
 
 
 def _places(nodes: list[Node], kids: list[dict]) -> list[dict | None]:
@@ -429,40 +491,47 @@ def _host(url_col: str):
 
 
 def induce(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, rules): one wrapper per host, from all its pages. Pages without a host share the host ''."""
+    """(host, rules): the wrappers of a host's two kinds of layouts, from all its pages. Pages without a host share the host ''."""
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
+        held: dict[tuple[str, int], list] = {}
 
         def out() -> pa.RecordBatch:
-            rows = [(h, zlib.crc32(s.encode()) % SALTS, s) for h, s in ((h, _flat(t, range(5), 5)) for h, t in held.items())]
+            rows = [(*h, zlib.crc32(s.encode()) % SALTS, s) for h, s in ((h, _flat(t, range(5), 5)) for h, t in held.items())]
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.string(), pa.int32(), pa.string()))],
-                                              names=["host", "salt", "part"])
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.string(), pa.int32(), pa.int32(), pa.string()))],
+                                              names=["host", "layout", "salt", "part"])
 
         for batch in batches:
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                new = shape(tree(page or ""))
-                held[host] = _merge(held[host], new) if host in held else new
+                top = tree(page or "")
+                new, key = shape(top), (host, int(_without(top)))
+                held[key] = _merge(held[key], new) if key in held else new
                 if len(held) >= HOSTS:
                     yield out()
         if held:
             yield out()
 
-    def merged(f: pd.DataFrame) -> list:
+    def merged(found: list[str]) -> list | None:
         template = None
-        for part in sorted(f["part"]):
+        for part in sorted(found):
             template = _template(part) if template is None else _merge(template, _template(part))
         return template
 
     def some(f: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": [f["host"].iloc[0]], "part": [_flat(merged(f), range(5), 5)]})
+        return pd.DataFrame({"host": [f["host"].iloc[0]], "layout": [f["layout"].iloc[0]], "part": [_flat(merged(f["part"]), range(5), 5)]})
 
     def rules(f: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": [f["host"].iloc[0]], "rules": [_flat(wrapper(merged(f)), ("l", "r", "t"), "k")]})
+        marked, plain = (merged(f["part"][f["layout"] == k]) for k in range(2))
+        alone = marked is not None and plain is not None and plain[1] == 1  # a single page: the others tell what is constant
+        made = [t and wrapper(t) for t in (marked, None if alone else plain)]
+        if alone:
+            made[1] = wrapper(_merge(marked, plain), False)
+        flat = ",".join(_flat(w, ("l", "r", "t", "c"), "k") if w else "null" for w in made)
+        return pd.DataFrame({"host": [f["host"].iloc[0]], "rules": [f"[{flat}]"]})
 
     rows = pages.select(_host(url_col).alias("host"), F.col(html_col).cast("string"))
-    parts = rows.mapInArrow(fold, "host string, salt int, part string")
-    parts = parts.groupBy("host", "salt").applyInPandas(some, "host string, part string")
+    parts = rows.mapInArrow(fold, "host string, layout int, salt int, part string")
+    parts = parts.groupBy("host", "layout", "salt").applyInPandas(some, "host string, layout int, part string")
     return parts.groupBy("host").applyInPandas(rules, "host string, rules string")
 
 
