@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise, scratch_path
-from . import decontaminate, extract, langid, packing, rollup, sharding, simhash, substrings, vectors, warc
+from . import binary, decontaminate, extract, langid, packing, rollup, sharding, simhash, substrings, vectors, warc
 from .tokens import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,10 @@ def op7_html_wrapper(spark: SparkSession, root: str) -> DataFrame:
 def op8_repeated_passages(spark: SparkSession, root: str) -> DataFrame:
     cut = substrings.without_repeats(table(spark, root, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op11_power_of_two_packing(spark: SparkSession, root: str) -> DataFrame:
+    """Pieces of power-of-two lengths, each a sequence of its own; slot is its place among those of its length."""
+    placed = binary.pack_documents(table(spark, root, "documents"), TOKENIZER)
+    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "slot")

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -20,7 +21,9 @@ MEMORY = 350_000
 LONGEST = 64
 _SPACE = re.compile("[ \t\r\n]")
 #: A full stop or comma at a word's end that belongs to a longer run of marks or to a marker of the vocabulary.
-_JOINED = re.compile(r"(?:[^\w\s]|_)[.,][ \n]")
+_JOINED = r"[^\pL\pN\s][.,][ \n]"
+#: Characters of text that are numbered together.
+AT_ONCE = 1 << 23
 
 
 class WordTokenizer:
@@ -88,24 +91,43 @@ class WordTokenizer:
             words[word] = letters[core] + words[tail] if tail else letters[core]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            if not _JOINED.search(text):  # then a sentence's marks are pieces of their own anyway
-                text = text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " . ")
-            parts = _SPACE.sub(" ", text).split(" ") if "\t" in text or "\r" in text else text.replace("\n", " ").split(" ")
-            ids = list(map(self.words.get, parts))
-            if None in ids:
-                lacking = [k for k, v in enumerate(ids) if v is None]
-                missing = {parts[k] for k in lacking}
-                if len(self.words) + len(missing) > MEMORY:
-                    self.older = (self.words, self.letters)
-                    self.words, self.letters = {"": b""}, {}
-                self._fill(missing)
-                for k in lacking:
-                    ids[k] = self.words[parts[k]]
-            out.append(b"".join(ids))
+        out: list[bytes] = []
+        start = size = 0
+        for k, text in enumerate(texts):
+            size += len(text)
+            if size >= AT_ONCE or k == len(texts) - 1:
+                out += self._encode(texts[start:k + 1])
+                start, size = k + 1, 0
         return out
 
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        """The words of all texts are numbered together; what a word gives is looked up once and dealt out by number."""
+        joined = pc.match_substring_regex(pa.array(texts, pa.large_string()), _JOINED)
+        ready = []
+        for text, whole in zip(texts, joined.to_pylist()):
+            if not whole:  # then a sentence's marks are pieces of their own anyway
+                text = text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " . ")
+            ready.append(_SPACE.sub(" ", text) if "\t" in text or "\r" in text else text.replace("\n", " "))
+        split = pc.split_pattern(pa.array(ready, pa.large_string()), " ")
+        numbered = split.values.dictionary_encode()
+        parts = numbered.dictionary.to_pylist()
+        missing = {w for w in parts if w not in self.words}
+        if missing:
+            if len(self.words) + len(missing) > MEMORY:
+                self.older = (self.words, self.letters)
+                self.words, self.letters = {"": b""}, {}
+                missing = set(parts) - {""}
+            self._fill(missing)
+        ids = [self.words[w] for w in parts]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        store, of = np.frombuffer(b"".join(ids), "<u4"), numbered.indices.to_numpy()
+        first = (np.cumsum(lengths) - lengths)[of]
+        lengths = lengths[of]
+        ends = np.cumsum(lengths)
+        line = store[np.repeat(first - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.concatenate([[0], ends])[split.offsets.to_numpy()].tolist()
+        return [line[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
 
 def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """id, the kept columns, n_words (ASCII white space), n_ids, n_bytes and text_key (SHA-256 of the text).
