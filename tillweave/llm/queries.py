@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise, scratch_path
-from . import binary, decontaminate, extract, langid, packing, rollup, sharding, simhash, substrings, vectors, warc
+from . import binary, decontaminate, extract, langid, packing, rollup, sharding, simhash, spellings, substrings, vectors, warc
 from .tokens import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +119,12 @@ def op11_power_of_two_packing(spark: SparkSession, root: str) -> DataFrame:
     """Pieces of power-of-two lengths, each a sequence of its own; slot is its place among those of its length."""
     placed = binary.pack_documents(table(spark, root, "documents"), TOKENIZER)
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "slot")
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, root: str) -> DataFrame:
+    """Words of all documents with the spelling they vary; one occurrence in 97 loses a letter first, by its document and word."""
+    h = "crc32(cast(concat(coalesce(cast(id as string), ''), ':', word) as binary))"
+    kept = F.expr(f"case when {h} % 97 = 0 then overlay(word placing '' from cast({h} % length(word) as int) + 1 for 1) else word end")
+    found = spellings.variants(spellings.word_counts(table(spark, root, "documents"), kept))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
