@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise, scratch_path
-from . import binary, decontaminate, extract, langid, packing, rollup, sharding, simhash, spellings, substrings, vectors, warc
+from . import binary, decontaminate, extract, langid, packing, periods, rollup, sharding, simhash, spellings, substrings, vectors, warc
 from .tokens import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,3 +129,26 @@ def op12_spelling_variants(spark: SparkSession, root: str) -> DataFrame:
     kept = F.expr(f"case when {h} % 97 = 0 then overlay(word placing '' from cast({h} % length(word) as int) + 1 for 1) else word end")
     found = spellings.variants(spellings.word_counts(table(spark, root, "documents"), kept))
     return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def repeated_from(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of one document in ten repeat from a place on, both by the id's checksum; a null id changes nothing."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a:a + p] * ((n - a) // p + 1))[:n - a]
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, root: str) -> DataFrame:
+    found = periods.periodic_runs(table(spark, root, "documents"), rewrite=repeated_from)
+    best = F.expr("""aggregate(runs, cast(null as struct<start: bigint, length: bigint, period: bigint>), (b, r) ->
+        if(b is null or r.length * b.period > b.length * r.period, r, b))""")  # runs come by start, then period
+    listed = F.expr("concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, chr(10))))")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"), F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
