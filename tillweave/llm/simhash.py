@@ -152,3 +152,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     table = materialise(named.join(least, "root").select("fp", "component_id"), "classes")
     return prints.join(table, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, seed: int = 42, most: int = 2) -> DataFrame:
+    """Exactly one row of each component of ``near_duplicates``, all columns: one of the smallest id, null ids last.
+
+    Rows are decided one by one, also where they repeat or lack an id. Of rows with one id
+    the one of the smallest text hash stays; rows equal in id and text are one key, of
+    which any one row stays. They are reduced where they are read, before any shuffle.
+    Other columns may have any name and type; an empty table gives no rows.
+    """
+    text = F.col(text_col).cast("string")
+    hashes = {"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit("text"), text)}
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), *(h.alias(c) for c, h in hashes.items()))
+    found = near_duplicates(docs.select(key.alias("key"), text.alias("text")), "key", "text", width, seed, most)
+    kept = found.where(F.col("key").eqNullSafe(F.col("component_id"))).select("key.*").distinct().toDF("none", "kept_id", "k1", "k2")
+    rows = docs.select(F.col(id_col).alias("id"), *(h.alias(c) for c, h in hashes.items()), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    same = rows["id"].eqNullSafe(kept["kept_id"]) & (rows["h1"] == kept["k1"]) & (rows["h2"] == kept["k2"])
+    return rows.dropDuplicates(["id", "h1", "h2"]).join(kept, same, "left_semi").select("row.*")
