@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillweave.llm import copies, decontaminate, langid, packing, substrings
+from tillweave.llm import decontaminate, langid, packing, simhash, substrings
 from tillweave.llm.queries import TOKENIZER
 from tillweave.session import scratch_path
 
@@ -21,11 +21,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies (five-word shingles, Jaccard similarity 0.8 or more): the one with the smallest doc_id.
+    """One row of each group of documents whose SimHash fingerprints link: the one with the smallest doc_id.
 
-    Rows without a doc_id come last, so a unique text stays without one; rows that repeat an id, a text or both are decided one by one.
+    Three-word shingles and at most two differing bits, as in op4. Rows without a doc_id come last, so a
+    unique text stays without one; rows that repeat an id, a text or both are decided one by one.
     """
-    return copies.without_copies(docs)
+    return simhash.without_near_duplicates(docs, width=3, most=2)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
