@@ -5,8 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillweave.models.additive import AdditiveParams, LocalModel, partial_sums, solve_mode
-from tillweave.models.boosted import BoostedParams, GlobalModel, stopped
+from tillweave.models import boosted, trees
+from tillweave.models.boosted import BoostedParams, GlobalModel
+from tillweave.operators.backtest import backtest
 from tillweave.session import scratch_path
+from tillweave.sources import versions
 
 
 @pytest.fixture(scope="module")
@@ -92,19 +95,22 @@ def test_boosted(spark, table):
     assert again.fit_metrics(table).first() == pytest.approx(scores)
 
 
-def test_stopping_rule():
-    assert stopped([5, 4, 3, 4, 4, 4], 2) == [5, 4, 3, 4, 4]
-    assert stopped([5, 4, 3, 2], 2) == [5, 4, 3, 2] and stopped([1, 1, 1, 1], 3) == [1, 1, 1, 1]
+def noisy(table):
+    """Nothing to learn beyond the shop: later rounds only fit the noise."""
+    return table.withColumn("Weekly_Sales", 20000 * F.col("Store") + F.pmod(F.xxhash64("Store", "Dept", "Date"), F.lit(30000)))
 
 
-def test_boosted_stops_early(spark, table):
-    """Nothing to learn beyond the shop: later rounds only fit the noise, so training stops and the tail is cut."""
-    noisy = table.withColumn("Weekly_Sales", 20000 * F.col("Store") + F.pmod(F.xxhash64("Store", "Dept", "Date"), F.lit(30000)))
-    model = GlobalModel(BoostedParams(trees=40, depth=5, rate=0.5)).fit(noisy, val=0.2, patience=5)
+def test_boosted_stops_early(spark, table, monkeypatch):
+    """Training stops, no round is run beyond the patience, and the tail is cut."""
+    rounds, level = set(), trees._level
+    monkeypatch.setattr(trees, "_level", lambda *a: (rounds.add(a[8]), level(*a))[1])
+    data = noisy(table)
+    model = GlobalModel(BoostedParams(trees=40, depth=5, rate=0.5)).fit(data, val=0.2, patience=5)
     info = model.info(spark).first()
-    assert info.rounds < 40 and info.best_round == info.rounds - 5 == info.trees_kept == model.model.getNumTrees
+    assert info.rounds < 40 and info.best_round == info.rounds - 5 == info.trees_kept == len(model.model.trees)
+    assert max(rounds) == info.rounds + 1  # the last one only judged what was grown before
     assert info.val_rmse ** 2 == pytest.approx(min(model.history))
-    scores = {r.split: r for r in model.split_metrics(noisy).collect()}
+    scores = {r.split: r for r in model.split_metrics(data).collect()}
     assert scores["test"].rmse == pytest.approx(info.val_rmse, rel=1e-6) and scores["train"].rmse > 0
     assert sum(r.importance for r in model.feature_importance(spark).collect()) == pytest.approx(1)
     again = GlobalModel.load(spark, model.save(spark, scratch_path(spark, "stopped")))
@@ -113,6 +119,69 @@ def test_boosted_stops_early(spark, table):
         GlobalModel(BoostedParams(trees=1)).fit(table).split_metrics(table)
 
 
+def test_boosted_history_is_that_of_the_trees(spark, table):
+    """The error of a round equals that of the model cut after it."""
+    data = noisy(table)
+    model = GlobalModel(BoostedParams(trees=6, depth=3, rate=0.3)).fit(data, val=0.2, patience=6)
+    rows = data.orderBy("Store", "Dept", "Date").toPandas()
+    bound = sorted(rows.Date.unique())[int(0.8 * rows.Date.nunique())]
+    test = rows[rows.Date > bound]
+    whole = model.model.trees
+    for k, error in enumerate(model.history, 1):
+        if k > len(whole):
+            break
+        model.model.trees = whole[:k]
+        pred = model.model.predict(test[list(model.columns)].to_numpy(dtype=float))
+        assert np.mean((pred - test.Weekly_Sales) ** 2) == pytest.approx(error)
+
+
+def test_trees_use_the_columns_drawn_for_their_round(spark, table):
+    wide = table.withColumns({f"x{k}": F.pmod(F.xxhash64("Store", "Dept", "Date", F.lit(k)), F.lit(97)) for k in range(6)})
+    params = BoostedParams(trees=8, depth=4, feature_share=0.5)
+    model = GlobalModel(params).fit(wide)
+    seen = []
+    for round_, tree in enumerate(model.model.trees, 1):
+        allowed = set(trees.drawn(params.seed, round_, len(model.columns), 0.5))
+        used = set(tree.feature[tree.feature >= 0].tolist())
+        assert used and used <= allowed and len(allowed) == 5
+        seen.append(tuple(sorted(allowed)))
+    assert len(set(seen)) > 1
+    again = GlobalModel(params).fit(wide.repartition(7))  # same seed, other partitions: same trees
+    a, b = (m.nodes(spark).orderBy("tree", "node").toPandas() for m in (model, again))
+    assert a.drop(columns=["value", "gain"]).equals(b.drop(columns=["value", "gain"])) and np.allclose(a.value, b.value)
+
+
+def test_fits_side_by_side_equal_separate_ones(spark, table):
+    model = GlobalModel(BoostedParams(trees=4, depth=3))
+    prepared = model.prepare(table)
+    days = [int(d) for d in np.unique(np.concatenate([np.frombuffer(r.day, "<i4") for r in prepared.blocks.collect()]))]
+    ranges = [trees.Fit(days[0], days[60]), trees.Fit(days[0], days[99], days[100], days[-1]), trees.Fit(1, 2), trees.Fit(days[0], days[-1])]
+    together = model.fit_ranges(prepared, ranges, patience=2)
+    assert together[2] is None
+    values = table.select(*prepared.columns).toPandas().to_numpy(dtype=float)
+    for k in (0, 1, 3):
+        alone = model.fit_ranges(prepared, [ranges[k]], patience=2)[0]
+        assert np.allclose(alone.model.predict(values), together[k].model.predict(values)) and alone.history == pytest.approx(together[k].history)
+
+
+def test_a_stump_is_the_best_split(spark, table):
+    """One tree of depth 1 against all splits tried one by one."""
+    model = GlobalModel(BoostedParams(trees=1, depth=1, rate=1.0, row_share=1.0, feature_share=1.0)).fit(table)
+    rows = table.toPandas()
+    y, best = rows.Weekly_Sales.to_numpy(), None
+    for k, c in enumerate(model.columns):
+        for bound in model.model.edges[k]:
+            left = rows[c].to_numpy(dtype=float) <= bound
+            if 0 < left.sum() < len(y):
+                error = y[left].var() * left.sum() + y[~left].var() * (~left).sum()
+                if best is None or error < best[0]:
+                    best = (error, c, bound, y[left].mean(), y[~left].mean())
+    root = model.nodes(spark).where("node = 0").first()
+    assert (root.name, root.bound) == best[1:3]
+    assert model.model.base + model.model.trees[0].value[1:3] == pytest.approx(best[3:])
+    assert root.gain == pytest.approx(y.var() * len(y) - best[0])
+
+
 def test_boosted_cv(spark, table):
     params = BoostedParams(trees=5, depth=3)
     cv = GlobalModel(params).cross_validate(table, 2).orderBy("fold").collect()
@@ -122,6 +191,40 @@ def test_boosted_cv(spark, table):
         GlobalModel().predict(table)
 
 
+def test_folds_read_the_table_a_fixed_number_of_times(spark, table):
+    """Bins and blocks are made once, however many folds there are."""
+    made = []
+
+    class Counted(GlobalModel):
+        def prepare(self, df):
+            made.append(1)
+            return GlobalModel.prepare(self, df)
+
+    preds = backtest(table, Counted(BoostedParams(trees=2, depth=2)), folds=4, horizon=5)
+    assert preds.select("fold").distinct().count() == 4 and len(made) == 1 and preds.where("error is not null").count() == 0
+
+
+def test_a_save_that_stops_midway_leaves_the_last_model(spark, table, monkeypatch):
+    path = scratch_path(spark, "versions")
+    first = GlobalModel(BoostedParams(trees=2, depth=2)).fit(table)
+    first.save(spark, path)
+    second = GlobalModel(BoostedParams(trees=3, depth=2)).fit(table)
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(boosted, "write_json", stop)
+    with pytest.raises(RuntimeError, match="stopped"):
+        second.save(spark, path)
+    assert len(GlobalModel.load(spark, path).model.trees) == 2
+    monkeypatch.undo()
+    second.save(spark, path)
+    assert len(GlobalModel.load(spark, path).model.trees) == 3 and len(versions.versions(spark, path)) == 2
+    assert versions.prune(spark, path) == 1 and len(GlobalModel.load(spark, path).model.trees) == 3
+    with pytest.raises(FileNotFoundError):
+        GlobalModel.load(spark, scratch_path(spark, "nothing"))
+
+
 def test_partial_sums_are_as_many_as_parts(spark, seasonal):
     scaled = seasonal.select("Store", "Dept", F.floor(F.datediff("Date", F.lit("1970-01-01").cast("date")) / 365).alias("part"),
                              F.array(F.lit(1.0), F.col("Weekly_Sales")).alias("x"), F.col("Weekly_Sales").alias("y"))

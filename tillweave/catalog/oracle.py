@@ -497,6 +497,77 @@ def _tested(model: str) -> str:
     return f"select '{model}' as model, fold, count(*) as rows, true as sound from sales join folds on Date between test_start and test_end group by fold"
 
 
+_SMALL = ("dept_number", "holiday", "month", "third")
+
+
+def _small(rows: str, rounds: int = 6, depth: int = 2, rate: float = 0.5) -> str:
+    """CTEs of boosting by the definition: every value of every feature is tried as a bound in every node. ``rows`` gives fold,
+    whether a row is trained on (tr), the key, y and the features; the last CTE has pred after each round as p1, p2, ..."""
+    features = ", ".join(_SMALL)
+    ctes = [f"s0 as (select *, coalesce(avg(case when tr then y end) over (partition by fold), 0) as pred, cast(0 as bigint) as node from ({rows}))"]
+    last = "s0"
+    for k in range(rounds):
+        for level in range(depth):
+            at = f"{k}_{level}"
+            ctes += [
+                f"""g{at} as (select fold, node, f, v, sum(rest) as s, count(*) as n from (select fold, node, y - pred as rest,
+  unnest([{", ".join(map(str, range(len(_SMALL))))}]) as f, unnest([{features}]) as v from {last} where tr) group by all)""",
+                f"""h{at} as (select *, sum(s) over w as ls, sum(n) over w as ln, sum(s) over t as ts, sum(n) over t as tn from g{at}
+  window w as (partition by fold, node, f order by v), t as (partition by fold, node, f))""",
+                f"""best{at} as (select fold, node, f, v, gain, tn from (select *, row_number() over (partition by fold, node order by gain desc, f, v) as rn
+  from (select *, ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) - ts * ts / tn as gain from h{at} where ln < tn)) where rn = 1 and gain > 1e-3)""",
+                f"""s{at} as (select a.* exclude (node), case when b.f is null then a.node else 2 * a.node + 1 + cast([{features}][b.f + 1] > b.v as bigint) end as node
+  from {last} a left join best{at} b on a.fold = b.fold and a.node = b.node)"""]
+            last = f"s{at}"
+        ctes += [
+            f"leaf{k} as (select fold, node, avg(case when tr then y - pred end) as step from {last} group by fold, node)",
+            f"""r{k} as (select a.* exclude (node, pred), cast(0 as bigint) as node, a.pred + {rate} * coalesce(l.step, 0) as pred, a.pred + {rate} * coalesce(l.step, 0) as p{k + 1}
+  from {last} a join leaf{k} l on a.fold = l.fold and a.node = l.node)"""]
+        last = f"r{k}"
+    return ",\n".join(ctes)
+
+
+_SMALL_ROWS = """Store, Dept, Date, Weekly_Sales as y, cast(Dept as double) as dept_number, cast(cast(IsHoliday as int) as double) as holiday,
+  cast(month(Date) as double) as month, cast(least((day(Date) - 1) // 10, 2) as double) as third from sales"""
+_ALL_ROWS = f"select 0 as fold, true as tr, {_SMALL_ROWS}"
+_HELD_ROWS = f"select 0 as fold, Date <= {_SPLIT} as tr, {_SMALL_ROWS}"
+
+
+def _fold_rows(bounds: str) -> str:
+    return f"select fold, Date <= train_end as tr, Date between test_start and test_end as te, {_SMALL_ROWS} join {bounds} on Date between train_start and train_end or Date between test_start and test_end"
+
+
+_HELD_ROUNDS = f"""rounds as (select k as round, avg(e) as mse from (select unnest([1, 2, 3, 4, 5, 6]) as k, unnest([{", ".join(f"(y - p{k}) * (y - p{k})" for k in range(1, 7))}]) as e
+  from r5 where not tr) group by k),
+bests as (select *, (select arg_min(b.round, b.mse) from rounds b where b.round <= a.round) as best from rounds a),
+held as (select * from bests a where not exists (select 1 from bests b where b.round < a.round and b.round - b.best >= 2)),
+stop as (select arg_min(round, mse) as best from held)"""
+
+
+def _split_nodes() -> str:
+    names = "[" + ", ".join(f"'{c}'" for c in _SMALL) + "]"
+    return " union all ".join(f"select cast({k} as bigint) as tree, node, {names}[f + 1] as name, v as bound, cast(tn as bigint) as rows, gain from best{k}_{level}"
+                              for k in range(6) for level in range(2))
+
+
+def _errors(pred: str) -> str:
+    return f"{r(f'avg(abs(y - greatest({pred}, 0)))', 'mae', 3)}, {r(f'sqrt(avg((y - greatest({pred}, 0)) * (y - greatest({pred}, 0))))', 'rmse', 3)}"
+
+
+STATEMENTS |= {
+    "boosted_small_predict": f"with {_small(_ALL_ROWS)} select Store, Dept, Date, {r('greatest(pred, 0)', 'y_pred', 3)} from r5",
+    "boosted_small_nodes": f"with {_small(_ALL_ROWS)} select tree, node, name, {r('bound', digits=1)}, rows, {r('gain / 1e6', 'gain')} from ({_split_nodes()})",
+    "boosted_small_importance": f"""with {_small(_ALL_ROWS)}, gains as (select name, sum(gain) as gain from ({_split_nodes()}) group by name)
+select f.feature, {r('coalesce(gain, 0) / (select sum(gain) from gains)', 'importance')} from (select unnest([{', '.join(f"'{c}'" for c in _SMALL)}]) as feature) f left join gains on name = f.feature""",
+    "boosted_small_rounds": f"with {_small(_HELD_ROWS)}, {_HELD_ROUNDS} select cast(round as bigint) as round, {r('mse / 1e6', 'mse', 3)}, round <= stop.best as kept from held, stop",
+    "boosted_small_fit_metrics": f"""with {_small(_HELD_ROWS)}, {_HELD_ROUNDS}
+select case when tr then 'train' else 'test' end as split, {_errors('[p1, p2, p3, p4, p5, p6][stop.best]')} from r5, stop group by tr""",
+    "boosted_small_cv": f"""with b as ({_EXPANDING}), {_small(_fold_rows('b'))}, c as (select fold, count(*) as rows, avg(abs(y - greatest(pred, 0))) as mae,
+  sqrt(avg((y - greatest(pred, 0)) * (y - greatest(pred, 0)))) as rmse from r5 where te group by fold)
+select cast(fold as bigint) as fold, rows, {r('mae', digits=3)}, {r('rmse', digits=3)} from c union all select null, cast(sum(rows) as bigint), {r('avg(mae)', 'mae', 3)}, {r('avg(rmse)', 'rmse', 3)} from c""",
+    "boosted_small_backtest": f"with {_small(_fold_rows('folds'))} select 'boosted' as model, cast(fold as bigint) as fold, {_errors('pred')} from r5 where te group by fold",
+}
+
 # The settings are those that the models are published with.
 STATEMENTS |= {
     "boosted_predict": "select Store, Dept, Date, true as sound from sales",
@@ -507,8 +578,9 @@ STATEMENTS |= {
   select fold, rows, true as sound from c union all select null, cast(sum(rows) as bigint), true from c""",
     "boosted_backtest": _tested("boosted"),
     "boosted_saved": "select Store, Dept, Date, true as same from sales",
-    "boosted_info": """select 'boosted' as model_name, true as is_fitted, cast(74 as bigint) as feature_count, 'Weekly_Sales' as target_column, 'GBTRegressor' as model_type,
-  cast(100 as bigint) as trees, cast(6 as bigint) as depth, 0.1::double as rate, 0.8::double as row_share, 0.8::double as feature_share, cast(42 as bigint) as seed, cast(100 as bigint) as trees_kept""",
+    "boosted_info": """select 'boosted' as model_name, true as is_fitted, cast(74 as bigint) as feature_count, 'Weekly_Sales' as target_column, 'BoostedTrees' as model_type,
+  cast(100 as bigint) as trees, cast(6 as bigint) as depth, 0.1::double as rate, 0.8::double as row_share, 0.8::double as feature_share, cast(42 as bigint) as seed, cast(100 as bigint) as trees_kept,
+  cast(100 as bigint) as rounds, cast(null as bigint) as best_round, cast(null as double) as val_rmse""",
     "additive_fit": _fits(_TOP),
     "additive_fit_all": _fits(""),
     "additive_predict": _modelled(_TOP),

@@ -1,28 +1,30 @@
-"""One boosted-tree model for the whole panel, on ``pyspark.ml``."""
+"""One boosted-tree model for the whole panel."""
 
 from __future__ import annotations
 
+import datetime
 import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field, replace
 
-from pyspark import SparkContext, inheritable_thread_target
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import metrics as m
+from ..functions.expr import one_row
 from ..operators.features import aligned, feature_columns
 from ..operators.quality import require_model_input
 from ..operators.scoring import metrics, metrics_by
-from ..operators.splits import expanding_bounds, time_split
+from ..operators.splits import as_array, expanding_bounds, split_dates, time_split
 from ..schema import DATE, TARGET
-from ..session import use_checkpoints
 from ..sources.files import read_json, write_json
+from ..sources.versions import current, new_version, publish
+from . import trees as tr
 
-_META = "name string, features array<string>, params map<string,double>, history array<double>, val double"
+_META = "name string, features array<string>, params map<string,double>, history array<double>, val double, base double, edges array<array<double>>, grown int"
+_NODES = "tree int, node int, feature int, bin int, value double, gain double, n long"
 
 
 @dataclass(frozen=True)
@@ -34,34 +36,19 @@ class BoostedParams:
     feature_share: float = 0.8
     seed: int = 42
 
-    def estimator(self) -> GBTRegressor:
-        return GBTRegressor(
-            labelCol=TARGET, featuresCol="_features", predictionCol="_pred", maxIter=self.trees, maxDepth=self.depth,
-            stepSize=self.rate, subsamplingRate=self.row_share, featureSubsetStrategy=str(self.feature_share),
-            seed=self.seed, checkpointInterval=10)
 
+@dataclass(frozen=True)
+class Prepared:
+    """Feature rows binned once: what all folds and splits of one table fit from."""
 
-def stopped(errors: Sequence[float], patience: int) -> list[float]:
-    """The errors up to the round at which ``patience`` rounds have brought no lower one."""
-    best = 0
-    for k, e in enumerate(errors):
-        if e < errors[best]:
-            best = k
-        elif k - best >= patience:
-            return list(errors[:k + 1])
-    return list(errors)
+    columns: list[str]
+    edges: list[list[float]]
+    blocks: DataFrame
 
 
-def _first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
-    """The model that the first ``n`` rounds make."""
-    context = SparkContext._active_spark_context
-    java, trees = model._java_obj, model._java_obj.trees()
-    kept = context._gateway.new_array(context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
-    weights = context._gateway.new_array(context._jvm.double, n)
-    for k in range(n):
-        kept[k], weights[k] = trees[k], model.treeWeights[k]
-    cut = context._jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), kept, weights, java.numFeatures())
-    return GBTRegressionModel(cut).setFeaturesCol("_features").setPredictionCol("_pred")
+def _day(d: datetime.date) -> int:
+    """Days since 1970."""
+    return datetime.date(d.year, d.month, d.day).toordinal() - datetime.date(1970, 1, 1).toordinal()
 
 
 @dataclass
@@ -70,57 +57,90 @@ class GlobalModel:
 
     params: BoostedParams = field(default_factory=BoostedParams)
     columns: Sequence[str] = ()
-    model: GBTRegressionModel | None = None
+    model: tr.Ensemble | None = None
     name: str = "boosted"
-    history: Sequence[float] = ()  # mean squared validation error of the rounds until training stopped
     val: float | None = None
 
+    @property
+    def history(self) -> list[float]:
+        """Mean squared validation error of the rounds until training stopped."""
+        return self.model.history if self.model else []
+
     @property
     def best_round(self) -> int | None:
         return 1 + self.history.index(min(self.history)) if self.history else None
 
-    def _vectors(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-        """Adds the feature vector; absent features and nulls count as 0."""
-        return df.withColumn("_features", array_to_vector(F.array(*aligned(df, columns))))
+    def prepare(self, df: DataFrame) -> Prepared:
+        """Bounds of the bins from all rows of ``df``, and its binned rows; reads the table once for each of the two."""
+        columns = feature_columns(require_model_input(df))
+        values = aligned(df, columns)
+        edges = tr.edges_of(df, values)
+        return Prepared(columns, edges, tr.blocks(df, values, edges))
+
+    def fit_ranges(self, prepared: Prepared, ranges: Sequence[tr.Fit], val: float | None = None, patience: int = 10) -> list[GlobalModel | None]:
+        """One model per range of days, all grown side by side from the binned rows; None for a range without rows."""
+        p = self.params
+        models = tr.grow(prepared.blocks, prepared.edges, ranges, p.trees, p.depth, p.rate, p.row_share, p.feature_share, p.seed, patience)
+        return [e and replace(self, columns=prepared.columns, model=e, val=val) for e in models]
 
     def fit(self, train: DataFrame, val: float | None = None, patience: int = 10) -> GlobalModel:
         """Train on all rows, or with ``val`` on the first dates only, and stop early.
 
-        Then the last share of the dates judges each round; training counts as stopped
-        after ``patience`` rounds without a lower error, and the trees up to the best
-        round are kept. The trees grow on partial histograms, so rows stay where they
-        are. Boosting makes a long lineage, which is cut by checkpoints in the shared
-        folder.
+        Then the last share of the dates judges each round: training stops after
+        ``patience`` rounds without a lower error, and the trees up to the best round are
+        kept. The trees grow on partial histograms, so rows stay where they are.
         """
-        use_checkpoints(train.sparkSession)
-        columns = feature_columns(require_model_input(train))
-        if val is None:
-            return replace(self, columns=columns, model=self.params.estimator().fit(
-                self._vectors(train, columns).select(TARGET, "_features")), history=())
-        split = self._vectors(time_split(train, val), columns).select(TARGET, "_features", "split")
-        model = self.params.estimator().fit(split.where("split = 'train'"))
-        errors = model.evaluateEachIteration(split.where("split = 'test'"), "squared")
-        history = stopped(errors, patience)
-        best = 1 + history.index(min(history))
-        return replace(self, columns=columns, model=_first_trees(model, best), history=tuple(history), val=val)
-
-    def _fitted(self) -> GBTRegressionModel:
+        days = train.agg(F.min(F.to_date(DATE)).alias("first"), F.max(F.to_date(DATE)).alias("last")).first()
+        if days["first"] is None:
+            raise ValueError("no rows to fit")
+        first, last = _day(days["first"]), _day(days["last"])
+        whole = tr.Fit(first, last)
+        if val is not None:
+            bound = _day(split_dates(train, val).first()["test_start"])  # as in time_split, its last training date
+            whole = tr.Fit(first, bound, bound + 1, last)
+        return self.fit_ranges(self.prepare(train), [whole], val, patience)[0]
+
+    def fit_folds(self, df: DataFrame, bounds: Sequence) -> list[GlobalModel | None]:
+        """A model for each of the folds, grown side by side; ``bounds`` have train_start and train_end."""
+        return self.fit_ranges(self.prepare(df), [tr.Fit(_day(b["train_start"]), _day(b["train_end"])) for b in bounds])
+
+    def _fitted(self) -> tr.Ensemble:
         if self.model is None:
             raise ValueError("fit the model first")
         return self.model
 
+    def _score(self, df: DataFrame) -> Column:
+        model, width = self._fitted(), len(self.columns)
+
+        def score(rows: pa.Array) -> pa.Array:
+            values = rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), width)
+            return pa.array(np.maximum(model.predict(values), 0.0))
+
+        return F.arrow_udf(score, "double")(F.array(*aligned(df, self.columns)))
+
     def predict(self, df: DataFrame) -> DataFrame:
-        """Adds ``y_pred``, never negative."""
-        model = self._fitted()
+        """Adds ``y_pred``, never negative; absent features and nulls count as 0."""
+        self._fitted()
         require_model_input(df, require_target=False)
-        scored = model.transform(self._vectors(df, self.columns))
-        return scored.withColumn("y_pred", F.greatest("_pred", F.lit(0.0))).drop("_features", "_pred")
+        return df.withColumn("y_pred", self._score(df))
 
     def feature_importance(self, spark: SparkSession) -> DataFrame:
-        weights = self._fitted().featureImportances.toArray()
-        rows = [(c, float(w)) for c, w in zip(self.columns, weights)]
+        """Each feature's share in what all splits have gained."""
+        rows = [(c, float(w)) for c, w in zip(self.columns, self._fitted().importance())]
         return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
+    def nodes(self, spark: SparkSession) -> DataFrame:
+        """The trees: a row for each node, with the bound that its split compares with (``<=`` goes left)."""
+        model = self._fitted()
+        rows = [(k, node, int(t.feature[node]), int(t.bin[node]), float(t.value[node]), float(t.gain[node]), int(t.rows[node]))
+                for k, t in enumerate(model.trees) for node in np.flatnonzero((t.feature >= 0) | (t.rows > 0)).tolist()]
+        names = F.array(*[F.lit(c) for c in self.columns])
+        bounds = F.array(*[F.array(*[F.lit(v) for v in e]).cast("array<double>") for e in model.edges])
+        df = spark.createDataFrame(rows, _NODES)
+        split = F.col("feature") >= 0
+        return df.withColumn("name", F.when(split, F.get(names, F.greatest("feature", F.lit(0))))).withColumn(
+            "bound", F.when(split, F.get(F.get(bounds, F.greatest("feature", F.lit(0))), F.col("bin"))))
+
     def fit_metrics(self, df: DataFrame) -> DataFrame:
         """All metrics of the predictions for ``df``."""
         return metrics(self.predict(df).withColumn("y_true", F.col(TARGET)))
@@ -131,29 +151,33 @@ class GlobalModel:
             raise ValueError("fit with val first")
         return metrics_by(time_split(self.predict(df), self.val).withColumn("y_true", F.col(TARGET)), ["split"])
 
-    def cross_validate(self, df: DataFrame, n_splits: int = 5, parallel: int = 4) -> DataFrame:
+    def cross_validate(self, df: DataFrame, n_splits: int = 5) -> DataFrame:
         """Rows, MAE, RMSE and MAPE of each expanding-window split, and their means in a
-        row without a fold; one fit per split, ``parallel`` at a time."""
+        row without a fold. All splits are fitted side by side and scored in one pass."""
+        bounds = expanding_bounds(df, n_splits)
+        splits = bounds.orderBy("fold").collect()
         schema = "fold int, rows long, mae double, rmse double, mape double"
-
-        def score(b) -> tuple:
-            train = df.where(F.col(DATE) <= F.lit(b.train_end))
-            test = df.where(F.col(DATE).between(F.lit(b.test_start), F.lit(b.test_end)))
-            return (b.fold, *self.fit(train).predict(test).agg(
-                F.count(F.lit(1)), m.mae(TARGET, "y_pred"), m.rmse(TARGET, "y_pred"), m.mape(TARGET, "y_pred", guard=False)).first())
-
-        with ThreadPoolExecutor(parallel) as pool:
-            rows = list(pool.map(inheritable_thread_target(df.sparkSession)(score), expanding_bounds(df, n_splits).orderBy("fold").collect()))
-        scores = df.sparkSession.createDataFrame(rows, schema)
-        mean = scores.where("rows > 0").agg(F.lit(None).cast("int").alias("fold"), F.sum("rows").alias("rows"), *[F.avg(c).alias(c) for c in ("mae", "rmse", "mape")])
-        return scores.unionByName(mean) if rows else scores
+        if not splits:
+            return df.sparkSession.createDataFrame([], schema)
+        models = self.fit_folds(df, splits)
+        within = F.filter("_bounds", lambda b: F.col(DATE).between(b["test_start"], b["test_end"]))
+        tested = one_row(df, as_array(bounds)).withColumn("fold", F.explode(F.transform(within, lambda b: b["fold"]))).drop("_bounds")
+        y = F.lit(None).cast("double")
+        for b, model in zip(splits, models):
+            if model is not None:
+                y = F.when(F.col("fold") == b["fold"], model._score(tested)).otherwise(y)
+        scores = tested.withColumn("y_pred", y).where("y_pred is not null").groupBy("fold").agg(
+            F.count(F.lit(1)).alias("rows"), m.mae(TARGET, "y_pred").alias("mae"), m.rmse(TARGET, "y_pred").alias("rmse"),
+            m.mape(TARGET, "y_pred", guard=False).alias("mape"))
+        mean = scores.agg(F.lit(None).cast("int").alias("fold"), F.sum("rows").alias("rows"), *[F.avg(c).alias(c) for c in ("mae", "rmse", "mape")])
+        return scores.unionByName(mean)
 
     def info(self, spark: SparkSession) -> DataFrame:
         """Settings, and what a fitted model knows: trees kept, rounds tried, the best
         round and its validation error (RMSE)."""
         fitted = self.model is not None
-        row = (self.name, fitted, len(self.columns), TARGET, type(self.params.estimator()).__name__, *asdict(self.params).values(),
-               self.model.getNumTrees if fitted else None, len(self.history) or None, self.best_round,
+        row = (self.name, fitted, len(self.columns), TARGET, "BoostedTrees", *asdict(self.params).values(),
+               len(self.model.trees) if fitted else None, self.model.grown if fitted else None, self.best_round,
                math.sqrt(min(self.history)) if self.history else None)
         return spark.createDataFrame([row], (
             "model_name string, is_fitted boolean, feature_count int, target_column string, model_type string, "
@@ -161,14 +185,27 @@ class GlobalModel:
             "trees_kept int, rounds int, best_round int, val_rmse double"))
 
     def save(self, spark: SparkSession, path: str) -> str:
-        self._fitted().write().overwrite().save(f"{path}/trees")
-        meta = [(self.name, list(self.columns), {k: float(v) for k, v in asdict(self.params).items()}, list(self.history), self.val)]
-        write_json(spark.createDataFrame(meta, _META), f"{path}/meta")
+        """A new version below ``path``; it counts once all of it is written."""
+        model, at = self._fitted(), new_version(spark, path)
+        self.nodes(spark).select(*[c.split()[0] for c in _NODES.split(", ")]).coalesce(1).write.parquet(f"{at}/trees")
+        meta = [(self.name, list(self.columns), {k: float(v) for k, v in asdict(self.params).items()}, list(self.history), self.val,
+                 float(model.base), [list(map(float, e)) for e in model.edges], model.grown)]
+        write_json(spark.createDataFrame(meta, _META), f"{at}/meta")
+        publish(spark, at)
         return path
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> GlobalModel:
-        meta = read_json(spark, f"{path}/meta", spark.createDataFrame([], _META).schema).first()
+        at = current(spark, path)
+        meta = read_json(spark, f"{at}/meta", spark.createDataFrame([], _META).schema).first()
         kinds = {k: type(v) for k, v in asdict(BoostedParams()).items()}
         params = BoostedParams(**{k: kinds[k](v) for k, v in meta.params.items()})
-        return cls(params, list(meta.features), GBTRegressionModel.load(f"{path}/trees"), meta.name, tuple(meta.history), meta.val)
+        grown: dict[int, tr.Tree] = {}
+        for r in spark.read.schema(_NODES).parquet(f"{at}/trees").collect():  # a row per node
+            t = grown.setdefault(r["tree"], tr.Tree.empty(params.depth))
+            t.feature[r["node"]], t.bin[r["node"]], t.value[r["node"]] = r["feature"], r["bin"], r["value"]
+            t.gain[r["node"]], t.rows[r["node"]] = r["gain"], r["n"]
+        kept = 1 + max(grown, default=-1)
+        trees = [grown.get(k) or tr.Tree.empty(params.depth) for k in range(kept)]
+        model = tr.Ensemble([list(e) for e in meta.edges], meta.base, params.rate, params.depth, trees, list(meta.history), meta.grown)
+        return cls(params, list(meta.features), model, meta.name, meta.val)

@@ -34,21 +34,33 @@ def backtest(df: DataFrame, model: Forecaster, folds: int = 4, horizon: int = 13
 
     A fold whose fit raises gives one row instead, with the fold's number and the
     ``error``, which is null in all others. The bounds are collected, one row per fold,
-    so that each fold is a plain date filter on the panel.
+    so that each fold is a plain date filter on the panel. A model that has ``fit_folds``
+    fits all folds side by side; where that fails, they are tried one by one.
     """
+    folds_ = fold_bounds(df, folds, horizon, date).orderBy("fold").collect()
+
+    def scored(b, fitted) -> DataFrame:
+        test = df.where(F.col(date).between(F.lit(b.test_start), F.lit(b.test_end)))
+        return fitted.predict(test).select(
+            F.lit(model.name).alias("model"), F.lit(b.fold).alias("fold"), *[F.col(c) for c in df.columns],
+            F.col(target).alias("y_true"), "y_pred", F.lit(None).cast("string").alias("error"))
+
     def run(b) -> DataFrame | tuple:
         train = df.where(F.col(date).between(F.lit(b.train_start), F.lit(b.train_end)))
-        test = df.where(F.col(date).between(F.lit(b.test_start), F.lit(b.test_end)))
         try:
-            preds = model.fit(train).predict(test)
+            return scored(b, model.fit(train))
         except Exception as error:  # any model may fail; the other folds still count
             return model.name, b.fold, str(error)
-        return preds.select(
-            F.lit(model.name).alias("model"), F.lit(b.fold).alias("fold"), *[F.col(c) for c in df.columns],
-            F.col(target).alias("y_true"), "y_pred", F.lit(None).cast("string").alias("error"))
 
-    with ThreadPoolExecutor(parallel) as pool:
-        results = list(pool.map(inheritable_thread_target(df.sparkSession)(run), fold_bounds(df, folds, horizon, date).orderBy("fold").collect()))
+    results = None
+    if folds_ and hasattr(model, "fit_folds"):
+        try:
+            results = [scored(b, m) if m is not None else (model.name, b.fold, "no rows to fit") for b, m in zip(folds_, model.fit_folds(df, folds_))]
+        except Exception:  # which fold it was shows below
+            pass
+    if results is None:
+        with ThreadPoolExecutor(parallel) as pool:
+            results = list(pool.map(inheritable_thread_target(df.sparkSession)(run), folds_))
     done, failed = [x for x in results if isinstance(x, DataFrame)], [x for x in results if isinstance(x, tuple)]
     if not done:
         raise ValueError(f"no fold of {model.name} could be fitted: {[e for _, _, e in failed]}")
