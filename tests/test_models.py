@@ -4,10 +4,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillweave.models.additive import AdditiveParams, LocalModel, partial_sums, solve_mode
-from tillweave.models import boosted, trees
+from tillweave.models.additive import AdditiveParams, LocalModel, partial_sums, regressors, solve_mode
+from tillweave.models import additive, boosted, trees
 from tillweave.models.boosted import BoostedParams, GlobalModel
 from tillweave.operators.backtest import backtest
+from tillweave.operators.calendar import HOLIDAY_NAMES
 from tillweave.session import scratch_path
 from tillweave.sources import versions
 
@@ -226,12 +227,61 @@ def test_a_save_that_stops_midway_leaves_the_last_model(spark, table, monkeypatc
 
 
 def test_partial_sums_are_as_many_as_parts(spark, seasonal):
-    scaled = seasonal.select("Store", "Dept", F.floor(F.datediff("Date", F.lit("1970-01-01").cast("date")) / 365).alias("part"),
-                             F.array(F.lit(1.0), F.col("Weekly_Sales")).alias("x"), F.col("Weekly_Sales").alias("y"))
-    for df in (scaled.coalesce(1), scaled.repartition(9)):
-        sums = partial_sums(df).collect()
-        assert len(sums) == scaled.select("Store", "Dept", "part").distinct().count()
-        assert sum(r.n for r in sums) == seasonal.count() and all(len(r.xx) == 3 for r in sums)
+    day = F.datediff("Date", F.lit("1970-01-01").cast("date"))
+    frames = F.array(*[F.struct(F.lit(k).alias("fold"), F.lit(18000).alias("first"), F.lit(1100).alias("span"), F.lit(2.0).alias("scale")) for k in range(2)])
+    rows = seasonal.select("Store", "Dept", day.alias("day"), F.col("Weekly_Sales").alias("y"), frames.alias("frames"))
+    p = AdditiveParams(changepoints=2, year_order=1, week_order=0, holidays=False)
+    for df in (rows.coalesce(1), rows.repartition(9)):
+        sums = partial_sums(df, p, {}, [(0, 10 ** 6), (0, 18600)]).collect()
+        assert len(sums) == sum(df.where(f"day <= {last}").select("Store", "Dept", F.floor(F.col("day") / 3650)).distinct().count() for last in (10 ** 6, 18600))
+        assert sum(r.n for r in sums if r.fold == 0) == seasonal.count() and all(len(r.xx) == 21 for r in sums)
+
+
+def test_regressors_equal_the_design(spark, seasonal):
+    """What the fit multiplies in numpy is what the prediction evaluates in Spark."""
+    p = AdditiveParams()
+    rows = seasonal.where("Store = 1 and Dept = 1").withColumns({"first_date": F.lit("2020-01-05").cast("date"), "span": F.lit(900)})
+    named = additive._with_holidays(rows, p, rows)
+    want = named.select(F.unix_date("Date"), F.array(*additive.design(p)).alias("x"), "holiday_name").collect()
+    names = {r[0]: HOLIDAY_NAMES.index(r[2].removesuffix(" (observed)")) for r in want if r[2]}
+    day = np.array([r[0] for r in want])
+    assert np.allclose(regressors(p, day, np.full(len(day), 18266), np.full(len(day), 900), names), [r[1] for r in want])
+
+
+def test_narrow_rows_are_shuffled(spark, panel):
+    """Neither regressors nor a second copy of the rows for more folds: the exchange holds six narrow columns."""
+    frames = F.array(F.struct(F.lit(0).alias("fold"), F.lit(0).alias("first"), F.lit(1).alias("span"), F.lit(1.0).alias("scale")))
+    rows = panel.select("Store", "Dept", F.unix_date("Date").alias("day"), F.col("Weekly_Sales").alias("y"), frames.alias("frames"))
+    plan = partial_sums(rows, AdditiveParams(), {}, [(0, 10 ** 6)])._jdf.queryExecution().executedPlan().toString()
+    assert "sin(" not in plan.lower() and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_folds_in_one_job_equal_separate_fits(spark, seasonal):
+    together = LocalModel(top_n=2).fit_ranges(seasonal, [(0, 18700), (0, 10 ** 6)])
+    for model, df in zip(together, (seasonal.where("unix_date(Date) <= 18700"), seasonal)):
+        alone = LocalModel(top_n=2).fit(df).table.orderBy("Store", "Dept").collect()
+        rows = model.table.orderBy("Store", "Dept").collect()
+        assert [r[:5] for r in rows] == [r[:5] for r in alone] and [r.points for r in rows] == [r.points for r in alone]
+        assert np.allclose([r.beta for r in rows], [r.beta for r in alone], rtol=1e-3, atol=1e-4)
+    preds = backtest(seasonal, LocalModel(top_n=None), folds=3, horizon=5)
+    assert preds.where("error is not null").count() == 0 and preds.select("fold").distinct().count() == 3
+
+
+def test_calibrated_intervals_cover(spark, seasonal):
+    """Heavy-tailed noise: of the dates after all that was seen, intervals hold about the share they name; the uncalibrated ones do not."""
+    u = (F.pmod(F.xxhash64("Store", "Dept", "Date"), F.lit(1_000_000)) + 0.5) / 1_000_000
+    heavy = F.when(u < 0.5, F.log(2 * u)).otherwise(-F.log(2 * (1 - u)))  # Laplace
+    many = seasonal.select("*").withColumn("Store", F.explode(F.sequence(F.col("Store") * 10, F.col("Store") * 10 + 9)))
+    noisy = many.withColumn("Weekly_Sales", 30000 + 20 * F.datediff("Date", F.lit("2020-01-05")) + 1500 * heavy * F.pow(F.abs(heavy), F.lit(1.0)))
+    past, ahead = noisy.where("Date < '2022-09-15'"), noisy.where("Date >= '2022-09-15'")
+    share = F.avg(F.col("Weekly_Sales").between(F.col("lower"), F.col("upper")).cast("int"))
+    model = LocalModel(top_n=None).calibrated(past, 13)
+    for width in (0.8, 0.5):
+        assert abs(model.predict_intervals(ahead, width).agg(share).first()[0] - width) < 0.05
+    plain = LocalModel(top_n=None).fit(past).predict_intervals(ahead, 0.5).agg(share).first()[0]
+    assert abs(plain - 0.5) > 0.05
+    again = LocalModel.load(spark, model.save(scratch_path(spark, "calibrated")))
+    assert again.reach == pytest.approx(model.reach)
 
 
 def test_all_series_get_a_model(spark, seasonal):

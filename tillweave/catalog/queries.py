@@ -9,6 +9,7 @@ half, which the last bit of the sum would tip either way.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from .. import schema as sc
 from ..functions import metrics as m
 from ..functions.expr import is_infinite
 from ..functions.windows import in_blocks
-from ..models.additive import LocalModel, series_info, training_summary
+from ..models.additive import AdditiveParams, LocalModel, series_info, training_summary
 from ..models.boosted import BoostedParams, GlobalModel
 from ..operators import (backtest, calendar, cleaning, compare, exports, features, quality, relational, scoring,
                          splits)
@@ -799,6 +800,43 @@ def additive_saved(spark, root):
     return both.select(*sc.KEY, (F.col("first") == F.col("y_pred")).alias("same"))
 
 
+#: Level and slope alone, whose posterior SQL can solve.
+SMALL_LINE = AdditiveParams(changepoints=0, year_order=0, week_order=0, holidays=False)
+
+
+def small_line(spark, root) -> LocalModel:
+    return fitted(spark, root, "line", lambda: LocalModel(SMALL_LINE, top_n=None).fit(tables(spark, root).sales))
+
+
+@query(5)
+def additive_small_fit(spark, root):
+    return small_line(spark, root).table.select("Store", "Dept", "first_date", "span", "points", F.get("beta", F.lit(0)).alias("level"), F.get("beta", F.lit(1)).alias("slope"), "sigma")
+
+
+@query(2)
+def additive_small_intervals(spark, root):
+    return small_line(spark, root).predict_intervals(tables(spark, root).sales).select(*sc.KEY, "y_pred", "lower", "upper")
+
+
+@query(2)
+def additive_small_backtest(spark, root):
+    preds = backtest.backtest(tables(spark, root).sales, LocalModel(SMALL_LINE, top_n=None))
+    return backtest.fold_metrics(preds).select("model", "fold", "mae", "rmse")
+
+
+@query()
+def additive_coverage(spark, root):
+    """Share of the last quarter's rows inside intervals calibrated on the quarter before, by width; SQL has nothing to compare."""
+    sales = tables(spark, root).sales
+    day = F.date_sub(sales.agg(F.max("Date").alias("last")).select("last").scalar(), 91)
+    model = LocalModel(top_n=None).calibrated(sales.where(F.col("Date") <= day), 13)
+    ahead = sales.where(F.col("Date") > day).join(model.table.where("beta is not null").select(*sc.SERIES), list(sc.SERIES), "left_semi")
+    shares = [model.predict_intervals(ahead, w).agg(
+        F.lit(w).alias("width"), F.count(F.lit(1)).alias("rows"), F.avg(F.col(sc.TARGET).between(F.col("lower"), F.col("upper")).cast("int")).alias("covered"))
+        for w in (0.5, 0.8, 0.95)]
+    return reduce(lambda a, b: a.unionByName(b), shares)
+
+
 @query()
 def additive_info(spark, root):
     return additive(spark, root).info(spark)

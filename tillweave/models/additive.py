@@ -14,6 +14,7 @@ small matrices per series. So a series may be spread over any number of tasks.
 
 from __future__ import annotations
 
+import datetime
 import math
 import operator
 from collections.abc import Iterator, Sequence
@@ -23,6 +24,7 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,7 @@ from ..operators.relational import restrict_to_series, top_series
 from ..schema import DATE, SERIES, TARGET
 from ..session import materialise
 from ..sources.files import read_json, write_json
+from ..sources.versions import current, new_version, publish
 
 YEAR_DAYS = 365.25
 WEEK_DAYS = 7.0
@@ -40,7 +43,7 @@ WEEK_DAYS = 7.0
 PARAMS_SCHEMA = (
     "Store bigint, Dept bigint, first_date date, span int, y_scale double, beta array<double>, sigma double, "
     "points bigint, error string")
-_META = "name string, top_n int, params map<string,double>"
+_META = "name string, top_n int, params map<string,double>, reach array<double>"
 
 
 @dataclass(frozen=True)
@@ -99,6 +102,21 @@ def _with_holidays(df: DataFrame, p: AdditiveParams, dates: DataFrame) -> DataFr
 
 #: Days of a part of a series: the rows that one partial sum stands for are bounded by it.
 PART_DAYS = 3650
+_EPOCH = datetime.date(1970, 1, 1).toordinal()
+_SUMS = "fold int, Store bigint, Dept bigint, xx array<double>, xy array<double>, yy double, n bigint"
+
+
+def regressors(p: AdditiveParams, day: np.ndarray, first: np.ndarray, span: np.ndarray, holidays: dict[int, int]) -> np.ndarray:
+    """``design`` for arrays of days since 1970: a line per row. ``holidays`` has the number of each holiday's day."""
+    t = (day - first) / np.maximum(span, 1)
+    angles = [2 * math.pi * k / period * day for period, order in ((YEAR_DAYS, p.year_order), (WEEK_DAYS, p.week_order)) for k in range(1, order + 1)]
+    x = np.stack([np.ones(len(day)), t, *(np.maximum(t - s, 0.0) for s in p.breaks()), *(fn(a) for a in angles for fn in (np.sin, np.cos))], axis=1)
+    if not p.holidays:
+        return x
+    named = np.zeros((len(day), len(HOLIDAY_NAMES)))
+    found = np.array([holidays.get(d, -1) for d in day.tolist()])
+    named[np.flatnonzero(found >= 0), found[found >= 0]] = 1.0
+    return np.concatenate([x, named], axis=1)
 
 
 def _sums(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, int]:
@@ -106,33 +124,51 @@ def _sums(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float,
     return (x.T @ x)[np.triu_indices(x.shape[1])], x.T @ y, float(y @ y), len(y)
 
 
-def _partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row of sums for each part of a series. The rows come sorted by part, so a
-    task holds the sums of one part at a time."""
-    key, held = None, None
+def partial_sums(rows: DataFrame, p: AdditiveParams, holidays: dict[int, int], ranges: Sequence[tuple[int, int]]) -> DataFrame:
+    """One row of sums for each fold and part of a series.
+
+    ``rows`` has Store, Dept, day, y and frames: (fold, first, span, scale) of the folds
+    that the series has a model in. Only these reach the shuffle; the regressors are made
+    where the rows of a part meet, one part after another.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, tuple] = {}
 
-    def row() -> tuple:
-        return (*key[:2], *held)
+        def given(sums: dict[tuple, tuple]) -> pa.RecordBatch:
+            cols = list(zip(*((fold, store, dept, *v) for (store, dept, _, fold), v in sums.items()))) or [()] * 7
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array([v.tolist() for v in c] if 3 <= k <= 4 else c, t) for k, (c, t) in enumerate(zip(cols, kinds))],
+                                              names=["fold", "Store", "Dept", "xx", "xy", "yy", "n"])
 
-    for batch in batches:
-        done = []
-        for new, rows in batch.groupby(["Store", "Dept", "part"], sort=False):
-            sums = _sums(np.stack(rows["x"].to_numpy()), rows["y"].to_numpy())
-            if new == key:
-                held = tuple(a + b for a, b in zip(held, sums))
+        for b in batches:
+            if not len(b):
                 continue
-            if key is not None:
-                done.append(row())
-            key, held = new, sums
-        yield pd.DataFrame(done, columns=["Store", "Dept", "xx", "xy", "yy", "n"])
-    if key is not None:
-        yield pd.DataFrame([row()], columns=["Store", "Dept", "xx", "xy", "yy", "n"])
-
+            store, dept, part, day = (b.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4))
+            y, frames = b.column(4).to_numpy(zero_copy_only=False), b.column(5)
+            sizes = np.diff(frames.offsets.to_numpy())
+            row = np.repeat(np.arange(len(b)), sizes)
+            fold, first, span, scale = (c.to_numpy(zero_copy_only=False) for c in frames.flatten().flatten())
+            bounds = np.array(ranges)[fold]
+            inside = (day[row] >= bounds[:, 0]) & (day[row] <= bounds[:, 1])
+            row, fold, first, span, scale = row[inside], fold[inside], first[inside], span[inside], scale[inside]
+            order = np.lexsort((fold, part[row], dept[row], store[row]))
+            row, fold, first, span, scale = row[order], fold[order], first[order], span[order], scale[order]
+            keys = np.stack([store[row], dept[row], part[row], fold], axis=1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(row)] if len(row) else [0]
+            x, v = regressors(p, day[row], first, span, holidays), y[row] / scale
+            for at, end in zip(cuts, cuts[1:]):
+                key, sums = tuple(keys[at].tolist()), _sums(x[at:end], v[at:end])
+                held[key] = tuple(map(operator.add, held[key], sums)) if key in held else sums
+            last = (int(store[-1]), int(dept[-1]), int(part[-1]))  # the next rows may go on with it
+            done = {k: v for k, v in held.items() if k[:3] != last}
+            if done:
+                held = {k: v for k, v in held.items() if k[:3] == last}
+                yield given(done)
+        yield given(held)
 
-def partial_sums(scaled: DataFrame) -> DataFrame:
     keys = [*SERIES, "part"]
-    return scaled.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(
-        _partial_sums, "Store bigint, Dept bigint, xx array<double>, xy array<double>, yy double, n bigint")
+    parted = rows.select(*SERIES, F.floor(F.col("day") / PART_DAYS).alias("part"), "day", "y", "frames")
+    return parted.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, _SUMS)
 
 
 def solve_mode(xx: np.ndarray, xy: np.ndarray, yy: float, n: int, scale: np.ndarray, laplace: np.ndarray,
@@ -178,7 +214,7 @@ def _fit_series(p: AdditiveParams):
         except Exception as problem:  # one bad series must not stop the others
             beta, sigma, error = None, None, str(problem)
         head = parts.iloc[0]
-        return pd.DataFrame({"Store": [head.Store], "Dept": [head.Dept], "beta": [beta], "sigma": [sigma],
+        return pd.DataFrame({"fold": [head.fold], "Store": [head.Store], "Dept": [head.Dept], "beta": [beta], "sigma": [sigma],
                              "n": [n], "error": [error]})
 
     return fit
@@ -194,66 +230,115 @@ class LocalModel:
     min_points: int = 10
     table: DataFrame | None = None
     name: str = "additive"
+    reach: Sequence[float] = ()  # quantiles 0.01 to 0.99 of held-out errors in deviations
 
-    def series_of(self, df: DataFrame) -> DataFrame:
-        """The rows to learn from: the largest series that have enough rows."""
+    def _frames(self, rows: DataFrame, ranges: Sequence[tuple[int, int]]) -> DataFrame:
+        """(fold, Store, Dept, first, span, y_scale) of the series that get a model in a fold: the largest that have enough rows.
+
+        One aggregate serves all folds.
+        """
+        def frame(k: int, first: int, last: int) -> Column:
+            day = F.when(F.col("day").between(first, last), F.col("day"))
+            y = F.when(day.isNotNull(), F.col("y"))
+            valued = F.when(y.isNotNull(), day)
+            return F.struct(F.lit(k).alias("fold"), F.count(day).alias("rows"), F.sum(y).alias("total"), F.min(valued).alias("first"),
+                            (F.max(valued) - F.min(valued)).alias("span"), F.greatest(F.max(F.abs(y)), F.lit(1e-9)).alias("y_scale"))
+
+        each = F.array(*[frame(k, *r) for k, r in enumerate(ranges)])
+        frames = rows.groupBy(*SERIES).agg(each.alias("each")).select(*SERIES, F.inline("each")).where("rows > 0")
         if self.top_n is not None:
-            return restrict_to_series(df, top_series(df, self.top_n), self.min_points)
-        return restrict_to_series(df, df.select(*SERIES).distinct(), self.min_points)
+            frames = materialise(frames, "frames")
+            frames = reduce(DataFrame.unionByName, [frames.where(F.col("fold") == k).orderBy(F.desc("total"), *SERIES).limit(self.top_n)
+                                                    for k in range(len(ranges))])
+        return frames.where((F.col("rows") >= self.min_points) & F.col("first").isNotNull())
 
-    def fit(self, train: DataFrame) -> LocalModel:
+    def fit_ranges(self, train: DataFrame, ranges: Sequence[tuple[int, int]]) -> list[LocalModel]:
+        """One model per range of days since 1970, all in one job: rows are read and shuffled once for all of them."""
         p = self.params
-        rows = self.series_of(require_model_input(train)).select(*SERIES, DATE, TARGET).where(F.col(TARGET).isNotNull())
-        frame = rows.groupBy(*SERIES).agg(
-            F.min(DATE).alias("first_date"), F.datediff(F.max(DATE), F.min(DATE)).alias("span"),
-            F.greatest(F.max(F.abs(TARGET)), F.lit(1e-9)).alias("y_scale"))
-        # The rows of a part of a series meet in one task, one after another: there are as
-        # many partial sums as parts, whatever the number of tasks and series.
-        scaled = _with_holidays(rows.join(frame, list(SERIES)), p, rows).select(
-            *SERIES, F.floor(F.datediff(DATE, F.lit("1970-01-01").cast("date")) / PART_DAYS).alias("part"),
-            F.array(*design(p)).alias("x"), (F.col(TARGET) / F.col("y_scale")).alias("y"))
-        sums = partial_sums(scaled)
-        fitted = sums.groupBy(*SERIES).applyInPandas(
-            _fit_series(p), "Store bigint, Dept bigint, beta array<double>, sigma double, n bigint, error string")
-        table = frame.join(fitted, list(SERIES)).select(
-            *SERIES, "first_date", "span", "y_scale", "beta", "sigma", F.col("n").alias("points"), "error")
-        return replace(self, table=materialise(table, self.name))
+        rows = require_model_input(train).select(*SERIES, F.unix_date(F.to_date(DATE)).alias("day"), F.col(TARGET).cast("double").alias("y"))
+        frames = materialise(self._frames(rows, ranges), "frames")
+        named = {}
+        if p.holidays:  # some twelve days for each year of the data
+            found = holidays_of(train).select("Date", F.regexp_replace("holiday_name", r" \(observed\)$", "").alias("name")).collect()
+            named = {r["Date"].toordinal() - _EPOCH: HOLIDAY_NAMES.index(r["name"]) for r in found if r["name"] in HOLIDAY_NAMES}
+        packed = frames.groupBy(*SERIES).agg(F.collect_list(F.struct("fold", "first", "span", F.col("y_scale").alias("scale"))).alias("frames"))
+        sums = partial_sums(rows.where("y is not null and day is not null").join(packed, list(SERIES)), p, named, ranges)
+        fitted = sums.groupBy("fold", *SERIES).applyInPandas(
+            _fit_series(p), "fold int, Store bigint, Dept bigint, beta array<double>, sigma double, n bigint, error string")
+        table = materialise(frames.join(fitted, ["fold", *SERIES]).select(
+            "fold", *[F.col(c).cast("bigint") for c in SERIES], F.date_from_unix_date("first").alias("first_date"), "span", "y_scale", "beta", "sigma",
+            F.col("n").alias("points"), "error"), self.name)
+        return [replace(self, table=table.where(F.col("fold") == k).drop("fold")) for k in range(len(ranges))]
+
+    def fit(self, train: DataFrame) -> LocalModel:
+        return self.fit_ranges(train, [(-(1 << 30), 1 << 30)])[0]
+
+    def fit_folds(self, df: DataFrame, bounds: Sequence) -> list[LocalModel]:
+        """A model for each fold; ``bounds`` have train_start and train_end."""
+        return self.fit_ranges(df, [tuple(datetime.date(d.year, d.month, d.day).toordinal() - _EPOCH for d in (b["train_start"], b["train_end"])) for b in bounds])
+
+    def calibrated(self, df: DataFrame, horizon: int = 13) -> LocalModel:
+        """A fit on all of ``df`` whose intervals are as wide as the errors on its last ``horizon`` dates ask for.
+
+        A first fit, made in the same job, leaves these dates out. How far their rows lie from
+        its forecasts, in units of the model's own deviation, gives the quantiles that
+        ``predict_intervals`` takes in place of the normal ones.
+        """
+        days = df.select(F.unix_date(F.to_date(DATE)).alias("day")).where("day is not null").distinct().orderBy(F.desc("day")).limit(horizon + 1).collect()
+        if len(days) <= horizon:
+            raise ValueError(f"intervals need more than {horizon} dates")
+        cut = days[-1]["day"]
+        held, whole = self.fit_ranges(df, [(-(1 << 30), cut), (-(1 << 30), 1 << 30)])
+        rest = held._valued(df.where(F.unix_date(F.to_date(DATE)) > cut)).where(F.col("_fit").isNotNull() & F.col(TARGET).isNotNull())
+        off = F.abs(F.col(TARGET) / F.col("y_scale") - F.col("_fit")) / F.greatest("_dev", F.lit(1e-12))
+        found = rest.agg(F.percentile_approx(off, [k / 100 for k in range(1, 100)], 10_000).alias("q")).first()["q"]
+        return replace(whole, reach=tuple(found)) if found else whole
 
     def _fitted(self) -> DataFrame:
         if self.table is None:
             raise ValueError("fit the model first")
         return self.table
 
-    def predict_intervals(self, df: DataFrame, width: float = 0.8) -> DataFrame:
-        """Adds ``y_pred``, ``lower`` and ``upper``, none negative; 0 for series
-        without a model.
-
-        Beyond the training span the trend may change as often and as strongly as
-        it did before; its variance grows with the cube of the scaled time ahead.
-        """
+    def _valued(self, df: DataFrame) -> DataFrame:
+        """The rows with their series' scale, fit and deviation, both in its units; null without a model."""
         p = self.params
-        require_model_input(df, require_target=False)
         known = self._fitted().where("beta is not null").select(
             *SERIES, "first_date", "span", "y_scale", "beta", "sigma")
-        base = df.drop("holiday_name")
-        joined = _with_holidays(base.join(known, list(SERIES), "left"), p, df)
+        joined = _with_holidays(df.drop("holiday_name").join(known, list(SERIES), "left"), p, df)
         terms = [F.get("beta", F.lit(i)) * x for i, x in enumerate(design(p))]
         # Rows without a model skip the regressors.
         fit = F.when(F.col("beta").isNotNull(), reduce(operator.add, terms))
         t = F.datediff(DATE, "first_date") / F.greatest(F.col("span"), F.lit(1))
         ahead = F.greatest(t - 1, F.lit(0.0))
-        change = F.aggregate(F.slice("beta", 3, p.changepoints), F.lit(0.0), lambda a, v: a + F.abs(v)) / p.changepoints
-        trend_var = 2 * change * change * (p.changepoints / p.changepoint_range) * F.pow(ahead, F.lit(3.0)) / 3
-        deviation = F.sqrt(F.col("sigma") * F.col("sigma") + trend_var)
-        z = NormalDist().inv_cdf((1 + width) / 2)
+        trend_var = F.lit(0.0)
+        if p.changepoints:
+            change = F.aggregate(F.slice("beta", 3, p.changepoints), F.lit(0.0), lambda a, v: a + F.abs(v)) / p.changepoints
+            trend_var = 2 * change * change * (p.changepoints / p.changepoint_range) * F.pow(ahead, F.lit(3.0)) / 3
+        return joined.withColumns({"_fit": fit, "_dev": F.sqrt(F.col("sigma") * F.col("sigma") + trend_var)})
+
+    def _reach(self, width: float) -> float:
+        """Deviations to each side that hold the share ``width``: measured ones if calibrated, else those of a normal distribution."""
+        if not self.reach:
+            return NormalDist().inv_cdf((1 + width) / 2)
+        return float(np.interp(width, np.arange(1, 100) / 100, self.reach))
+
+    def predict_intervals(self, df: DataFrame, width: float = 0.8) -> DataFrame:
+        """Adds ``y_pred``, ``lower`` and ``upper``, none negative; 0 for series
+        without a model.
+
+        Beyond the training span the trend may change as often and as strongly as
+        it did before; its variance grows with the cube of the scaled time ahead.
+        """
+        require_model_input(df, require_target=False)
+        z = self._reach(width)
 
         def clamp(c: Column) -> Column:
             return F.greatest(F.coalesce(c * F.col("y_scale"), F.lit(0.0)), F.lit(0.0))
 
-        valued = joined.withColumns({"_fit": fit, "_dev": deviation}).withColumns({
+        valued = self._valued(df).withColumns({
             "y_pred": clamp(F.col("_fit")), "lower": clamp(F.col("_fit") - z * F.col("_dev")),
             "upper": clamp(F.col("_fit") + z * F.col("_dev"))})
-        return valued.select(*base.columns, "y_pred", "lower", "upper")
+        return valued.select(*df.drop("holiday_name").columns, "y_pred", "lower", "upper")
 
     def predict(self, df: DataFrame) -> DataFrame:
         return self.predict_intervals(df).drop("lower", "upper")
@@ -269,19 +354,24 @@ class LocalModel:
         return one_row(row, self.table.agg(F.count_if(F.col("beta").isNotNull()).cast("long").alias("n_series")))
 
     def save(self, path: str) -> str:
-        """Parameter table and metadata in one folder."""
+        """A new version below ``path``: parameter table and metadata; it counts once all of it is written."""
         table = self._fitted()
-        table.write.mode("overwrite").parquet(f"{path}/series")
-        meta = [(self.name, self.top_n, {k: float(v) for k, v in asdict(self.params).items()})]
-        write_json(table.sparkSession.createDataFrame(meta, _META), f"{path}/meta")
+        spark = table.sparkSession
+        at = new_version(spark, path)
+        table.write.parquet(f"{at}/series")
+        meta = [(self.name, self.top_n, {k: float(v) for k, v in asdict(self.params).items()}, list(self.reach))]
+        write_json(spark.createDataFrame(meta, _META), f"{at}/meta")
+        publish(spark, at)
         return path
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> LocalModel:
-        meta = read_json(spark, f"{path}/meta", spark.createDataFrame([], _META).schema).first()
+        at = current(spark, path)
+        meta = read_json(spark, f"{at}/meta", spark.createDataFrame([], _META).schema).first()
         kinds = {k: type(v) for k, v in asdict(AdditiveParams()).items()}
         params = AdditiveParams(**{k: kinds[k](v) for k, v in meta.params.items()})
-        return cls(params, meta.top_n, table=spark.read.schema(PARAMS_SCHEMA).parquet(f"{path}/series"), name=meta.name)
+        table = spark.read.schema(PARAMS_SCHEMA).parquet(f"{at}/series")
+        return cls(params, meta.top_n, table=table, name=meta.name, reach=tuple(meta.reach or ()))
 
 
 def series_info(df: DataFrame, top_n: int = 50, min_points: int = 10, by: Sequence[str] = SERIES) -> DataFrame:
