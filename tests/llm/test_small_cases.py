@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillweave.llm import decontaminate, extract, langid, packing, rollup, sharding, simhash, substrings, vectors, warc
+from tillweave.llm import decontaminate, extract, langid, packing, queries, rollup, sharding, simhash, substrings, vectors, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -112,6 +112,12 @@ def test_decontamination(spark, odd, none, clashing):
     assert rows(decontaminate.without_leaks(docs, items, rate=0.1), "doc_id") == [(2,), (3,)]
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0 and decontaminate.without_leaks(none, items).count() == 0
     assert decontaminate.without_leaks(clashing, items).columns == clashing.columns
+    # short items as they are, on word bounds; null ids stay; the stage leaves short ones alone
+    short = spark.createDataFrame([(1, "capital of"), (2, "zz"), (None, "the quick"), (4, "apital of"), (5, "...")], "item_id long, text string")
+    text = spark.createDataFrame([(1, "what is the capital of"), (2, "zz"), (3, "the capital officer, the quick")], "doc_id long, text string")
+    assert rows(decontaminate.contaminated(text, short), "doc_id", "item_id", "distance", "start") == [(1, 1, 0, 12), (2, 2, 0, 0), (3, None, 0, 20)]
+    assert decontaminate.contaminated(text, short, size=1).count() == 3
+    assert decontaminate.without_leaks(text, short).count() == 3 and rows(decontaminate.without_leaks(text, short, least=1, size=1), "doc_id") == []
     # one item a pass gives the same
     many = items.union(spark.createDataFrame([(9, "So the quick brown fox jumps over")], "item_id long, text string"))
     assert rows(decontaminate.contaminated(docs, many, rate=0.1, size=1), "doc_id", "item_id") == rows(decontaminate.contaminated(docs, many, rate=0.1), "doc_id", "item_id")
@@ -122,6 +128,8 @@ def test_extraction(spark):
     data = [(1, "http://h.example/1", page.format(1)), (1, "http://h.example/1", page.format(1)), (2, "http://h.example/2", page.format(2)), (3, None, None),
             (4, "nonsense", ""), (None, "http://h.example/3", "<" * 50), (5, "http://deep.example/", "<div>" * 5000 + "deep"), (6, "http://long.example/", "<article>" + "<p>w</p>" * 20_000 + "</article>")]
     pages = spark.createDataFrame([(*r, "x", "x") for r in data], "page_id long, url string, html string, host string, rules string")
+    assert extract.Reader("[null,null]").text('<article><p data-id="ad-12" data-hidden="false">kept</p><p class="ad">gone</p></article>') == "kept"
+    assert extract.Reader("[null,null]").text('<body><form id="all"><article><p>in a form</p><form class="search"><p>not this</p></form></article></form>') == "in a form"
     got = extract.main_text(pages)
     found = rows(got, "page_id", "text")
     assert len(found) == len(data)
@@ -152,6 +160,20 @@ def test_vectors(spark):
     assert vectors.near_duplicates(df).count() == len(data) and vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_that_share_an_id(spark):
+    rows_ = [(1, [1.0, 0.0], "a"), (1, [1.0, 0.0], "b"), (1, [0.0, 1.0], "a"), (2, [1.0, 0.01], "a"), (5, [0.0, 2.0], "b"), (4, [0.01, 1.0], "b")]
+    got = vectors.near_duplicates(spark.createDataFrame(rows_, "vec_id long, embedding array<double>, label string"))
+    assert rows(got, "vec_id", "n_links", "component_id") == sorted([(1, 1, 1), (1, 0, 1), (1, 0, 1), (2, 1, 1), (4, 1, 4), (5, 1, 4)], key=repr)
+
+
+def test_rollup_of_documents(spark, tmp_path):
+    """Null texts and ids and repeated rows: one row of each text moves on to the new tokenizer, nothing stays behind."""
+    spark.createDataFrame([(1, "a b", "en", "s"), (2, None, "en", "s"), (3, "c", "en", "s"), (None, "a b", "en", "s"), (3, "c", "en", "s"), (None, "d", None, "s"), (None, "d", None, "s")],
+                          "doc_id long, text string, lang string, source string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op9_token_rollup"](spark, str(tmp_path))
+    assert rows(got, "lang", "tokenizer", "n_docs", "n_bytes") == sorted([("en", "word-bpe-49k", 3, 4), (None, "word-bpe-49k", 1, 1)], key=repr)
+
+
 def test_rollup(spark, tmp_path):
     schema = "op string, source string, lang string, tokenizer string, n_tokens long, n_bytes long, old_source string, old_lang string, old_tokenizer string, old_tokens long, old_bytes long"
     first = spark.createDataFrame([("insert", "a", None, "v1", 5, 9, *[None] * 5), ("insert", "a", None, "v1", 5, 9, *[None] * 5), ("insert", "b", "en", "v1", None, None, *[None] * 5),
@@ -176,6 +198,8 @@ def test_stages(spark, odd, none, tmp_path):
         for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
             got = stage(spark, docs, str(tmp_path))
             assert got.count() <= (10 if k < len(corpus_pipeline.STAGES) - 1 else 1000)
+            if k == 1 and docs is odd:  # one row of each group: all texts without words are one
+                assert sorted(r["doc_id"] or 0 for r in got.collect()) == [0, 1, 4, 5, 6, 6, 7]
             assert k == len(corpus_pipeline.STAGES) - 1 or got.columns == docs.columns
 
 

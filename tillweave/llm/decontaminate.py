@@ -16,14 +16,16 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise
+from .steps import Steps
 
 #: Edits an occurrence may have, as a share of the item's characters.
 RATE = 0.05
-#: Items with fewer characters than this are too common to tell a leak.
+#: Items with fewer characters than this are found as they are only, on word bounds; the stage doesn't search them, as they are too common to tell a leak.
 LEAST = 25
 #: Characters of benchmark items in one pass, at most (one longer item is a pass of its own).
 BLOCK = 4_000_000
@@ -38,7 +40,8 @@ class Pattern:
     """One item's bit vectors, forward and backward."""
 
     def __init__(self, text: str, rate: float):
-        self.text, self.budget = text, int(rate * len(text))
+        self.text, self.short = text, len(text) < LEAST
+        self.budget = 0 if self.short else int(rate * len(text))
         self.masks = [self._masks(text), self._masks(text[::-1])]
 
     @staticmethod
@@ -74,6 +77,9 @@ class Pattern:
 
     def find(self, text: str, start: int, end: int) -> tuple[int, int, int] | None:
         """(distance, start, end) of the best occurrence within text[start:end] and the budget."""
+        if self.short:
+            whole = (not start or text[start - 1] == " ") and text[end:end + 1] in ("", " ")
+            return (0, start, end) if whole else None
         exact = text.find(self.text, start, end)
         if exact >= 0:
             return 0, exact, exact + len(self.text)
@@ -109,6 +115,11 @@ class Index:
             number, pattern = self.patterns[k]
             slack, best = pattern.budget, None
             starts.sort()
+            if pattern.short:
+                found = (pattern.find(text, s, s + len(pattern.text)) for s in starts)
+                if (best := next(filter(None, found), None)):
+                    out.append((number, best[0], 0, best[1], best[2]))
+                continue
             low = high = None
             for s in (*starts, None):
                 if low is not None and (s is None or s - slack > high):
@@ -123,12 +134,12 @@ class Index:
         return out
 
 
-def blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", least: int = LEAST, size: int = BLOCK) -> Iterator[list[tuple[int, str]]]:
-    """The items' ids and words in blocks of at most ``size`` characters; null and short items are left out."""
+def blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", least: int = 1, size: int = BLOCK) -> Iterator[list[tuple[int, str]]]:
+    """The items' ids and words in blocks of at most ``size`` characters; those with fewer than ``least`` are left out."""
     block, held = [], 0
     for row in items.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).toLocalIterator():
         text = words(row["text"])
-        if len(text) < least or row["id"] is None:
+        if len(text) < least:
             continue
         if block and held + len(text) > size:
             yield block
@@ -142,9 +153,7 @@ def blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", le
 MATCH = "item_id long, distance int, budget int, start long, end long"
 
 
-def _pass(docs: DataFrame, block: list[tuple[int, str]], rate: float, id_col: str, text_col: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast((block, rate))
-
+def _pass(docs: DataFrame, shared: Broadcast, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(*shared.value)
         for batch in batches:
@@ -162,27 +171,45 @@ def _pass(docs: DataFrame, block: list[tuple[int, str]], rate: float, id_col: st
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(run, f"doc_id {kind}, {MATCH}")
 
 
+def _one_by_one(items: Iterator[list[tuple[int, str]]], spark: SparkSession, rate: float) -> Iterator[tuple[Broadcast, bool]]:
+    """Each block as a broadcast, and whether it is the only one; a block is released before the next one is sent."""
+    block = next(items, None)
+    first = True
+    while block is not None:
+        shared = spark.sparkContext.broadcast((block, rate))
+        block = next(items, None)
+        yield shared, first and block is None
+        if not (first and block is None):
+            shared.destroy()
+        first = False
+
+
 def contaminated(docs: DataFrame, items: DataFrame, rate: float = RATE, id_col: str = "doc_id", text_col: str = "text",
-                 least: int = LEAST, size: int = BLOCK) -> DataFrame:
+                 least: int = 1, size: int = BLOCK) -> DataFrame:
     """doc_id, item_id, distance, budget, start, end: the best occurrence of each item in each document row.
 
-    Spans count characters of the reduced text (``words``). Null and empty texts match
-    nothing, repeated rows and items repeat their matches, extra columns are ignored.
+    Spans count characters of the reduced text (``words``). Items of fewer than ``LEAST``
+    characters are found without edits, on word bounds. Null and empty texts and items
+    match nothing; null ids stay null; repeated rows and items repeat their matches, extra
+    columns are ignored. Several blocks are searched one after another, each result written.
     """
-    parts = [_pass(docs, b, rate, id_col, text_col) for b in blocks(items, least=least, size=size)]
-    if not parts:
+    found = None
+    for shared, only in _one_by_one(blocks(items, least=least, size=size), docs.sparkSession, rate):
+        part = _pass(docs, shared, id_col, text_col)
+        part = part if only else materialise(part, "matches")
+        found = part if found is None else found.unionByName(part)
+    if found is None:
         return docs.sparkSession.createDataFrame([], f"doc_id {docs.schema[id_col].dataType.simpleString()}, {MATCH}")
-    found = parts[0] if len(parts) == 1 else materialise(parts[0], "matches")
-    for part in parts[1:]:
-        found = found.unionByName(materialise(part, "matches"))
     return found
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, text_col: str = "text", least: int = LEAST, size: int = BLOCK) -> DataFrame:
-    """The rows in which no item occurs, unchanged; no shuffle."""
-    for block in blocks(items, least=least, size=size):
-        shared = docs.sparkSession.sparkContext.broadcast((block, rate))
+    """The rows in which no item of at least ``least`` characters occurs, unchanged; no shuffle.
 
+    Several blocks of items are searched one after another, and what each leaves is written.
+    """
+    steps, before = Steps(docs.sparkSession), ()
+    for shared, only in _one_by_one(blocks(items, least=least, size=size), docs.sparkSession, rate):
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = Index(*shared.value)
             for batch in batches:
@@ -190,4 +217,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, text_co
                 yield batch.filter(pa.array([not index.search(words(t)) for t in column.to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
+        if not only:
+            docs = steps.write(docs, "clean", before)
+            before = (docs,)
     return docs

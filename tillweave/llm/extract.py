@@ -54,7 +54,7 @@ TOP_MARKS = frozenset("header masthead topbar".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>\"']|$)", re.I)
+_ATTRIBUTE = re.compile(r"(?<![^\s/\"'])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>\"']|$)", re.I)
 _ENDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 _SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -96,10 +96,29 @@ def _room(depth: int) -> None:
         sys.setrecursionlimit(6 * depth + 2000)
 
 
+def _wide_forms(root: Node, forms: list[Node]) -> None:
+    """A form around an article or around most of a page's paragraphs is a container like any other."""
+    order, up = [root], [-1]
+    for k, node in enumerate(order):
+        inner = [x for x in node.parts if isinstance(x, Node)] if node.tag not in RAW else []
+        order += inner
+        up += [k] * len(inner)
+    size = [sum(len(x.strip()) for x in n.parts if isinstance(x, str)) if n.tag not in RAW else 0 for n in order]
+    main, paragraph = [n.main for n in order], [n.tag == "p" for n in order]
+    for k in range(len(order) - 1, 0, -1):  # from the leaves up
+        size[up[k]] += size[k]
+        main[up[k]] |= main[k]
+        paragraph[up[k]] |= paragraph[k]
+    wide = {id(n) for k, n in enumerate(order) if main[k] or paragraph[k] and 2 * size[k] > size[0]}
+    for form in forms:
+        if id(form) in wide and not MARKS.intersection(re.split(r"[.# ]", form.label)):
+            form.tag, form.label, form.apart = "div", "div" + form.label[len("form"):], False
+
+
 def tree(page: str) -> Node:
     """The element tree of a page, as broken and deep as it may be: end tags close what they can, the rest closes by itself."""
     root = Node("#page")
-    stack, at, deepest = [root], 0, 1
+    stack, at, deepest, forms = [root], 0, 1, []
     opened: Counter[str] = Counter()
 
     def close(k: int) -> None:
@@ -113,6 +132,8 @@ def tree(page: str) -> Node:
             stack[-1].parts.append(entities.unescape(text) if "&" in text else text)
         if not m:
             _room(deepest)
+            if forms:
+                _wide_forms(root, forms)
             return root
         at = m.end()
         tag = (m[2] or m[5] or "").lower()
@@ -142,6 +163,8 @@ def tree(page: str) -> Node:
                     break
         node = Node(tag, m[3] or m[6] or "")
         stack[-1].parts.append(node)
+        if tag == "form":
+            forms.append(node)
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)

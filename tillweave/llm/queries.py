@@ -64,19 +64,23 @@ def op9_token_rollup(spark: SparkSession, root: str) -> DataFrame:
     """Token totals of all documents after a load, a retraction of exact repeats and a change of tokenizer.
 
     The load inserts every document with its count of words (``words-v1``), the second
-    batch deletes all but the smallest doc_id of each text, the third revises the kept
-    ones to their count of ids (``word-bpe-49k``). The load is committed twice.
+    batch deletes all but one row of each text (the smallest doc_id, null last), the third
+    revises the kept ones to their count of ids (``word-bpe-49k``). The load is committed
+    twice. A null text is like no other and kept; of rows that repeat an id and its text one is kept.
     """
     docs = table(spark, root, "documents")
-    counted = materialise(token_counts(docs, TOKENIZER, keep=("source", "lang")), "counts")
-    first = materialise(counted.groupBy("text_key").agg(F.min("doc_id").alias("first")), "firsts")
-    marked = counted.join(first, "text_key").withColumn("kept", F.col("doc_id") == F.col("first"))
+    counted = token_counts(docs, TOKENIZER, keep=("source", "lang"))
+    counted = materialise(counted.withColumn("row", F.monotonically_increasing_id()), "counts")  # written, so a row keeps its number
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    first = materialise(counted.where("text_key is not null").groupBy("text_key").agg(F.min(order).alias("first")).select("first.row"), "firsts")
+    texts = counted.where("text_key is not null")
+    kept = texts.join(first, "row", "left_semi").unionByName(counted.where("text_key is null"))
     words = [F.col("source"), F.col("lang"), F.lit("words-v1").alias("tokenizer"), F.col("n_words").alias("n_tokens"), F.col("n_bytes")]
     no_old = [F.lit(None).cast(t).alias(c) for c, t in (("old_source", "string"), ("old_lang", "string"), (
         "old_tokenizer", "string"), ("old_tokens", "long"), ("old_bytes", "long"))]
     load = counted.select(F.lit("insert").alias("op"), *words, *no_old)
-    drop = marked.where(~F.col("kept")).select(F.lit("delete").alias("op"), *words, *no_old)
-    revise = marked.where("kept").select(
+    drop = texts.join(first, "row", "left_anti").select(F.lit("delete").alias("op"), *words, *no_old)
+    revise = kept.select(
         F.lit("revise").alias("op"), "source", "lang", F.lit("word-bpe-49k").alias("tokenizer"), F.col("n_ids").alias("n_tokens"),
         "n_bytes", F.col("source").alias("old_source"), F.col("lang").alias("old_lang"), F.lit("words-v1").alias("old_tokenizer"),
         F.col("n_words").alias("old_tokens"), F.col("n_bytes").alias("old_bytes"))

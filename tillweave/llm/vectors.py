@@ -53,8 +53,9 @@ def prepare(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) ->
         for batch in batches:
             units = list(_units(batch))
             labels = batch.column("label").to_pylist()
-            keys = [None if u is None else hashlib.blake2b(u, digest_size=16).hexdigest() for u in units]
             sizes = [None if u is None else f"{len(u) // 8}:{label}" for u, label in zip(units, labels)]
+            keys = [None if u is None else hashlib.blake2b(u, digest_size=16, key=hashlib.blake2b(size.encode()).digest()).hexdigest()
+                    for u, size in zip(units, sizes)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.string()), pa.array(units, pa.binary()),
                                               pa.array(keys, pa.string())], names=["id", "label", "unit", "key"])
 
@@ -82,15 +83,18 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> n
 def centres(reps: DataFrame, cell: int = CELL, cells: int = CELLS, per_cell: int = PER_CELL) -> dict[str, np.ndarray]:
     """Centres of the labels that need more than one cell: at most ``2 * cells`` rows in all.
 
-    The sample has ``per_cell`` vectors for each cell of a label, those of the least key.
+    The sample has ``per_cell`` vectors for each cell of a label, those of the least key. Keys
+    are hashes, so a range of them holds some four times the sample and cuts it off where
+    the vectors are read, before any are ranked.
     """
     spark = reps.sparkSession
     size = max(cell, -(-reps.count() // cells))
     large = {r["label"]: -(-r["count"] // size) for r in reps.groupBy("label").count().where(F.col("count") > size).collect()}
     if not large:
         return {}
-    wanted = spark.createDataFrame([(label, k) for label, k in large.items()], "label string, k int")
-    counted = reps.join(F.broadcast(wanted), "label")
+    wanted = spark.createDataFrame([(label, k, f"{min((1 << 64) - 1, (4 * per_cell << 64) // size):016x}g") for label, k in large.items()],
+                                   "label string, k int, below string")
+    counted = reps.join(F.broadcast(wanted), "label").where(F.col("key") < F.col("below"))
 
     sample = counted.withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("key"))).where(
         (F.col("n") <= per_cell * cells) & (F.col("n") <= per_cell * F.col("k"))).select("label", "k", "unit")
@@ -132,10 +136,10 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 def compare(f: pd.DataFrame, least: float) -> pd.DataFrame:
     """Links of one pair of blocks: per vector the linked ones' number and the least position it reaches here."""
-    f = f.sort_values("rep", ignore_index=True)
+    f = f.sort_values("key", ignore_index=True)
     i, j, here = int(f["i"].iloc[0]), int(f["j"].iloc[0]), int(f["cell"].iloc[0])
     x = np.stack([np.frombuffer(u) for u in f["unit"]])
-    block, n, rep = f["block"].to_numpy(), f["n"].to_numpy(), f["rep"].to_numpy()
+    block, n, key = f["block"].to_numpy(), f["n"].to_numpy(), f["key"].to_numpy()
     width = max(map(len, f["cells"]))
     cells = np.full((len(f), width), -1, dtype=np.int32)
     for k, c in enumerate(f["cells"]):
@@ -157,7 +161,7 @@ def compare(f: pd.DataFrame, least: float) -> pd.DataFrame:
     links = np.bincount(a, n[b], len(f)) + np.bincount(b, n[a], len(f))
     root = _forest(a, b, len(f))
     found = links > 0
-    return pd.DataFrame({"rep": rep[found], "links": links[found].astype(np.int64), "root": rep[root[found]]})
+    return pd.DataFrame({"key": key[found], "links": links[found].astype(np.int64), "root": key[root[found]]})
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
@@ -167,7 +171,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
     Links join vectors of one label (and length) whose cosine in double precision is at
     least ``least``. Null, empty and zero vectors, vectors with a null or non-finite
     component and rows without a label or an id link with nothing and form their own component.
-    Rows with equal directions link with each other. Other columns are ignored.
+    Rows with equal directions link with each other, also where they share an id; ids may
+    repeat, and a component is named by the smallest of its rows. Other columns are ignored.
     """
     spark = vectors.sparkSession
     rows = materialise(prepare(vectors, id_col, vector_col, label_col), "units")
@@ -177,18 +182,18 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            homes = []
-            for label, unit in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()):
-                if label in model.value:
-                    score = model.value[label] @ np.frombuffer(unit)
-                    homes.append(np.flatnonzero(score >= score.max() - margin).tolist())
-                else:
-                    homes.append([0])
+            labels = np.array(batch.column(0).to_pylist(), dtype=object)
+            homes = [[0]] * len(labels)
+            for label in set(labels.tolist()) & set(model.value):
+                rows = np.flatnonzero(labels == label)
+                score = np.stack([np.frombuffer(u) for u in batch.column(3).take(pa.array(rows)).to_pylist()]) @ model.value[label].T
+                near = score >= score.max(axis=1, keepdims=True) - margin
+                for k, line in zip(rows.tolist(), near):
+                    homes[k] = np.flatnonzero(line).tolist()
             yield batch.append_column("cells", pa.array(homes, pa.list_(pa.int32())))
 
-    kind = vectors.schema[id_col].dataType.simpleString()
-    placed = materialise(reps.select("label", "rep", "n", "unit").mapInArrow(
-        assign, f"label string, rep {kind}, n long, unit binary, cells array<int>"), "cells")
+    placed = materialise(reps.select("label", "key", "n", "unit").mapInArrow(
+        assign, "label string, key string, n long, unit binary, cells array<int>"), "cells")
     spread = placed.withColumn("cell", F.explode("cells"))
     # only the cells of labels with centres can hold more than a block or two: their sizes are bounded in number
     large = spread.where(F.col("label").isin(list(model.value))) if model.value else spread.limit(0)
@@ -196,17 +201,19 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
     parts = spark.createDataFrame([(a, b, -(-n // block)) for (a, b), n in sizes.items()], "label string, cell int, parts int")
     spread = spread.join(F.broadcast(parts), ["label", "cell"], "left").withColumn(
         "parts", F.coalesce("parts", F.lit(-(-cell // block)) if cell > block else F.lit(1)))
-    spread = spread.withColumn("block", F.pmod(F.xxhash64("rep", "unit"), F.col("parts")).cast("int"))
+    spread = spread.withColumn("block", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn(
         "i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    found = materialise(spread.select("label", "cell", "i", "j", "block", "rep", "n", "unit", "cells").groupBy(
-        "label", "cell", "i", "j").applyInPandas(lambda f: compare(f, least), f"rep {kind}, links long, root {kind}"), "found")
-    root = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    table = reps.select("label", "key", "rep", "n").join(links, "rep", "left").join(root, "rep", "left").select(
-        "label", "key", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
+    found = materialise(spread.select("label", "cell", "i", "j", "block", "key", "n", "unit", "cells").groupBy(
+        "label", "cell", "i", "j").applyInPandas(lambda f: compare(f, least), "key string, links long, root string"), "found")
+    root = components(found.select(F.col("key").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "key")
+    links = found.groupBy("key").agg(F.sum("links").alias("links"))
+    grouped = reps.select("key", "rep", "n").join(links, "key", "left").join(root, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    grouped = materialise(grouped, "grouped")
+    names = grouped.groupBy("root").agg(F.min("rep").alias("component_id"))
+    table = grouped.join(names, "root").select("key", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
     table = materialise(table, "classes")
-    linked = rows.where("key is not null").join(table, ["label", "key"]).select("id", "n_links", "component_id")
+    linked = rows.where("key is not null").join(table, "key").select("id", "n_links", "component_id")
     alone = rows.where("key is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return linked.union(alone).select(F.col("id").alias(id_col), "n_links", "component_id",
                                       F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
