@@ -23,7 +23,7 @@ from ..models.additive import AdditiveParams, LocalModel, series_info, training_
 from ..models.boosted import BoostedParams, GlobalModel
 from ..operators import (backtest, calendar, cleaning, compare, exports, features, quality, relational, scoring,
                          splits)
-from ..session import scratch_path
+from ..session import memo, scratch_path
 from ..sources import files, starschema
 from .tables import clean, featured, tables
 
@@ -578,7 +578,7 @@ def baseline_forecast(spark, root):
 # --- models, at their full settings. Predictions have no SQL; the queries publish what must
 # hold for them, worked out from the values, for each key or fold that SQL can name.
 
-_FITTED: dict[tuple, object] = {}
+_FITTED: dict[tuple, object] = memo()
 
 
 def fitted(spark, root, name: str, fit: Callable):

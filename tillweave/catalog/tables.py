@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cleaning
 from ..operators.features import build_features
-from ..session import materialise
+from ..session import materialise, memo
 from ..sources import starschema
 
-_DERIVED: dict[tuple[str, str], Tables] = {}
+_DERIVED: dict[tuple[str, str], Tables] = memo()
 
 
 @dataclass(frozen=True)
@@ -37,7 +37,7 @@ def tables(spark: SparkSession, root: str) -> Tables:
     return _DERIVED[key]
 
 
-_FEATURED: dict[tuple[str, str], DataFrame] = {}
+_FEATURED: dict[tuple[str, str], DataFrame] = memo()
 
 
 def clean(spark: SparkSession, root: str) -> DataFrame:

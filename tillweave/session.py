@@ -26,6 +26,13 @@ def local_session(cpus: int | str = 8, app: str = "tillweave", memory: str = "12
 
 _FALLBACK: dict[str, str] = {}
 _MADE: dict[str, list[str]] = {}
+_MEMOS: list[dict] = []
+
+
+def memo() -> dict:
+    """A dictionary for frames that read staged folders; its keys begin with the application's id. ``clear_scratch`` empties it."""
+    _MEMOS.append({})
+    return _MEMOS[-1]
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -59,8 +66,11 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def clear_scratch(spark: SparkSession) -> int:
-    """Remove what this session has staged; returns the number of folders. Frames that
-    read them must be done with."""
+    """Remove what this session has staged, and forget the frames that are kept for later
+    queries; returns the number of folders. Other frames that read them must be done with."""
+    for kept in _MEMOS:
+        for key in [k for k in kept if k[0] == spark.sparkContext.applicationId]:
+            del kept[key]
     made = _MADE.pop(spark.sparkContext.applicationId, [])
     for path in made:
         remove(spark, path)
