@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 #: Words in each of the two generations of the memory; older ones are forgotten, which only costs time.
-MEMORY = 200_000
+MEMORY = 350_000
 #: Characters of the longest word that is remembered.
 LONGEST = 64
 _SPACE = re.compile("[ \t\r\n]")
 #: A full stop or comma at a word's end that belongs to a longer run of marks or to a marker of the vocabulary.
 _JOINED = r"[^\pL\pN\s][.,][ \n]"
 #: Characters of text that are numbered together.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 21
 
 
 class WordTokenizer:
