@@ -15,7 +15,7 @@ from tillweave.functions.windows import in_blocks
 from tillweave.operators import backtest, calendar, cleaning, compare, exports, features, quality, relational, scoring, splits
 from tillweave.plans import stages
 from tillweave.session import scratch_path, shared_dir
-from tillweave.sources import files
+from tillweave.sources import files, layout
 
 
 def rows(df, *order):
@@ -52,6 +52,29 @@ def test_weighted_quantiles_equal_repeated_rows(spark, few, monkeypatch):
     assert got == pytest.approx(list(np.quantile(np.repeat(v, w), (0.0, 0.25, 0.5, 0.99))))
 
 
+@pytest.mark.parametrize("few,most", [(20_000, 1), (2_000, 1), (100, 2)])
+def test_passes_of_exact_quantiles(spark, few, most, monkeypatch):
+    """One pass counts and sketches; these are the passes after it, over all columns at once."""
+    monkeypatch.setattr(quantiles, "FEW", few)
+    passes, plain = [], quantiles._round
+    monkeypatch.setattr(quantiles, "_round", lambda *a: passes.append(1) or plain(*a))
+    df = spark.range(100_000, numPartitions=5).select(F.xxhash64("id").alias("a"), (F.col("id") % 977).alias("b"), F.pow("id", F.lit(3)).alias("c"))
+    got = exact_quantiles(df, df.columns, (0.25, 0.5, 0.75))
+    data = df.toPandas().astype(float)
+    for c, values in got.items():
+        assert values == pytest.approx(list(np.quantile(data[c], (0.25, 0.5, 0.75)))), c
+    assert len(passes) <= most
+
+
+@pytest.mark.parametrize("few", [3, 40])
+def test_weights_that_mislead_the_sketch(spark, few, monkeypatch):
+    monkeypatch.setattr(quantiles, "FEW", few)
+    v = np.arange(500.0)
+    w = np.where(v < 490, 1, 1000)  # nearly all weight on the last ten values
+    got = exact_quantiles(spark.createDataFrame(pd.DataFrame({"v": v, "w": w})), ["v"], (0.01, 0.25, 0.5, 1.0), "w")["v"]
+    assert got == pytest.approx(list(np.quantile(np.repeat(v, w), (0.01, 0.25, 0.5, 1.0))))
+
+
 def test_exact_quantiles_of_nothing(spark):
     assert exact_quantiles(spark.range(0).toDF("x"), ["x"], (0.5,)) == {"x": [None]}
 
@@ -323,6 +346,53 @@ def test_duplicates_of_a_hot_key(spark, panel):
     assert quality.duplicate_keys(panel.unionByName(hot)).first()[0] == 500
 
 
+def test_duplicate_rows_count_digests_first(spark, panel):
+    odd = spark.createDataFrame([(None, 1.0, "a"), (1, None, "a"), (None, 1.0, "a"), (1, -0.0, "b"), (1, 0.0, "b"),
+                                 (2, float("nan"), None), (2, float("nan"), None), (2, float("nan"), ""), (None, None, None), (None, None, None)],
+                                "x long, y double, z string")
+    assert quality.duplicate_rows(odd).first()[0] == 4
+    assert quality.duplicate_rows(odd.limit(0)).first()[0] == 0
+    assert quality.duplicate_rows(panel.unionByName(panel.where("Store = 1"))).first()[0] == 312
+    plan = quality.duplicate_rows(panel)._jdf.queryExecution().optimizedPlan().toString()
+    counted = [line for line in plan.splitlines() if "Aggregate [_h1" in line]
+    assert counted and all("Weekly_Sales" not in line for line in counted)
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_panel_stored_by_series_needs_no_exchange(spark, panel, tmp_path):
+    plain = panel.withColumn("is_holiday_week", F.col("IsHoliday"))
+    kept = layout.store(plain, "by_series", f"{tmp_path}/s")
+    try:
+        got = features.lookback_features(kept)
+        assert _exchanges(got) == 0
+        want = features.lookback_features(plain).toPandas().sort_values(list(sc.KEY), ignore_index=True)
+        pd.testing.assert_frame_equal(got.select(*want.columns).toPandas().sort_values(list(sc.KEY), ignore_index=True), want)
+    finally:
+        spark.sql("drop table by_series")
+
+
+def test_tables_stored_by_store_join_in_place(spark, panel, tmp_path, monkeypatch):
+    days = panel.select("Store", "Date").distinct().withColumns({"Temperature": F.dayofyear("Date") * 1.0, "IsHoliday": F.lit(False)})
+    stores = panel.select("Store").distinct().withColumn("Size", F.col("Store") * 1000)
+    given = {"p_sales": panel, "p_days": days, "p_stores": stores}
+    settings = {layout.PART_OF_KEYS: "true", "spark.sql.autoBroadcastJoinThreshold": spark.conf.get("spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        kept = [layout.store(df, name, f"{tmp_path}/{name}", by=["Store"]) for name, df in given.items()]
+        layout.in_place(spark).conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = features.lags(relational.merge_sources(*kept))
+        assert _exchanges(got) == 0
+        want = features.lags(relational.merge_sources(*given.values()))
+        assert rows(got.select(*want.columns)) == rows(want)
+    finally:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        for name in given:
+            spark.sql(f"drop table if exists {name}")
+
+
 def test_predictions_with_odd_values(spark):
     a = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, float("inf"))], "Store long, y_true double")
     b = spark.createDataFrame([(1, -1.0), (2, 1.0), (4, 1.0)], "Store long, y_pred double")

@@ -404,6 +404,7 @@ STATEMENTS = {
     "rolling_median": f"select {SALES_COLS}, {named(ROLLING['median'])} from sales",
     "rolling_slope": f"select {SALES_COLS}, {r(SLOPE, 'sales_trend')} from (select *, row_number() over ({W}) as pos from sales)",
     "lookback_in_blocks": f"select {SALES_COLS}, {named(LAGS0)}, {named(ROLLING['mean'])} from sales",
+    "lookback_stored_by_series": f"select {SALES_COLS}, {named(LAGS0)}, {named(ROLLING['mean'])} from sales",
     "store_encoding": f"select {SALES_COLS}, {_numeric(ECONOMY_WEATHER)}, coalesce(Size, 0) as Size, {named(_hot('kind', sc.TYPE_DOMAIN, 'store_type'), None)} from (select *, coalesce(Type, 'Unknown') as kind from merged)",
     "dept_band": f"select Store, s.Dept, Date, {r('Weekly_Sales')}, IsHoliday, dept_category from sales s join bands b on s.Dept = b.Dept",
     "dept_encoding": f"select Store, s.Dept, Date, {r('Weekly_Sales')}, IsHoliday, {named(_hot('dept_category', sc.BAND_DOMAIN, 'dept_cat'), None)} from sales s join bands b on s.Dept = b.Dept",

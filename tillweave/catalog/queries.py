@@ -8,6 +8,7 @@ half, which the last bit of the sum would tip either way.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -24,7 +25,7 @@ from ..models.boosted import BoostedParams, GlobalModel
 from ..operators import (backtest, calendar, cleaning, compare, exports, features, quality, relational, scoring,
                          splits)
 from ..session import memo, scratch_path
-from ..sources import files, starschema
+from ..sources import files, layout, starschema
 from .tables import clean, featured, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -422,6 +423,14 @@ def lookback_in_blocks(spark, root):
     return in_blocks(tables(spark, root).sales, lookback, features.LOOKBACK, block_days=180)
 
 
+@query()
+def lookback_stored_by_series(spark, root):
+    """Look-backs over a table in buckets: written once, then read without an exchange."""
+    name = f"panel_{uuid.uuid4().hex}"
+    kept = layout.store(tables(spark, root).sales, name, scratch_path(spark, name))
+    return features.rolling_mean(features.lags(kept))
+
+
 @query()
 def store_encoding(spark, root):
     return features.store_encoding(cleaning.fill_defaults(merged(spark, root)))
