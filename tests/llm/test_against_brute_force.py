@@ -220,11 +220,16 @@ def test_extraction(spark):
 
 
 def text_of(pages):
-    template = None
-    for p in pages:
-        new = extract.shape(extract.tree(p))
-        template = extract._merge(template, new) if template else new
-    reader = extract.Reader(json.dumps(extract.wrapper(template)))
+    shapes = [extract.shape(extract.tree(p)) for p in pages]
+    labels = [extract._flat(s, (0,), 5) for s in shapes]
+    centre = shapes[labels.index(max(labels, key=lambda x: (labels.count(x), x)))]
+    found = {}
+    for s in shapes:
+        for node, up, key, label, block, own, whole, size in extract.rows(s, centre):
+            found.setdefault((node, up, key, label, block), []).append((own, whole, size))
+    counts = [(*k, len(v), *(f(x[c] for x in v) for c in (0, 1) for f in (min, max)), sum(x[2] for x in v)) for k, v in found.items()]
+    wrapper = extract._flat(extract.wrapper(extract.template(counts)), (0, 1, 2, 3, 4, 6), 5)
+    reader = extract.Reader(f"[{wrapper}]")
     return [reader.text(p) for p in pages]
 
 

@@ -1,13 +1,17 @@
 """Main text of web pages by wrapper induction over the pages of a host.
 
-Every page becomes a tree. The trees of a host are aligned by simple tree matching and
-folded into one template, whose nodes know on how many pages they occur, whether their
-text is always the same and how much there is. Templates add up like sums: a task folds
-the pages it sees, and partial templates are merged per host and salt, then per host, so
-no group of pages is ever gathered. From the template comes the wrapper: the node that
-holds the article (a landmark, or where the varying text sits), constant nodes (template),
-varying slots (content), and regions that are no article whatever they say. A page is then
-aligned with its host's wrapper and gives the text of its content slots.
+Every page becomes a tree of slots: siblings that repeat a label one after another are
+one slot. The centre of a host is its most frequent tree of labels. Every page is aligned
+with the centre by simple tree matching, each on its own; what finds no partner there is
+told by its label. Slots are then counted natively by host and place: on how many pages
+they occur, whether their text is always the same, how much there is, and which blocks of
+text they hold on how many pages. Counts, sums, minima and maxima know no order, so the
+result depends neither on the order of pages nor on how they are dealt to tasks, and no
+group of pages is ever gathered. From the counts comes the template, and from it the
+wrapper: the node that holds the article (a landmark, or where the varying text sits),
+constant nodes and constant blocks among others (template), varying slots (content), and
+regions that are no article whatever they say. A page is then aligned with its host's
+wrapper and gives the text of its content slots.
 
 A host may have several layouts. Pages with a landmark and pages without have a template
 each. Without a landmark, containers of which every page has one are places of an article
@@ -23,19 +27,25 @@ import re
 import sys
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from .steps import Steps
 
-#: Templates a task holds before it hands them on, and parts in which a host's are merged first.
-HOSTS, SALTS = 2000, 64
+#: Wrappers and centres a task remembers, and rows it makes before it hands them on.
+HOSTS, ROWS = 2000, 50_000
 #: Pages that must agree on a text inside the article before it counts as template.
 SUPPORT = 8
+#: Pages that must hold a block of text, and their share of all pages with the article, before a block
+#: that looks like its neighbours counts as template.
+LINES, MOST = 16, 0.9
+#: Slots and blocks on less than one page of so many of a layout are left out of its template, whose size this bounds.
+RARE = 1000
 #: Children up to which order counts in the alignment; longer lists are repetitions, told by label.
 ORDERED = 32
 
@@ -187,7 +197,8 @@ def _without(node: Node) -> bool:
     return True
 
 
-# --- templates: [label, pages, own text's checksum or None, whole text's checksum or None, characters, children]
+# --- slots of a page: [label, own text's checksum, whole text's checksum, characters, checksums of blocks, children, elements]
+# --- templates: [label, pages, own text's checksum or None, whole text's checksum or None, characters, children, key, {block: pages}]
 
 
 def _flat(top: list | dict, fields: tuple, children: int | str) -> str:
@@ -218,51 +229,72 @@ def _grown(rows: list[list], make: Callable[[list], list | dict], children: int
     return top
 
 
-def _template(part: str) -> list:
-    return _grown(json.loads(part), lambda v: [*v, []], 5)
+def _elements(node: Node) -> list[Node]:
+    return [p for p in node.parts if isinstance(p, Node) and p.tag not in RAW and p.tag != "head"]
 
 
-def _collapsed(children: list[list]) -> list[list]:
-    """Siblings that repeat a label one after another become one node; long mixed lists repeat as a whole."""
-    out: list[list] = []
-    for c in children:
-        if out and out[-1][0] == c[0]:
-            out[-1] = _repeat(out[-1], c)
-        else:
-            out.append(c)
-    if len(out) > ORDERED:
-        by: dict[str, list] = {}
-        for c in out:
-            by[c[0]] = _repeat(by[c[0]], c) if c[0] in by else c
-        out = list(by.values())
+def _check(text: str) -> int:
+    return zlib.crc32(" ".join(text.split()).encode("utf-8", "surrogatepass"))
+
+
+def _blocks(root: Node) -> dict[int, int]:
+    """Checksums of the texts of blocks that hold no other block, by element."""
+    order, up = [root], [-1]
+    for k, node in enumerate(order):
+        inner = _elements(node)
+        order += inner
+        up += [k] * len(inner)
+    holds = [False] * len(order)
+    for k in range(len(order) - 1, 0, -1):
+        holds[up[k]] |= holds[k] or order[k].tag in BLOCK
+    out = {}
+    for k, node in enumerate(order):
+        if node.tag in BLOCK and not holds[k]:
+            texts, left = [], [node]
+            while left:
+                part = left.pop()
+                if isinstance(part, str):
+                    texts.append(part)
+                elif part.tag not in RAW:
+                    left += reversed(part.parts)
+            if any(map(str.strip, texts)):
+                out[id(node)] = _check("".join(texts))
     return out
 
 
-def _repeat(a: list, b: list) -> list:
-    """Two siblings of one page as one node."""
-    both = _merge(a, b)
-    return [a[0], 1, zlib.crc32(b"%d" % b[2], a[2]), zlib.crc32(b"%d" % b[3], a[3]), a[4] + b[4], _ones(both[5], a, b)]
+def _slot(nodes: list[Node], blocks: dict[int, int]) -> list:
+    """One slot of elements that repeat a label; the children of several elements, and long mixed lists, go by label."""
+    owns, size, inner = [], 0, []
+    for node in nodes:
+        own = " ".join(" ".join(p for p in node.parts if isinstance(p, str)).split()).encode("utf-8", "surrogatepass")
+        owns.append(zlib.crc32(own))
+        size += len(own)
+        inner += _elements(node)
+    runs: list[list[Node]] = []
+    for node in inner:
+        if runs and runs[-1][0].label == node.label:
+            runs[-1].append(node)
+        else:
+            runs.append([node])
+    if len(nodes) > 1 or len(runs) > ORDERED:
+        by: dict[str, list[Node]] = {}
+        for node in inner:
+            by.setdefault(node.label, []).append(node)
+        runs = list(by.values())
+    kids = [_slot(run, blocks) for run in runs]
+    check = owns[0] if len(owns) == 1 else zlib.crc32(repr(owns).encode())
+    whole = zlib.crc32(repr([check, *(c[2] for c in kids)]).encode()) if kids else check
+    held = sorted({blocks[id(n)] for n in nodes if id(n) in blocks})
+    return [nodes[0].label, check, whole, size + sum(c[3] for c in kids), held, kids, nodes]
 
 
-def _ones(children: list[list], a: list, b: list) -> list[list]:
-    """Within one page there are no counts, and text that differs between siblings is still one text."""
-    for c in children:
-        c[1] = 1
-        if c[2] is None:
-            c[2] = zlib.crc32(f"{a[2]} {b[2]} {c[0]}".encode())
-        if c[3] is None:
-            c[3] = zlib.crc32(f"{a[3]} {b[3]} {c[0]}".encode())
-        _ones(c[5], a, b)
-    return children
+def shape(root: Node) -> list:
+    """The slots of a page."""
+    return _slot([root], _blocks(root))
 
 
-def shape(node: Node) -> list:
-    """The template of one page."""
-    own = " ".join(" ".join(p for p in node.parts if isinstance(p, str)).split()).encode("utf-8", "surrogatepass")
-    children = _collapsed([shape(p) for p in node.parts if isinstance(p, Node) and p.tag not in RAW and p.tag != "head"])
-    check = zlib.crc32(own)
-    whole = zlib.crc32(repr([check, *(c[3] for c in children)]).encode()) if children else check
-    return [node.label, 1, check, whole, len(own) + sum(c[4] for c in children), children]
+def _shape(part: str) -> list:
+    return _grown(json.loads(part), lambda v: [*v, [], ()], 5)
 
 
 def _matching(a: list, b: list) -> int:
@@ -298,27 +330,74 @@ def _aligned(a: list[list], b: list[list]) -> list[tuple[int, int, int]]:
     return out
 
 
-def _merge(a: list, b: list) -> list:
-    """Two templates of equal label as one; what only one of them has stays at its place."""
-    children, at, behind = [], 0, 0
+def _keys(kids: list[list], centre: list[list]) -> list[str]:
+    """Places of slots: that of the centre's slot each is aligned with, or its own label."""
+    keys = ["+" + k[0] for k in kids]
+    for i, j, _ in _aligned(kids, centre):
+        keys[i] = str(j)
+    return keys
+
+
+def rows(page: list, centre: list) -> Iterator[tuple]:
+    """(node, up, key, label, block, own, whole, characters) of every slot of a page, and of every block of a slot.
+
+    A node is named by the keys above it, so equal places of different pages have equal names.
+    """
+    left = [(page, centre, 0, "")]
+    while left:
+        slot, at, up, key = left.pop()
+        node = xxhash.xxh64_intdigest(f"{up}/{key}") - (1 << 63)
+        yield node, up, key, slot[0], None, slot[1], slot[2], slot[3]
+        for block in slot[4]:
+            yield node, up, key, slot[0], block, 0, 0, 0
+        inner = at[5] if at else []
+        places: dict[str, list] = {}
+        for k, kid in zip(_keys(slot[5], inner), slot[5]):
+            if k in places:  # labels without a place that repeat apart from each other
+                a = places[k]
+                places[k] = [a[0], zlib.crc32(b"%d %d" % (a[1], kid[1])), zlib.crc32(b"%d %d" % (a[2], kid[2])), a[3] + kid[3],
+                             sorted({*a[4], *kid[4]}), a[5] + kid[5], ()]
+            else:
+                places[k] = kid
+        left += [(kid, None if k[0] == "+" else inner[int(k)], node, k) for k, kid in places.items()]
+
+
+def template(counts: Iterable[tuple]) -> list:
+    """The template of (node, up, key, label, block, pages, least and greatest own, least and greatest whole, characters)."""
+    nodes: dict[int, list] = {}
+    under: dict[int, list[tuple]] = {}
+    held: dict[int, dict[int, int]] = {}
+    top, depth = None, 1
+    for node, up, key, label, block, pages, own, own_max, whole, whole_max, size in counts:
+        if block is not None:
+            held.setdefault(node, {})[block] = pages
+            continue
+        nodes[node] = [label, pages, own if own == own_max else None, whole if whole == whole_max else None, size, [], key, {}]
+        if key:
+            under.setdefault(up, []).append((key[0] == "+", key if key[0] == "+" else int(key), node))
+        else:
+            top = node
+    left = [(top, 1)]
+    while left:
+        at, level = left.pop()
+        nodes[at][7], depth = held.get(at, {}), max(depth, level)
+        for _, _, node in sorted(under.get(at, ())):
+            nodes[at][5].append(nodes[node])
+            left.append((node, level + 1))
+    _room(depth)
+    return nodes[top]
+
+
+def _joined(a: list, b: list) -> list:
+    """The template ``a`` with what ``b`` knows of the nodes that both have."""
+    kids = list(a[5])
     for i, j, _ in _aligned(a[5], b[5]):
-        children += a[5][at:i]
-        if j >= behind:
-            children += [x for x in b[5][behind:j]]
-            behind = j + 1
-        children.append(_merge(a[5][i], b[5][j]))
-        at = i + 1
-    children += a[5][at:] + b[5][behind:]
-    if len(children) > ORDERED:
-        by: dict[str, list] = {}
-        for c in children:
-            by[c[0]] = _merge(by[c[0]], c) if c[0] in by else c
-        children = list(by.values())
+        kids[i] = _joined(a[5][i], b[5][j])
     same = [x if x == y else None for x, y in zip(a[2:4], b[2:4])]
-    return [a[0], a[1] + b[1], *same, a[4] + b[4], children]
+    return [a[0], a[1] + b[1], *same, a[4] + b[4], kids, *a[6:]]
 
 
-# --- wrappers: {"l": label, "r": holds the article, "t": own text is template, "c": it is constant on the host, "k": children}
+# --- wrappers: [label, key, holds the article, own text is template, it is constant on the host, children, checksums of blocks that are template]
 
 
 def _apart(label: str, inside: bool) -> bool:
@@ -340,7 +419,7 @@ def _is_main(label: str) -> bool:
     return bool(re.match(r"(article|main)(?=[.#]|$)", label))
 
 
-def wrapper(template: list, places: bool = True) -> dict:
+def wrapper(template: list, places: bool = True) -> list:
     """Which nodes of a layout's template hold the article, and which texts are template; without ``places`` each page finds its own."""
     varies = template[3] is None
 
@@ -383,13 +462,13 @@ def wrapper(template: list, places: bool = True) -> dict:
         for c in inner:
             if c[1] < t[1] and sum(x[1] for x in ways) + c[1] <= t[1]:
                 ways.append(c)
-        if len(ways) > 1 and sum(x[1] for x in ways) == t[1] and sum(map(mass, ways)) >= 0.7 * total:
+        if len(ways) > 1 and sum(x[1] for x in ways) >= 0.99 * t[1] and sum(map(mass, ways)) >= 0.7 * total:
             left += ways
         else:
             chosen.append(t)
     starting = {id(t) for t in chosen}
 
-    def rule(t: list, inside: bool, vary: bool, pages: int) -> dict:
+    def rule(t: list, inside: bool, vary: bool, pages: int) -> list:
         starts = not inside and (places and (_is_main(t[0]) if landmark else id(t) in starting))
         if starts:
             vary, pages = t[3] is None, t[1]
@@ -397,7 +476,12 @@ def wrapper(template: list, places: bool = True) -> dict:
         constant = t[2] is not None and t[1] == pages
         fixed = inside and vary and constant and (pages >= SUPPORT or not landmark and pages > 1)
         common = varies and t[2] is not None and 1 < t[1] and (t[1] >= SUPPORT or t[1] == template[1])
-        return {"l": t[0], "r": int(starts), "t": int(fixed), "c": int(common), "k": [rule(c, inside, vary, pages) for c in t[5]]}
+        enough = max(LINES, MOST * (pages if inside else template[1]))
+        lines = sorted(b for b, n in t[7].items() if n >= enough) if (vary if inside else varies) else []
+        kids = [rule(c, inside, vary, pages) for c in t[5]]
+        # of slots without a place in the centre, only those that decide something are kept
+        kids = [k for k in kids if k[1][0] != "+" or k[2] or k[3] or k[4] or k[5] or k[6]]
+        return [t[0], t[6], int(starts), int(fixed), int(common), kids, lines]
 
     return rule(template, False, False, 0)
 
@@ -407,16 +491,24 @@ class Reader:
 
     def __init__(self, rules: str):
         read = json.loads(rules)
-        self.rules = [r and _grown(r, lambda v: {**dict(zip("lrtc", v)), "k": []}, "k") for r in read] if isinstance(read, list) else [read] * 2
+        self.rules = [r and _grown(r, lambda v: [*v[:5], [], *v[5:]], 5) for r in (read if len(read) == 2 else read * 2)]
+        left = [r for r in self.rules if r]
+        while left:  # children with a place in the centre stay a list, the others are looked up by key
+            r = left.pop()
+            left += r[5]
+            r.append({k[1]: k for k in r[5]})
+            r[5] = [k for k in r[5] if k[1][0] != "+"]
 
     def text(self, page: str | None) -> str:
         root = tree(page or "")
         without = _without(root)
         rules = self.rules[without]
-        text, started = self._read(root, rules, None)
-        return self._read(root, rules, _place(root, rules))[0] if without and not started else text
+        blocks = _blocks(root) if rules else {}
+        match = _match(_slot([root], blocks), rules) if rules else {}
+        text, started = self._read(root, match, blocks, None)
+        return self._read(root, match, blocks, _place(root, match, blocks))[0] if without and not started else text
 
-    def _read(self, root: Node, rules: dict | None, place: Node | None) -> tuple[str, bool]:
+    def _read(self, root: Node, match: dict[int, list], checks: dict[int, int], place: Node | None) -> tuple[str, bool]:
         """The text, and whether an article starts anywhere; with a place it does there only, and constant text is template."""
         started = False
         blocks: list[str] = []
@@ -428,47 +520,63 @@ class Reader:
                 blocks.append(line)
             held.clear()
 
-        def walk(node: Node, rule: dict | None, inside: bool) -> None:
+        def walk(node: Node, inside: bool) -> None:
             if node.tag in RAW or node.tag == "head" or node.apart or node.apart is None and not inside:
                 return
-            inside = inside or (node is place if place else node.main or bool(rule and rule["r"]))
+            rule = match.get(id(node))
+            inside = inside or (node is place if place else node.main or bool(rule and rule[2]))
             nonlocal started
             started |= inside
             block = node.tag in BLOCK
             if block:
                 flush()
-            fixed = bool(rule and rule["c" if place else "t"])
-            kids = rule["k"] if rule else ()
-            match = _places([p for p in node.parts if isinstance(p, Node)], kids)
-            k = 0
+            if rule and rule[6] and checks.get(id(node)) in rule[6]:
+                return
+            fixed = bool(rule and rule[4 if place else 3])
             for p in node.parts:
                 if isinstance(p, Node):
                     if p.tag == "br":
                         held.append(" ")
                     else:
-                        walk(p, match[k], inside)
-                    k += 1
+                        walk(p, inside)
                 elif inside and not fixed:
                     held.append(p)
             if block:
                 flush()
 
-        walk(root, rules, False)
+        walk(root, False)
         flush()
         return "\n".join(blocks), started
 
 
-def _place(root: Node, rules: dict | None) -> Node:
+def _match(page: list, rules: list) -> dict[int, list]:
+    """The wrapper's rule of each element that has one."""
+    out, left = {}, [(page, rules)]
+    while left:
+        slot, rule = left.pop()
+        for node in slot[6]:
+            out[id(node)] = rule
+        for key, kid in zip(_keys(slot[5], rule[5]), slot[5]):
+            if key[0] != "+":
+                key = rule[5][int(key)][1]
+            if key in rule[7]:
+                left.append((kid, rule[7][key]))
+    return out
+
+
+def _place(root: Node, match: dict[int, list], blocks: dict[int, int]) -> Node:
     """Where most of a page's own text is, the one that the wrapper does not know as constant."""
     order: list[tuple[Node, int, int]] = []  # element, its parent's place, characters
-    left: list[tuple[Node, dict | None, int]] = [(root, rules, -1)]
+    left: list[tuple[Node, int]] = [(root, -1)]
     while left:
-        node, rule, up = left.pop()
+        node, up = left.pop()
         if node.tag in RAW or node.tag == "head" or node.apart or node.apart is None:
             continue
-        own = 0 if rule and rule.get("c") else sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
-        inner = [p for p in node.parts if isinstance(p, Node)]
-        left += [(p, r, len(order)) for p, r in zip(inner, _places(inner, rule["k"] if rule else ()))]
+        rule = match.get(id(node))
+        if rule and rule[6] and blocks.get(id(node)) in rule[6]:
+            continue
+        own = 0 if rule and rule[4] else sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
+        left += [(p, len(order)) for p in node.parts if isinstance(p, Node)]
         order.append((node, up, own))
     mass = [own for _, _, own in order]
     for k in range(len(order) - 1, 0, -1):
@@ -480,82 +588,76 @@ def _place(root: Node, rules: dict | None) -> Node:
     return order[at][0] if order else root
 
 
-def _places(nodes: list[Node], kids: list[dict]) -> list[dict | None]:
-    """The wrapper's child that each element is aligned with, repeated siblings with the same one."""
-    if not kids or not nodes:
-        return [None] * len(nodes)
-    runs: list[list] = []
-    for n in nodes:
-        if n.tag in RAW or n.tag == "head":
-            continue
-        if not runs or runs[-1][0] != n.label:
-            runs.append([n.label, []])
-    a = [[r[0], 1, 0, 0, 0, []] for r in runs]
-    b = [[k["l"], 1, 0, 0, 0, []] for k in kids]
-    if len(a) > ORDERED or len(b) > ORDERED:
-        by = {}
-        for k in kids:
-            by.setdefault(k["l"], k)
-        return [by.get(n.label) for n in nodes]
-    pairs = {i: kids[j] for i, j, _ in _aligned(a, b)}
-    out, run, last = [], -1, None
-    for n in nodes:
-        if n.tag in RAW or n.tag == "head":
-            out.append(None)
-            continue
-        if n.label != last:
-            run, last = run + 1, n.label
-        out.append(pairs.get(run))
-    return out
-
-
 def _host(url_col: str):
     return F.regexp_extract(F.lower(F.coalesce(F.col(url_col).cast("string"), F.lit(""))), r"^[a-z][a-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)
 
 
+_ROW = pa.schema([("host", pa.string()), ("layout", pa.int32()), ("total", pa.int64()), ("node", pa.int64()), ("up", pa.int64()), ("key", pa.string()),
+                  ("label", pa.string()), ("block", pa.int64()), ("own", pa.int64()), ("whole", pa.int64()), ("size", pa.int64())])
+
+
 def induce(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, rules): the wrappers of a host's two kinds of layouts, from all its pages. Pages without a host share the host ''."""
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int], list] = {}
+    """(host, rules): the wrappers of a host's two kinds of layouts, from all its pages. Pages without a host share the host ''.
 
-        def out() -> pa.RecordBatch:
-            rows = [(*h, zlib.crc32(s.encode()) % SALTS, s) for h, s in ((h, _flat(t, range(5), 5)) for h, t in held.items())]
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.string(), pa.int32(), pa.int32(), pa.string()))],
-                                              names=["host", "layout", "salt", "part"])
+    The shapes of pages are written once, with checksums instead of texts. What meets in
+    one group is a host's template: at most RARE times the slots and blocks of its mean page.
+    """
+    steps = Steps(pages.sparkSession)
 
+    def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                top = tree(page or "")
-                new, key = shape(top), (host, int(_without(top)))
-                held[key] = _merge(held[key], new) if key in held else new
-                if len(held) >= HOSTS:
-                    yield out()
-        if held:
-            yield out()
-
-    def merged(found: list[str]) -> list | None:
-        template = None
-        for part in sorted(found):
-            template = _template(part) if template is None else _merge(template, _template(part))
-        return template
-
-    def some(f: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": [f["host"].iloc[0]], "layout": [f["layout"].iloc[0]], "part": [_flat(merged(f["part"]), range(5), 5)]})
+            layouts, labels, parts = [], [], []
+            for page in batch.column(1).to_pylist():
+                root = tree(page or "")
+                top = shape(root)
+                layouts.append(int(_without(root)))
+                labels.append(xxhash.xxh64_intdigest(_flat(top, (0,), 5)) - (1 << 63))
+                parts.append(_flat(top, range(5), 5))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(layouts, pa.int32()), pa.array(labels, pa.int64()), pa.array(parts, pa.string())],
+                                             names=["host", "layout", "labels", "shape"])
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres: dict[str, list] = {}
+        for batch in batches:
+            out: list[tuple] = []
+            for host, layout, total, part, centre in zip(*(c.to_pylist() for c in batch.columns)):
+                if centre not in centres:
+                    if len(centres) >= HOSTS:
+                        centres.clear()
+                    centres[centre] = _shape(centre)
+                out += [(host, layout, total, *r) for r in rows(_shape(part), centres[centre])]
+                if len(out) >= ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _ROW.types)], schema=_ROW)
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _ROW.types)], schema=_ROW)
 
     def rules(f: pd.DataFrame) -> pd.DataFrame:
-        marked, plain = (merged(f["part"][f["layout"] == k]) for k in range(2))
+        def grown(layout: int) -> list | None:
+            mine = f[f["layout"] == layout]
+            blocks = [None if pd.isna(b) else int(b) for b in mine["block"]]
+            columns = [mine[c].tolist() for c in ("pages", "own", "own_max", "whole", "whole_max", "size")]
+            return template(zip(mine["node"].tolist(), mine["up"].tolist(), mine["key"], mine["label"], blocks, *columns)) if len(mine) else None
+
+        marked, plain = grown(0), grown(1)
         alone = marked is not None and plain is not None and plain[1] == 1  # a single page: the others tell what is constant
         made = [t and wrapper(t) for t in (marked, None if alone else plain)]
         if alone:
-            made[1] = wrapper(_merge(marked, plain), False)
-        flat = ",".join(_flat(w, ("l", "r", "t", "c"), "k") if w else "null" for w in made)
+            made[1] = wrapper(_joined(plain, marked), False)
+        flat = ",".join(_flat(w, (0, 1, 2, 3, 4, 6), 5) if w else "null" for w in made)
         return pd.DataFrame({"host": [f["host"].iloc[0]], "rules": [f"[{flat}]"]})
 
-    rows = pages.select(_host(url_col).alias("host"), F.col(html_col).cast("string"))
-    parts = rows.mapInArrow(fold, "host string, layout int, salt int, part string")
-    parts = parts.groupBy("host", "layout", "salt").applyInPandas(some, "host string, layout int, part string")
-    return parts.groupBy("host").applyInPandas(rules, "host string, rules string")
+    found = steps.write(pages.select(_host(url_col).alias("host"), F.col(html_col).cast("string")).mapInArrow(
+        shapes, "host string, layout int, labels long, shape string"), "shapes")
+    kinds = found.groupBy("host", "layout", "labels").agg(F.count("*").alias("n"), F.min("shape").alias("shape"))
+    centres = steps.write(kinds.groupBy("host", "layout").agg(F.sum("n").alias("total"), F.max_by("shape", F.struct("n", "labels")).alias("centre")), "centres")
+    placed = found.join(centres, ["host", "layout"]).select("host", "layout", "total", "shape", "centre")
+    schema = "host string, layout int, total long, node long, up long, key string, label string, block long, own long, whole long, size long"
+    counts = placed.mapInArrow(slots, schema).groupBy("host", "layout", "node", "block").agg(
+        F.count("*").alias("pages"), F.max("total").alias("total"), F.min("up").alias("up"), F.min("key").alias("key"), F.min("label").alias("label"),
+        F.min("own").alias("own"), F.max("own").alias("own_max"), F.min("whole").alias("whole"), F.max("whole").alias("whole_max"), F.sum("size").alias("size"))
+    kept = counts.where((F.col("pages") * RARE >= F.col("total")) & (F.col("block").isNull() | (F.col("pages") >= LINES)))
+    return steps.write(kept.groupBy("host").applyInPandas(rules, "host string, rules string"), "wrappers", (found, centres))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -564,7 +666,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     A null page is empty, a page without an article gives an empty text; both keep their
     row, as do repeated rows. Other columns are ignored.
     """
-    wrappers = materialise(induce(pages, url_col, html_col), "wrappers")
+    wrappers = induce(pages, url_col, html_col)
     kind = pages.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
