@@ -1,15 +1,18 @@
 """SimHash near-duplicates through an inverted index on byte positions.
 
-A fingerprint has eight bytes. Two fingerprints that differ in at most d bits share at
-least 8 - d positional bytes, so each is indexed under all choices of 8 - d positions
-with their bytes, and meets every partner in at least one posting list. There the shared
-positional bytes of a pair are tallied, pairs below the guaranteed minimum fall, and the
-rest is verified by the differing bits. (Lists of single bytes would hold a 256th of all
-fingerprints each, and pairs of them would grow with the square of the corpus.)
-
-Equal fingerprints enter once. A posting list's members differ in d bytes only, so it
-holds at most 2**(8 d) of them; short lists are compared pair by pair, long ones by
-looking up the neighbours of each member, and give a spanning forest, not all pairs.
+A fingerprint has eight bytes. Two fingerprints that differ in at most two bits differ in
+at most two bytes. A family of triples of positions covers every pair of positions, so at
+least one triple holds all bytes in which two such fingerprints differ. Each fingerprint
+is posted once a triple, under its bytes at the other five positions, and meets every
+partner in at least one list. There the shared positional bytes of a pair are tallied: the
+five of the list and those of the triple that agree. Pairs below the guaranteed minimum
+of six (seven for one bit) fall, and the rest is verified by the differing bits. (Lists of
+single bytes would hold a 256th of all fingerprints each, and pairs of them would grow
+with the square of the corpus.)
+
+Equal fingerprints enter once. A posting list's members differ in three bytes only, so it
+holds at most 2**24 of them; short lists are compared pair by pair, long ones by looking
+up the neighbours of each member, and give a spanning forest, not all pairs.
 """
 
 from __future__ import annotations
@@ -67,24 +70,37 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(run, f"id {kind}, fp long")
 
 
+def triples(most: int) -> list[tuple[int, ...]]:
+    """Triples of byte positions such that any ``most`` positions lie in one of them: twelve at most."""
+    wanted, out = set(combinations(range(8), most)), []
+    while wanted:
+        out.append(max(combinations(range(8), 3), key=lambda t: len(wanted.intersection(combinations(t, most)))))
+        wanted -= set(combinations(out[-1], most))
+    return out
+
+
+def tally(differing: np.ndarray) -> np.ndarray:
+    """Shared positional bytes of pairs of fingerprints, from their differing bits."""
+    return (differing.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
+
+
 def _near(run: np.ndarray, most: int) -> list[np.ndarray]:
-    """(member, partner) of a long posting list: all members linked to some other, as a forest."""
-    differing = np.bitwise_or.reduce(run ^ run[0])
-    spots = [p for p in range(8) if (int(differing) >> (8 * p)) & 255]
-    free = np.zeros(len(run), dtype=np.int64)
-    for k, p in enumerate(spots):
-        free |= (((run >> np.uint64(8 * p)) & np.uint64(255)) << np.uint64(8 * k)).astype(np.int64)
-    at = np.full(1 << (8 * max(len(spots), 1)), -1, dtype=np.int64)
-    at[free] = np.arange(len(run))
-    bits = range(8 * len(spots))
-    flips = [sum(1 << b for b in c) for n in range(1, most + 1) for c in combinations(bits, n)]
+    """(member, partner) of a long posting list: all members linked to some other, as a forest.
+
+    A neighbour within ``most`` bits has the guaranteed number of bytes in common by itself.
+    """
+    run = np.sort(run)
+    differing = int(np.bitwise_or.reduce(run ^ run[0]))
+    bits = [1 << b for b in range(64) if (differing >> b) & 1]
+    flips = [sum(c) for n in range(1, most + 1) for c in combinations(bits, n)]
     label = np.arange(len(run))
     while True:
         before = label.copy()
         for flip in flips:
-            other = at[free ^ flip]
-            linked = other >= 0
-            label[linked] = np.minimum(label[linked], label[other[linked]])
+            other = run ^ np.uint64(flip)
+            at = np.minimum(np.searchsorted(run, other), len(run) - 1)
+            linked = run[at] == other
+            label[linked] = np.minimum(label[linked], label[at[linked]])
         label = label[label]
         if (label == before).all():
             moved = label != np.arange(len(run))
@@ -95,7 +111,7 @@ def links(prints: DataFrame, most: int = 2) -> DataFrame:
     """(a, b): links between different fingerprints ``fp`` that connect all pairs within ``most`` bits."""
     if most not in (1, 2):
         raise ValueError("one or two differing bits")
-    masks = [sum(255 << (8 * p) for p in kept) for kept in combinations(range(8), 8 - most)]
+    masks = [sum(255 << (8 * p) for p in range(8) if p not in free) for free in triples(most)]
     signed = [int(np.uint64(m).view(np.int64)) for m in masks]
     choice = np.array(masks, dtype=np.uint64)
 
@@ -122,8 +138,9 @@ def links(prints: DataFrame, most: int = 2) -> DataFrame:
             for lag in range(1, int(min(sizes.max(initial=0), SHORT))):
                 a = np.flatnonzero(short & (room > lag))
                 x = fp[a] ^ fp[a + lag]
-                shared = (x.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)  # the tally of the pair
-                near = (shared >= 8 - most) & (np.bitwise_count(x) <= most)
+                enough = tally(x) >= 8 - most
+                a, x = a[enough], x[enough]
+                near = np.bitwise_count(x) <= most
                 found.append([fp[a[near]], fp[a[near] + lag]])
             found += [_near(fp[s:s + n], most) for s, n in zip(starts[sizes > SHORT], sizes[sizes > SHORT])]
             if found:
