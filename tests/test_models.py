@@ -288,3 +288,14 @@ def test_all_series_get_a_model(spark, seasonal):
     model = LocalModel(top_n=None).fit(seasonal)
     assert model.table.where("error is null").count() == 6
     assert model.predict(seasonal).where("y_pred = 0").count() == 0
+
+
+def test_blocks_are_dealt_over_the_cores(spark, table, monkeypatch):
+    """A table in one partition is not grown on by one task."""
+    parts, level = set(), trees._level
+    monkeypatch.setattr(trees, "_level", lambda *a: (parts.add(getattr(a[0], "rdd", a[0]).getNumPartitions()), level(*a))[1])
+    columns = [F.col("week").cast("double"), F.col("shop").cast("double")]
+    edges = trees.edges_of(table, columns)
+    models = [trees.grow(trees.blocks(df, columns, edges, 100), edges, [trees.Fit(0, 10 ** 6)], 2, 2, 1.0, 1.0, 1.0, 1)[0] for df in (table.coalesce(1), table.repartition(3))]
+    assert parts == {4}
+    assert all((a.feature == b.feature).all() and np.allclose(a.value, b.value) for a, b in zip(*(m.trees for m in models)))
