@@ -299,3 +299,30 @@ def test_blocks_are_dealt_over_the_cores(spark, table, monkeypatch):
     models = [trees.grow(trees.blocks(df, columns, edges, 100), edges, [trees.Fit(0, 10 ** 6)], 2, 2, 1.0, 1.0, 1.0, 1)[0] for df in (table.coalesce(1), table.repartition(3))]
     assert parts == {4}
     assert all((a.feature == b.feature).all() and np.allclose(a.value, b.value) for a, b in zip(*(m.trees for m in models)))
+
+
+def test_short_series_are_solved_where_their_rows_meet(spark, seasonal):
+    """Only series of several parts send sums on; both ways give the same model."""
+    long = seasonal.where("Store = 1").withColumn("Date", F.date_add("Date", F.when(F.col("Date") < "2021-06-01", -3650).otherwise(0)))
+    early = seasonal.where("Store = 3").withColumn("Date", F.date_sub("Date", 7500))  # 1999 to 2002: no fixed date cuts it
+    both = long.unionByName(seasonal.where("Store = 2")).unionByName(early)
+    p = AdditiveParams(changepoints=3, year_order=2, holidays=False)
+    day = F.unix_date("Date")
+    frames = both.groupBy("Store", "Dept").agg(F.array(F.struct(F.lit(0).alias("fold"), F.min(day).alias("first"), (F.max(day) - F.min(day)).alias("span"),
+                                                                 F.max("Weekly_Sales").alias("scale"))).alias("frames"))
+    rows = both.join(frames, ["Store", "Dept"]).select("Store", "Dept", day.alias("day"), F.col("Weekly_Sales").alias("y"), "frames")
+    met = additive.solved_or_sums(rows, p, {}, [(0, 10 ** 6)]).collect()
+    assert {r.Store for r in met if r.xx is not None} == {1} and {r.Store for r in met if r.beta is not None} == {2, 3}
+    assert sum(r.n for r in met) == both.count()
+    table = LocalModel(p, top_n=None).fit(both).table.collect()
+    assert len(table) == 6 and all(r.error is None and r.points == 156 for r in table)
+    sums = {(r.Store, r.Dept): r for r in partial_sums(rows.where("Store > 1"), p, {}, [(0, 10 ** 6)]).collect()}
+    scale = p.prior()
+    laplace = (np.arange(len(scale)) >= 2) & (np.arange(len(scale)) < 5)
+    for r in table:
+        if r.Store > 1:
+            s = sums[r.Store, r.Dept]
+            xx = np.zeros((len(scale),) * 2)
+            xx[np.triu_indices(len(scale))] = s.xx
+            beta, sigma = solve_mode(xx + np.triu(xx, 1).T, np.array(s.xy), s.yy, s.n, scale, laplace)
+            assert np.allclose(beta, r.beta, rtol=1e-3, atol=1e-4) and sigma == pytest.approx(r.sigma, rel=1e-3)

@@ -17,7 +17,7 @@ from __future__ import annotations
 import datetime
 import math
 import operator
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from functools import reduce
 from statistics import NormalDist
@@ -102,8 +102,11 @@ def _with_holidays(df: DataFrame, p: AdditiveParams, dates: DataFrame) -> DataFr
 
 #: Days of a part of a series: the rows that one partial sum stands for are bounded by it.
 PART_DAYS = 3650
+#: Series solved at once.
+STACK = 64
 _EPOCH = datetime.date(1970, 1, 1).toordinal()
 _SUMS = "fold int, Store bigint, Dept bigint, xx array<double>, xy array<double>, yy double, n bigint"
+_SOLVED = "first int, span int, y_scale double, beta array<double>, sigma double, error string"
 
 
 def regressors(p: AdditiveParams, day: np.ndarray, first: np.ndarray, span: np.ndarray, holidays: dict[int, int]) -> np.ndarray:
@@ -120,25 +123,22 @@ def regressors(p: AdditiveParams, day: np.ndarray, first: np.ndarray, span: np.n
 
 
 def _sums(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, int]:
-    """Upper triangle of X'X, X'y, y'y and the row count."""
-    return (x.T @ x)[np.triu_indices(x.shape[1])], x.T @ y, float(y @ y), len(y)
+    """X'X, X'y, y'y and the row count."""
+    return x.T @ x, x.T @ y, float(y @ y), len(y)
 
 
-def partial_sums(rows: DataFrame, p: AdditiveParams, holidays: dict[int, int], ranges: Sequence[tuple[int, int]]) -> DataFrame:
-    """One row of sums for each fold and part of a series.
+def _part_sums(rows: DataFrame, p: AdditiveParams, holidays: dict[int, int], ranges: Sequence[tuple[int, int]], schema: str, given: Callable[..., list]) -> DataFrame:
+    """Adds up the rows of each fold and part of a series where they meet; ``given`` makes the
+    columns of ``schema`` from the keys (Store, Dept, part, fold), the sums and the frames (first, span, scale, first of all folds)."""
+    names, kinds = [c.split()[0] for c in schema.split(", ")], [_KINDS[c.split()[1]] for c in schema.split(", ")]
 
-    ``rows`` has Store, Dept, day, y and frames: (fold, first, span, scale) of the folds
-    that the series has a model in. Only these reach the shuffle; the regressors are made
-    where the rows of a part meet, one part after another.
-    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, tuple] = {}
+        framed: dict[tuple, tuple] = {}
 
-        def given(sums: dict[tuple, tuple]) -> pa.RecordBatch:
-            cols = list(zip(*((fold, store, dept, *v) for (store, dept, _, fold), v in sums.items()))) or [()] * 7
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array([v.tolist() for v in c] if 3 <= k <= 4 else c, t) for k, (c, t) in enumerate(zip(cols, kinds))],
-                                              names=["fold", "Store", "Dept", "xx", "xy", "yy", "n"])
+        def out(keys: list[tuple]) -> pa.RecordBatch:
+            cols = given(keys, [held.pop(k) for k in keys], [framed.pop(k) for k in keys]) if keys else [[]] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
 
         for b in batches:
             if not len(b):
@@ -148,27 +148,65 @@ def partial_sums(rows: DataFrame, p: AdditiveParams, holidays: dict[int, int], r
             sizes = np.diff(frames.offsets.to_numpy())
             row = np.repeat(np.arange(len(b)), sizes)
             fold, first, span, scale = (c.to_numpy(zero_copy_only=False) for c in frames.flatten().flatten())
+            base = np.repeat(np.minimum.reduceat(first, frames.offsets.to_numpy()[:-1] - frames.offsets[0].as_py()), sizes)
             bounds = np.array(ranges)[fold]
             inside = (day[row] >= bounds[:, 0]) & (day[row] <= bounds[:, 1])
-            row, fold, first, span, scale = row[inside], fold[inside], first[inside], span[inside], scale[inside]
+            row, fold, first, span, scale, base = row[inside], fold[inside], first[inside], span[inside], scale[inside], base[inside]
             order = np.lexsort((fold, part[row], dept[row], store[row]))
-            row, fold, first, span, scale = row[order], fold[order], first[order], span[order], scale[order]
+            row, fold, first, span, scale, base = row[order], fold[order], first[order], span[order], scale[order], base[order]
             keys = np.stack([store[row], dept[row], part[row], fold], axis=1)
             cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(row)] if len(row) else [0]
             x, v = regressors(p, day[row], first, span, holidays), y[row] / scale
             for at, end in zip(cuts, cuts[1:]):
                 key, sums = tuple(keys[at].tolist()), _sums(x[at:end], v[at:end])
                 held[key] = tuple(map(operator.add, held[key], sums)) if key in held else sums
+                framed[key] = (int(first[at]), int(span[at]), float(scale[at]), int(base[at]))
             last = (int(store[-1]), int(dept[-1]), int(part[-1]))  # the next rows may go on with it
-            done = {k: v for k, v in held.items() if k[:3] != last}
+            done = [k for k in held if k[:3] != last]
             if done:
-                held = {k: v for k, v in held.items() if k[:3] == last}
-                yield given(done)
-        yield given(held)
+                yield out(done)
+        yield out(list(held))
 
     keys = [*SERIES, "part"]
-    parted = rows.select(*SERIES, F.floor(F.col("day") / PART_DAYS).alias("part"), "day", "y", "frames")
-    return parted.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, _SUMS)
+    base = F.array_min(F.col("frames")["first"])  # parts are counted from a series' own first day, so ten years are never cut
+    parted = rows.where(F.size("frames") > 0).select(*SERIES, F.floor((F.col("day") - base) / PART_DAYS).alias("part"), "day", "y", "frames")
+    return parted.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+_KINDS = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "array<double>": pa.list_(pa.float64()), "string": pa.string()}
+
+
+def _listed(keys: list[tuple], sums: list[tuple]) -> list:
+    upper = np.triu_indices(len(sums[0][1]))
+    store, dept, _, fold = zip(*keys)
+    xx, xy, yy, n = zip(*sums)
+    return [fold, store, dept, [a[upper] for a in xx], xy, yy, n]
+
+
+def partial_sums(rows: DataFrame, p: AdditiveParams, holidays: dict[int, int], ranges: Sequence[tuple[int, int]]) -> DataFrame:
+    """One row of sums for each fold and part of a series, with the upper triangle of X'X.
+
+    ``rows`` has Store, Dept, day, y and frames: (fold, first, span, scale) of the folds
+    that the series has a model in. Only these reach the shuffle; the regressors are made
+    where the rows of a part meet, one part after another.
+    """
+    return _part_sums(rows, p, holidays, ranges, _SUMS, lambda keys, sums, _: _listed(keys, sums))
+
+
+def solved_or_sums(rows: DataFrame, p: AdditiveParams, holidays: dict[int, int], ranges: Sequence[tuple[int, int]]) -> DataFrame:
+    """As ``partial_sums``, but a fold's series that lies in one part is solved where its rows
+    met: its sums stay there, and its row has the coefficients (or the error) instead."""
+    solve = _solver(p)
+
+    def given(keys: list[tuple], sums: list[tuple], frames: list[tuple]) -> list:
+        whole = [k for k, (first, span, _, base) in enumerate(frames) if (first - base) // PART_DAYS == (first + span - base) // PART_DAYS]
+        found = dict(zip(whole, solve([sums[k] for k in whole])))
+        cols = _listed(keys, sums)
+        for c in (3, 4):
+            cols[c] = [None if k in found else v for k, v in enumerate(cols[c])]
+        return [*cols, *list(zip(*frames))[:3], *zip(*(found.get(k, (None, None, None)) for k in range(len(keys))))]
+
+    return _part_sums(rows, p, holidays, ranges, f"{_SUMS}, {_SOLVED}", given)
 
 
 def solve_mode(xx: np.ndarray, xy: np.ndarray, yy: float, n: int, scale: np.ndarray, laplace: np.ndarray,
@@ -178,44 +216,79 @@ def solve_mode(xx: np.ndarray, xy: np.ndarray, yy: float, n: int, scale: np.ndar
     The Laplace prior is treated as a normal one whose variance follows the current
     coefficient (a majorising step), the noise as the residual mean square.
     """
-    sigma2, spread = max(yy / max(n, 1), 1e-8), scale ** 2
-    beta = np.zeros(len(xy))
+    beta, sigma = solve_modes(xx[None], xy[None], np.array([yy]), np.array([n]), scale, laplace, rounds)
+    return beta[0], float(sigma[0])
+
+
+def solve_modes(xx: np.ndarray, xy: np.ndarray, yy: np.ndarray, n: np.ndarray, scale: np.ndarray, laplace: np.ndarray,
+                rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
+    """``solve_mode`` for a stack of series; each leaves the stack when it has converged."""
+    out, sigma = np.zeros(xy.shape), np.zeros(len(xy))
+    seen = np.diagonal(xx, axis1=1, axis2=2).any(axis=0)  # a regressor that is 0 in all rows keeps its prior's mode, which is 0
+    xx, xy, scale, laplace = xx[:, seen][:, :, seen], xy[:, seen], scale[seen], laplace[seen]
+    left, beta, width = np.arange(len(xy)), np.zeros(xy.shape), len(scale)
+    sigma2, spread = np.maximum(yy / np.maximum(n, 1), 1e-8), np.broadcast_to(scale ** 2, xy.shape)
     for _ in range(rounds):
-        new = np.linalg.solve(xx / sigma2 + np.diag(1 / spread), xy / sigma2)
-        residual = max(yy - 2 * new @ xy + new @ xx @ new, 0.0)
-        sigma2 = max(residual / n, 1e-10)
+        a = xx / sigma2[:, None, None]
+        a[:, range(width), range(width)] += 1 / spread
+        new = np.linalg.solve(a, (xy / sigma2[:, None])[:, :, None])[:, :, 0]
+        fitted = (xx @ new[:, :, None])[:, :, 0]
+        residual = np.maximum(yy - 2 * (new * xy).sum(axis=1) + (new * fitted).sum(axis=1), 0.0)
+        sigma2 = np.maximum(residual / n, 1e-10)
         spread = np.where(laplace, np.maximum(scale * np.abs(new), 1e-8), scale ** 2)
-        if np.max(np.abs(new - beta)) < 1e-9:
-            beta = new
-            break
+        more = ~(np.abs(new - beta).max(axis=1, initial=0.0) < 1e-9)
         beta = new
-    return beta, math.sqrt(sigma2)
+        sigma[left] = np.sqrt(sigma2)
+        out[left[:, None], np.flatnonzero(seen)] = beta
+        if not more.any():
+            break
+        if not more.all():
+            left, xx, xy, yy, n, beta, sigma2, spread = (v[more] for v in (left, xx, xy, yy, n, beta, sigma2, spread))
+    return out, sigma
 
 
-def _fit_series(p: AdditiveParams):
-    """Adds up a series' partial sums, one row per task, and solves; a series that
-    fails keeps its error instead."""
+def _solver(p: AdditiveParams) -> Callable[[list[tuple]], list[tuple]]:
+    """(coefficients, deviation, error) for each of some series' sums; a series that fails keeps its error instead."""
     scale = p.prior()
     laplace = np.zeros(len(scale), dtype=bool)
     laplace[2:2 + p.changepoints] = True
-    width = len(scale)
+
+    def stacked(sums: list[tuple]) -> list[tuple]:
+        xx, xy, yy, n = (np.array(c) for c in zip(*sums))
+        beta, sigma = solve_modes(xx, xy, yy, n, scale, laplace)
+        return [(b, s, None) if np.all(np.isfinite(b)) else (None, None, "coefficients are not finite") for b, s in zip(beta, sigma.tolist())]
+
+    def solve(sums: list[tuple]) -> list[tuple]:
+        out: list[tuple] = []
+        for at in range(0, len(sums), STACK):
+            some = sums[at:at + STACK]
+            try:
+                out += stacked(some)
+            except Exception:  # one bad series must not stop the others
+                for each in some:
+                    try:
+                        out += stacked([each])
+                    except Exception as problem:
+                        out.append((None, None, str(problem)))
+        return out
+
+    return solve
+
+
+def _fit_series(p: AdditiveParams):
+    """Adds up a series' partial sums, one row per task, and solves."""
+    solve, width = _solver(p), len(p.prior())
 
     def fit(parts: pd.DataFrame) -> pd.DataFrame:
-        beta, sigma, error = None, None, None
         n = int(parts["n"].sum())
-        try:
-            xx = np.zeros((width, width))
-            xx[np.triu_indices(width)] = np.sum(np.stack(parts["xx"].to_numpy()), axis=0)
-            xx += np.triu(xx, 1).T
-            xy = np.sum(np.stack(parts["xy"].to_numpy()), axis=0)
-            beta, sigma = solve_mode(xx, xy, float(parts["yy"].sum()), n, scale, laplace)
-            if not np.all(np.isfinite(beta)):
-                raise ValueError("coefficients are not finite")
-        except Exception as problem:  # one bad series must not stop the others
-            beta, sigma, error = None, None, str(problem)
+        xx = np.zeros((width, width))
+        xx[np.triu_indices(width)] = np.sum(np.stack(parts["xx"].to_numpy()), axis=0)
+        xx += np.triu(xx, 1).T
+        xy = np.sum(np.stack(parts["xy"].to_numpy()), axis=0)
+        beta, sigma, error = solve([(xx, xy, float(parts["yy"].sum()), n)])[0]
         head = parts.iloc[0]
-        return pd.DataFrame({"fold": [head.fold], "Store": [head.Store], "Dept": [head.Dept], "beta": [beta], "sigma": [sigma],
-                             "n": [n], "error": [error]})
+        return pd.DataFrame({"fold": [head.fold], "Store": [head.Store], "Dept": [head.Dept], "n": [n], "first": [head["first"]], "span": [head.span],
+                             "y_scale": [head.y_scale], "beta": [beta], "sigma": [sigma], "error": [error]})
 
     return fit
 
@@ -262,11 +335,13 @@ class LocalModel:
             found = holidays_of(train).select("Date", F.regexp_replace("holiday_name", r" \(observed\)$", "").alias("name")).collect()
             named = {r["Date"].toordinal() - _EPOCH: HOLIDAY_NAMES.index(r["name"]) for r in found if r["name"] in HOLIDAY_NAMES}
         packed = frames.groupBy(*SERIES).agg(F.collect_list(F.struct("fold", "first", "span", F.col("y_scale").alias("scale"))).alias("frames"))
-        sums = partial_sums(rows.where("y is not null and day is not null").join(packed, list(SERIES)), p, named, ranges)
-        fitted = sums.groupBy("fold", *SERIES).applyInPandas(
-            _fit_series(p), "fold int, Store bigint, Dept bigint, beta array<double>, sigma double, n bigint, error string")
-        table = materialise(frames.join(fitted, ["fold", *SERIES]).select(
-            "fold", *[F.col(c).cast("bigint") for c in SERIES], F.date_from_unix_date("first").alias("first_date"), "span", "y_scale", "beta", "sigma",
+        # written once: short series are solved, only series of several parts have sums that must meet
+        met = materialise(solved_or_sums(rows.where("y is not null and day is not null").join(packed, list(SERIES)), p, named, ranges), "met")
+        kinds = f"fold int, Store bigint, Dept bigint, n bigint, {_SOLVED}"
+        fitted = met.where("xx is null").drop("xx", "xy", "yy").unionByName(
+            met.where("xx is not null").groupBy("fold", *SERIES).applyInPandas(_fit_series(p), kinds))
+        table = materialise(fitted.select(
+            "fold", *SERIES, F.date_from_unix_date("first").alias("first_date"), "span", "y_scale", "beta", "sigma",
             F.col("n").alias("points"), "error"), self.name)
         return [replace(self, table=table.where(F.col("fold") == k).drop("fold")) for k in range(len(ranges))]
 
