@@ -443,3 +443,17 @@ def test_pipeline(spark):
     assert report.models_evaluated == 4 and report.total_folds == 4
     stages.export_dashboard(table, preds, out)
     assert spark.read.option("header", True).csv(f"{out}/store_risk").count() == table.select(*sc.SERIES).distinct().count()
+
+
+def test_departments_do_not_decide_the_parts(spark, panel):
+    """The panel is dealt by series, not gathered by department, and its parts follow its rows."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        banded = features.seasonal_index(features.dept_encoding(panel.withColumn("month", F.month("Date"))), "month", "index")
+        plan = banded._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning(Store") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert layout.dealt(panel, 936, size=50).rdd.getNumPartitions() == 19
+    assert layout.dealt(panel, 936) is panel

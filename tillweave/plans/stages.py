@@ -17,7 +17,7 @@ from ..operators import backtest as bt
 from ..operators import cleaning, compare, exports, features, quality, relational
 from ..operators.relational import canonical_sort
 from ..session import materialise
-from ..sources import files
+from ..sources import files, layout
 
 
 def prepare(sales: DataFrame, covariates: DataFrame, stores: DataFrame, out: str) -> DataFrame:
@@ -31,7 +31,8 @@ def prepare(sales: DataFrame, covariates: DataFrame, stores: DataFrame, out: str
     files.write_parquet(exports.store_dept_mapping(merged), f"{out}/mapping")
     cleaned = cleaning.clean_panel(sales, covariates, stores, stage=partial(materialise, name="days"))
     files.write_parquet(cleaned, f"{out}/cleaned")
-    table = features.build_features(files.read_parquet(spark, f"{out}/cleaned"))
+    written = files.read_parquet(spark, f"{out}/cleaned")
+    table = features.build_features(layout.dealt(written, written.count()))
     files.write_parquet(canonical_sort(table), f"{out}/features")
     done = files.read_parquet(spark, f"{out}/features")
     files.write_json(exports.data_summary(done), f"{out}/summary")
