@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.sql import functions as F
 
 from tillweave.models.additive import AdditiveParams, LocalModel, partial_sums, regressors, solve_mode
@@ -326,3 +327,25 @@ def test_short_series_are_solved_where_their_rows_meet(spark, seasonal):
             xx[np.triu_indices(len(scale))] = s.xx
             beta, sigma = solve_mode(xx + np.triu(xx, 1).T, np.array(s.xy), s.yy, s.n, scale, laplace)
             assert np.allclose(beta, r.beta, rtol=1e-3, atol=1e-4) and sigma == pytest.approx(r.sigma, rel=1e-3)
+
+
+def test_short_levels_are_one_stage(spark, monkeypatch):
+    """Small sums need no shuffle; the trees are the same as from sums that met in tasks."""
+    table = spark.range(600).selectExpr("1L as Store", "id % 2 as Dept", "date_add(date'2020-01-01', cast(id as int)) as Date",
+                                        "cast((id * 37) % 101 as double) as Weekly_Sales", "cast((id * 37) % 10 as double) as a")
+    columns = [F.col("a")]
+    edges = trees.edges_of(table, columns)
+    blocks = trees.blocks(table, columns, edges, 100)
+    shuffled = []
+    plain = RDD.repartitionAndSortWithinPartitions
+    monkeypatch.setattr(RDD, "repartitionAndSortWithinPartitions", lambda self, *a: (shuffled.append(1), plain(self, *a))[1])
+
+    def grown():
+        return trees.grow(blocks, edges, [trees.Fit(0, 10 ** 6), trees.Fit(0, 18300)], 2, 2, 1.0, 1.0, 1.0, 1)
+
+    near = grown()
+    assert not shuffled
+    monkeypatch.setattr(trees, "NEAR", 0)
+    for a, b in zip(near, grown()):
+        assert all((x.feature == y.feature).all() and (x.value == y.value).all() for x, y in zip(a.trees, b.trees))
+    assert len(shuffled) == 4
