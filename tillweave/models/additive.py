@@ -451,7 +451,7 @@ class LocalModel:
 
 def series_info(df: DataFrame, top_n: int = 50, min_points: int = 10, by: Sequence[str] = SERIES) -> DataFrame:
     """Points, dates and revenue of each series that a local model is fitted to."""
-    return restrict_to_series(df, top_series(df, top_n), min_points).groupBy(*by).agg(
+    return restrict_to_series(df, top_series(df, top_n), min_points, few=True).groupBy(*by).agg(
         F.count(F.lit(1)).alias("data_points"), F.min(DATE).alias("first_date"), F.max(DATE).alias("last_date"),
         F.sum(TARGET).alias("total_revenue"))
 
