@@ -15,7 +15,7 @@ from tillweave.functions.windows import in_blocks
 from tillweave.operators import backtest, calendar, cleaning, compare, exports, features, quality, relational, scoring, splits
 from tillweave.plans import stages
 from tillweave.session import scratch_path, shared_dir
-from tillweave.sources import files, layout
+from tillweave.sources import files, layout, starschema
 
 
 def rows(df, *order):
@@ -457,3 +457,35 @@ def test_departments_do_not_decide_the_parts(spark, panel):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     assert layout.dealt(panel, 936, size=50).rdd.getNumPartitions() == 19
     assert layout.dealt(panel, 936) is panel
+
+
+def test_parts_of_the_derived_tables_follow_the_lines(spark, monkeypatch):
+    """No task of the derivation holds more than some ``LINES`` line items; the tables stay the same."""
+    root = "/root/testdata/sf0.001"
+    plain = [rows(starschema.sales(spark, root)), rows(starschema.features(spark, root))]
+    monkeypatch.setattr(starschema, "LINES", 500)
+    derived = [starschema.sales(spark, root), starschema.features(spark, root)]
+    assert [rows(df) for df in derived] == plain
+    for df in derived:
+        assert "REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quartiles_of_calendar_columns_come_from_dates(spark, monkeypatch):
+    from tillweave.catalog.tables import tables
+    t, read, bounds = tables(spark, "/root/testdata/sf0.001"), {}, cleaning.outlier_bounds
+    monkeypatch.setattr(cleaning, "outlier_bounds", lambda df, cols, *a, **how: (read.update({c: df.count() for c in cols}), bounds(df, cols, *a, **how))[1])
+    cleaning.clean_panel(t.sales, t.features, t.stores)
+    assert read["month"] == read["week_sin"] == t.sales.select("Date").distinct().count() < read["Temperature"]
+
+
+def test_few_series_shuffle_no_other_rows(spark, panel):
+    few = relational.restrict_to_series(panel, relational.top_series(panel, 2), few=True)
+    assert "SortMergeJoin" not in few._jdf.queryExecution().executedPlan().toString()
+    assert rows(few) == rows(relational.restrict_to_series(panel, relational.top_series(panel, 2))) and few.count() == 312
+
+
+def test_quality_report_in_parts(spark, panel, monkeypatch):
+    monkeypatch.setattr(quality, "COUNTED", 50)
+    tables = panel, panel.select("Store", "Date").distinct(), panel.select("Store").distinct()
+    whole, parts = quality.quality_report(*tables), quality.quality_report(*tables, {"sales": 936, "features": 468})
+    assert rows(whole) == rows(parts) and "REPARTITION_BY_NUM" in parts._jdf.queryExecution().executedPlan().toString()
