@@ -349,3 +349,50 @@ def test_short_levels_are_one_stage(spark, monkeypatch):
     for a, b in zip(near, grown()):
         assert all((x.feature == y.feature).all() and (x.value == y.value).all() for x, y in zip(a.trees, b.trees))
     assert len(shuffled) == 4
+
+
+def test_features_are_counted_together():
+    """Joint counts give each feature's own; 60 features of few bins need far fewer than 60 of them."""
+    sizes = [32, 3, 2, 32, 5, 1] * 10
+    groups = trees._together(range(60), sizes)
+    assert sorted(i for g in groups for i in g) == list(range(60)) and len(groups) <= 20
+    assert all(np.prod([sizes[i] for i in g]) <= trees.CELLS for g in groups)
+    rng = np.random.default_rng(1)
+    node, x = rng.integers(0, 3, 500), [rng.integers(0, n, 500) for n in (4, 3, 2)]
+    joint = np.bincount(node * 24 + (x[0] * 3 + x[1]) * 2 + x[2], minlength=72)
+    for n, own, got in zip((4, 3, 2), x, trees._each(joint, (4, 3, 2))):
+        assert (got == np.bincount(node * n + own, minlength=3 * n).reshape(3, n)).all()
+
+
+def test_leaves_follow_the_splits():
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 8, (5, 400)).astype(np.uint8)
+    for depth in (0, 1, 4, 7, 8):  # nodes of a byte, and of more
+        tree = trees.Tree.empty(depth)
+        inner = (1 << depth) - 1
+        tree.feature[:inner], tree.bin[:inner] = rng.integers(-1, 5, inner), rng.integers(0, 7, inner)
+        for row, leaf in zip(x.T, tree.leaves(x, depth).tolist()):
+            at = 0
+            for _ in range(depth):
+                if tree.feature[at] >= 0:
+                    at = 2 * at + 1 + int(row[tree.feature[at]] > tree.bin[at])
+            assert leaf == at
+
+
+def test_sums_are_kept_every_other_round(spark, table, monkeypatch):
+    """Pending rounds give the same trees as sums written anew in every round."""
+    added, add = [], trees._add
+    monkeypatch.setattr(trees, "_add", lambda *a: (added.append(1), add(*a))[1])
+    columns = [F.col("week").cast("double"), F.col("shop").cast("double"), F.col("day").cast("double")]
+    edges = trees.edges_of(table, columns)
+    blocks = trees.blocks(table, columns, edges, 100)
+
+    def grown():
+        return trees.grow(blocks, edges, [trees.Fit(0, 18400, 18401, 10 ** 6)], 5, 3, 0.5, 0.8, 0.7, 1, 10)[0]
+
+    some = grown()
+    assert len(added) < 5
+    monkeypatch.setattr(trees, "KEPT", 1)
+    every = grown()
+    assert some.history == every.history
+    assert all((a.feature == b.feature).all() and (a.value == b.value).all() for a, b in zip(some.trees, every.trees))
