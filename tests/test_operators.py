@@ -489,3 +489,15 @@ def test_quality_report_in_parts(spark, panel, monkeypatch):
     tables = panel, panel.select("Store", "Date").distinct(), panel.select("Store").distinct()
     whole, parts = quality.quality_report(*tables), quality.quality_report(*tables, {"sales": 936, "features": 468})
     assert rows(whole) == rows(parts) and "REPARTITION_BY_NUM" in parts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_queries_over_sales_derive_nothing_else(spark, monkeypatch):
+    from tillweave.catalog.tables import Tables
+    from tillweave.sources import starschema
+
+    made = []
+    for name in ("sales", "features", "stores"):
+        monkeypatch.setattr(starschema, name, lambda s, root, name=name, make=getattr(starschema, name): (made.append(name), make(s, root))[1])
+    t = Tables(spark, "/root/testdata/sf0.001")
+    assert t.sales.count() == t.sales.count() > 0 and made == ["sales"]
+    assert t.features is t.features and t.stores.columns == ["Store", "Type", "Size"] and made == ["sales", "features", "stores"]
