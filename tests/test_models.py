@@ -396,3 +396,18 @@ def test_sums_are_kept_every_other_round(spark, table, monkeypatch):
     every = grown()
     assert some.history == every.history
     assert all((a.feature == b.feature).all() and (a.value == b.value).all() for a, b in zip(some.trees, every.trees))
+
+
+def test_bounds_of_bins_are_quantiles(spark, monkeypatch):
+    """Exact for few values, however they are dealt out; near for many; nulls and empty tables have none."""
+    monkeypatch.setattr(trees, "SORTED", 500)
+    df = spark.range(8000).repartition(3).selectExpr("cast(pow(id % 7, 2) as double) as few", "cast(id * 7919 % 8000 as double) as many",
+                                                     "cast(if(id % 2 = 0, id % 3, null) as double) as gaps", "cast(null as double) as none")
+    columns = [F.col(c) for c in df.columns]
+    few, many, gaps, none = trees.edges_of(df, columns)
+    own = np.sort((np.arange(8000) % 7) ** 2)
+    assert few == sorted({float(own[-(-k * 8000 // 32) - 1]) for k in range(1, 32)})
+    assert len(many) == 31 and np.abs(np.array(many) - 250 * np.arange(1, 32)).max() <= 16
+    assert gaps == [0.0, 1.0, 2.0] and none == [] and trees.edges_of(df.where("few < 0"), columns) == [[]] * 4
+    values, rows = trees._counted(np.arange(5000.0), 1000)
+    assert len(values) == 1000 and rows.sum() == 5000 and values[-1] == 4999
