@@ -364,6 +364,31 @@ def test_features_are_counted_together():
         assert (got == np.bincount(node * n + own, minlength=3 * n).reshape(3, n)).all()
 
 
+def test_only_the_smaller_sibling_is_counted(spark, table, monkeypatch):
+    """The larger one is what remains of the parent; the trees are those of counting both. Bins of a block travel packed."""
+    columns = [F.col("week").cast("double"), F.col("shop").cast("double"), F.col("day").cast("double")]
+    edges = trees.edges_of(table, columns)
+    blocks = trees.blocks(table, columns, edges, 100)
+    counted, collect = [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda self: (got := collect(self), counted.append({part[0][:2] for part in got if isinstance(part[0], tuple)}))[0])
+
+    def grown(paired):
+        monkeypatch.setattr(trees, "PAIRED", paired)
+        counted.clear()
+        models = trees.grow(blocks, edges, [trees.Fit(0, 10 ** 6), trees.Fit(0, 18400, 18401, 10 ** 6)], 3, 4, 0.5, 0.8, 0.7, 1, 10)
+        return models, sum(len({of for of in keys if of[1] >= 0}) for keys in counted)
+
+    (some, few), (every, all_) = grown(1), grown(10 ** 9)
+    assert few < 0.7 * all_
+    for a, b in zip(some, every):
+        assert all((x.feature == y.feature).all() and (x.bin == y.bin).all() and (x.rows == y.rows).all() and np.allclose(x.value, y.value)
+                   for x, y in zip(a.trees, b.trees))
+        assert np.allclose(a.history, b.history)
+    block = blocks.first()
+    packed = collect(trees._state(blocks))
+    assert sum(len(row[2]) for row in packed) < sum(len(r.x) for r in blocks.collect()) and len(block.x) == 3 * block.n
+
+
 def test_leaves_follow_the_splits():
     rng = np.random.default_rng(2)
     x = rng.integers(0, 8, (5, 400)).astype(np.uint8)

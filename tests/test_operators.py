@@ -501,3 +501,17 @@ def test_queries_over_sales_derive_nothing_else(spark, monkeypatch):
     t = Tables(spark, "/root/testdata/sf0.001")
     assert t.sales.count() == t.sales.count() > 0 and made == ["sales"]
     assert t.features is t.features and t.stores.columns == ["Store", "Type", "Size"] and made == ["sales", "features", "stores"]
+
+
+def test_shares_of_a_sketch_are_one_constant(spark):
+    """All shares, to the last bit, from one literal; the quantiles of many values stay exact."""
+    from tillweave.functions import quantiles
+
+    assert spark.range(1).select(quantiles._shares().alias("s")).first().s == [g / 200 for g in range(201)]
+    df = spark.range(60_000).selectExpr("cast(id * 7919 % 60000 as double) as v", "1 + id % 3 as n")
+    values = sorted((float(r.v), r.n) for r in df.collect())
+    whole = [v for v, n in values for _ in range(n)]
+    for q, got in zip((0.25, 0.75), quantiles.exact_quantiles(df, ["v"], (0.25, 0.75), "n")["v"]):
+        at = q * (len(whole) - 1)
+        low = whole[int(at)]
+        assert abs(got - (low + (whole[int(at) + 1] - low) * (at - int(at)))) < 1e-9
