@@ -515,3 +515,28 @@ def test_shares_of_a_sketch_are_one_constant(spark):
         at = q * (len(whole) - 1)
         low = whole[int(at)]
         assert abs(got - (low + (whole[int(at) + 1] - low) * (at - int(at)))) < 1e-9
+
+
+def test_days_follow_the_rows_and_only_gaps_are_joined_back(spark, monkeypatch):
+    """Parts of the merged panel and of its days grow in number with the rows; filled values travel for days with a gap only."""
+    from tillweave.catalog import queries
+    from tillweave.catalog.tables import tables
+    from tillweave.operators import cleaning
+    from tillweave.sources import layout
+
+    df = spark.range(400).selectExpr("id % 4 as Store", "id % 2 as Dept", "date_add(date'2020-01-05', cast(7 * (id div 8) as int)) as Date",
+                                     "if(id div 8 % 5 = 0 and (id % 8 > 3 or id div 8 % 2 = 0), null, cast(id as double)) as Temperature")
+    gaps = df.where("Temperature is null").select("Store", "Date").distinct()
+    filled = cleaning.filled_gaps(df, both=["Temperature"], rows=400)
+    assert 0 < filled.count() == gaps.count() < df.select("Store", "Date").distinct().count()
+    assert filled.where("Temperature is null").count() == 0
+    plain = cleaning.fill_over_days(df, both=["Temperature"])
+    monkeypatch.setattr(cleaning, "JOINED", 50)
+    dealt = cleaning.fill_over_days(df, both=["Temperature"], rows=400)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, dealt.collect()))
+    parts = cleaning.filled_gaps(df, both=["Temperature"], rows=400)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in parts
+    root = "/root/testdata/sf0.001"
+    rows = tables(spark, root).sales.count()
+    monkeypatch.setattr(layout, "JOINED", 500)
+    assert queries.merged(spark, root).rdd.getNumPartitions() == -(-rows // 500) > 4
