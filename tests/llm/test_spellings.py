@@ -114,3 +114,12 @@ def test_rows(spark):
     got = {r["word"]: r["n"] for r in spellings.word_counts(docs, shortest=1, least=1).collect()}
     assert got == {"apple": 6, "aple": 3, "Àpple": 1}
     assert spellings.word_counts(docs.limit(0)).count() == 0
+
+
+def test_neighbours_are_not_broadcast_however_small_the_vocabulary_is_on_file(spark):
+    words = spark.createDataFrame([(a + b + c + "letters", 1 + k) for a in "abcd" for b in "efgh" for k, c in enumerate("ijkl")], "word string, n long")
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) > 0
+    for found in (spellings.near_pairs(words, Steps(spark)), spellings.variants(words)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        assert found.count()

@@ -13,7 +13,8 @@ a polynomial hash of the reduced form, which all edits of a word share prefixes
 two forms may have one key only costs a verification.
 
 Neighbours that no word of the vocabulary can have are left out where they are generated,
-by a bitmap of the vocabulary's keys that has the same size for every corpus.
+by a bitmap of the vocabulary's keys that has the same size for every corpus. All joins are
+sort-merge joins: written words are small on file and large in the driver's memory.
 """
 
 from __future__ import annotations
@@ -158,7 +159,8 @@ def near_pairs(vocabulary: DataFrame, steps: Steps, room: int = ROOM) -> DataFra
                     yield pa.RecordBatch.from_arrays([pa.array(key[there]), names.take(pa.array(word[there]))], names=["key", "word"])
 
     neighbours = vocabulary.select("word").mapInArrow(around, "key long, word string")
-    met = neighbours.join(keyed, "key").where("word != near and abs(length(word) - length(near)) <= 1")
+    # Spark sizes the neighbours by the vocabulary's file, though each word has hundreds: they must never be broadcast
+    met = neighbours.hint("merge").join(keyed.hint("merge"), "key").where("word != near and abs(length(word) - length(near)) <= 1")
     return met.where("levenshtein(word, near, 1) = 1").select("word", "near", "n")
 
 
@@ -193,15 +195,15 @@ def variants(vocabulary: DataFrame, room: int = ROOM, times: int = 2) -> DataFra
     pairs = near_pairs(words, steps, room)
     best = pairs.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("n")).alias("less"), F.col("near").alias("near"))).alias("best"))
     formed = F.col("best.less") <= -times * F.col("n")
-    known = steps.write(words.join(best, "word", "left").select(
+    known = steps.write(words.join(best.hint("merge"), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(formed, F.col("best.near")).alias("form"),
         F.when(formed, -F.col("best.less")).alias("form_n")), "forms")
     reached = steps.write(known.where("form is not null").select("word", F.col("form").alias("to")), "reached")
     while True:
-        step = reached.join(reached.select(F.col("word").alias("to"), F.col("to").alias("next")), "to", "left")
+        step = reached.join(reached.select(F.col("word").alias("to"), F.col("to").alias("next")).hint("merge"), "to", "left")
         new = steps.write(step.select("word", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")), "reached")
         more = new.where("moved").limit(1).count()
         reached = new.select("word", "to")
         if not more:
             break
-    return known.join(reached, "word", "left").select("word", "n", "n_near", "form", "form_n", F.coalesce("to", "word").alias("root"))
+    return known.join(reached.hint("merge"), "word", "left").select("word", "n", "n_near", "form", "form_n", F.coalesce("to", "word").alias("root"))
