@@ -1,5 +1,9 @@
 """Forecast models: recovered structure, bounds, persistence."""
 
+import os
+import pickle
+import shutil
+
 import numpy as np
 import pytest
 from pyspark import RDD
@@ -10,6 +14,7 @@ from tillweave.models import additive, boosted, trees
 from tillweave.models.boosted import BoostedParams, GlobalModel
 from tillweave.operators.backtest import backtest
 from tillweave.operators.calendar import HOLIDAY_NAMES
+from tillweave.operators.splits import expanding_bounds
 from tillweave.session import scratch_path
 from tillweave.sources import versions
 
@@ -436,3 +441,45 @@ def test_bounds_of_bins_are_quantiles(spark, monkeypatch):
     assert gaps == [0.0, 1.0, 2.0] and none == [] and trees.edges_of(df.where("few < 0"), columns) == [[]] * 4
     values, rows = trees._counted(np.arange(5000.0), 1000)
     assert len(values) == 1000 and rows.sum() == 5000 and values[-1] == 4999
+
+
+def test_blocks_whose_files_are_gone_are_laid_out_anew(spark, table, monkeypatch):
+    """A level moves names of files only; without the files the trees are the same, near and far, and no file stays behind."""
+    columns = [F.col("week").cast("double"), F.col("shop").cast("double"), F.col("day").cast("double")]
+    edges = trees.edges_of(table, columns)
+    blocks = trees.blocks(table, columns, edges, 100)
+
+    def grown():
+        return trees.grow(blocks, edges, [trees.Fit(0, 10 ** 6), trees.Fit(0, 18400, 18401, 10 ** 6)], 6, 3, 0.5, 0.8, 0.7, 1, 10)
+
+    whole, paths, moved, level = grown(), set(), [], trees._level
+
+    def losing(state, *a):
+        names = state.rdd.collect()
+        moved.append(sum(len(pickle.dumps(of)) for of in names))
+        paths.update(path for _, _, files in names for path, _ in files)
+        if len(moved) % 4 == 0:
+            shutil.rmtree(os.path.dirname(names[0][2][0][0]))
+        return level(state, *a)
+
+    monkeypatch.setattr(trees, "_level", losing)
+    for near in (trees.NEAR, 0):
+        monkeypatch.setattr(trees, "NEAR", near)
+        for a, b in zip(whole, grown()):
+            assert all((x.feature == y.feature).all() and np.allclose(x.value, y.value) for x, y in zip(a.trees, b.trees)) and np.allclose(a.history, b.history)
+            assert len(a.trees) == len(b.trees)
+    assert len(moved) > 30 and max(moved) < 4000 and len({os.path.dirname(os.path.dirname(p)) for p in paths}) > 8
+    assert not any(os.path.exists(os.path.dirname(os.path.dirname(p))) for p in paths)
+
+
+def test_rows_of_a_fold_are_scored_by_its_model_alone(spark, table, monkeypatch):
+    """Cross-validation equals predictions fold by fold, in one pass of one function over the rows."""
+    model, made, plain = GlobalModel(BoostedParams(trees=3, depth=2)), [], F.arrow_udf
+    monkeypatch.setattr(F, "arrow_udf", lambda *a: (made.append(1), plain(*a))[1])
+    scores = {r.fold: r for r in model.cross_validate(table, 3).collect()}
+    assert len(made) == 1 and len(scores) == 4
+    for b in expanding_bounds(table, 3).collect():
+        alone = model.fit_folds(table, [b])[0]
+        test = table.where(F.col("Date").between(F.lit(b.test_start), F.lit(b.test_end)))
+        got = alone.fit_metrics(test).first()
+        assert scores[b.fold].rows == test.count() and (scores[b.fold].mae, scores[b.fold].rmse) == pytest.approx((got.mae, got.rmse))
