@@ -1,6 +1,9 @@
 """Rules that the SQL comparison does not show: hot keys, blocks, edges, invariants."""
 
 import datetime as dt
+import os
+import re
+import time
 
 import numpy as np
 import pandas as pd
@@ -9,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tillweave import schema as sc
 from tillweave import session
+from tillweave.catalog import tables
 from tillweave.functions import quantiles
 from tillweave.functions.quantiles import approx_quantiles, exact_quantiles
 from tillweave.functions.windows import in_blocks
@@ -540,3 +544,27 @@ def test_days_follow_the_rows_and_only_gaps_are_joined_back(spark, monkeypatch):
     rows = tables(spark, root).sales.count()
     monkeypatch.setattr(layout, "JOINED", 500)
     assert queries.merged(spark, root).rdd.getNumPartitions() == -(-rows // 500) > 4
+
+
+def test_staging_leaves_no_shuffle_files_behind(spark, panel):
+    """Else those of every finished step stay until the driver happens to collect its garbage."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return set(re.findall(r"shuffle_\d+", disk.getAllFiles().mkString(" ")))
+
+    before = shuffles()
+    kept = [session.materialise(panel.repartition(5, "Store"), "freed") for _ in range(4)]
+    for _ in range(50):
+        if len(shuffles() - before) <= 2:
+            break
+        time.sleep(0.1)
+    assert len(shuffles() - before) <= 2 and kept[3].count() == 936  # those of the last step may wait for the next one
+
+
+def test_the_cleaned_panel_goes_when_its_features_are_written(spark, panel, monkeypatch):
+    monkeypatch.setattr(tables, "clean", lambda spark, root: panel)
+    monkeypatch.setattr(tables, "build_features", lambda df: df.withColumn("twice", F.col("Weekly_Sales") * 2))
+    before = set(os.listdir(session.shared_dir(spark)))
+    assert tables.featured(spark, "no such tables").where("twice > Weekly_Sales").count() == 936
+    assert {name.split("-")[0] for name in set(os.listdir(session.shared_dir(spark))) - before} == {"featured"}
