@@ -565,6 +565,7 @@ def test_staging_leaves_no_shuffle_files_behind(spark, panel):
 def test_the_cleaned_panel_goes_when_its_features_are_written(spark, panel, monkeypatch):
     monkeypatch.setattr(tables, "clean", lambda spark, root: panel)
     monkeypatch.setattr(tables, "build_features", lambda df: df.withColumn("twice", F.col("Weekly_Sales") * 2))
-    before = set(os.listdir(session.shared_dir(spark)))
+    made = session._MADE.setdefault(spark.sparkContext.applicationId, [])
+    n = len(made)
     assert tables.featured(spark, "no such tables").where("twice > Weekly_Sales").count() == 936
-    assert {name.split("-")[0] for name in set(os.listdir(session.shared_dir(spark))) - before} == {"featured"}
+    assert [(os.path.basename(path).split("-")[0], os.path.exists(path)) for path in made[n:]] == [("cleaned", False), ("featured", True)]
